@@ -106,13 +106,14 @@ def _approximate_counts(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*aggregates).alias("rows")).select(F.inline("rows"))
 
 
-def null_fields(profile: DataFrame) -> list[str]:
-    """Fields without a single value: exactly all rows missing, not 100 % after rounding.
+def empty_fields(profile: DataFrame) -> DataFrame:
+    """Profile rows of fields without a value: exactly all missing, not 100 % by rounding."""
+    return profile.where((F.col("missing") == F.col("total")) & (F.col("total") > 0))
 
-    The profile has one row per column, so the list is as short as the schema.
-    """
-    empty = profile.where((F.col("missing") == F.col("total")) & (F.col("total") > 0))
-    return [row["field"] for row in empty.select("field").collect()]
+
+def null_fields(profile: DataFrame) -> list[str]:
+    """Names of the empty fields; the profile has one row per column, so the list is short."""
+    return [row["field"] for row in empty_fields(profile).select("field").collect()]
 
 
 def value_counts(df: DataFrame, *fields: str) -> DataFrame:
