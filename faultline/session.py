@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_local_dirs: dict[str, str] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -29,9 +30,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_KEY} to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="faultline-")
-    spark.conf.set(_CHECKPOINT_KEY, made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="faultline-")
+    return _local_dirs[app]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

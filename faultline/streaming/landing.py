@@ -23,15 +23,15 @@ def merge_facts(new: DataFrame, base: str, stem: str, profile: Profile) -> str:
     changes nothing, so a batch may be repeated after a failure.
     """
     spark = new.sparkSession
+    written = entries(spark, f"{base.rstrip('/')}/{FACTS_PREFIX}{stem}")
     merged = new
-    if entries(spark, f"{base.rstrip('/')}/{FACTS_PREFIX}{stem}"):
-        schema = schemas.curated(profile)
-        old = spark.read.schema(schema).parquet(f"{base.rstrip('/')}/{FACTS_PREFIX}{stem}")
+    for entry in written:
+        old = spark.read.schema(schemas.curated(profile)).parquet(entry.path)
         # The distinct partition values prune the old partitions while the job runs.
         touched = new.select(*PARTITIONS).distinct()
         kept = old.join(touched, list(PARTITIONS), "left_semi")
         merged = kept.unionByName(new, allowMissingColumns=True)
-    return write_facts(dedupe_by_key(merged), base, stem, only_touched=True)
+    return write_facts(dedupe_by_key(merged), base, stem, only_touched=bool(written))
 
 
 def stream_snapshots(spark: SparkSession, folder: str, layout: str = "lines") -> DataFrame:
