@@ -12,6 +12,7 @@ MISSING_INT = -1
 MISSING_FLOAT = 0.0
 MISSING_TEXT = "N/A"
 MISSING_DATE = "9999-12-31"
+MISSING_SCORE = 0.0
 UNKNOWN_MAKE = "UNKNOWN"
 UNKNOWN_MAKE_ID = -1
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -28,7 +28,8 @@ NEGATION = -0.74
 BOOSTER_REACH = (1.0, 0.95, 0.9)
 
 _ENTRY = "struct<v:bigint,b:bigint,n:boolean>"
-_NO_ENTRY = f"cast(null as {_ENTRY})"
+
+Finish = Callable[[Column], Column]
 
 
 def to_micro(value: float) -> int:
@@ -77,51 +78,47 @@ def tokens(text: Column) -> Column:
     return F.split(F.lower(text), TOKEN_GAP)
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("bigint"), lambda total, value: total + value)
+def _keep(value: Column) -> Column:
+    return value
 
 
-def plain_sum(text: Column, lexicon: Lexicon) -> Column:
-    """Sum of the valences of all tokens, in millionths."""
+def plain_sum(text: Column, lexicon: Lexicon, finish: Finish = _keep) -> Column:
+    """Sum of the valences of all tokens, in millionths, passed through `finish`."""
     zero = F.lit(0).cast("bigint")
     return F.aggregate(
         tokens(text),
         zero,
         lambda total, token: total + F.coalesce(lexicon.lookup(token)["v"], zero),
+        finish,
     )
 
 
-def modified_sum(text: Column, lexicon: Lexicon) -> Column:
+def modified_sum(text: Column, lexicon: Lexicon, finish: Finish = _keep) -> Column:
     """Valence sum where the three tokens before a word strengthen, weaken or negate it."""
     entries = F.transform(tokens(text), lambda token: lexicon.lookup(token))
     zero = F.lit(0).cast("bigint")
 
-    def before(array: Column, index: Column, distance: int) -> Column:
-        return F.get(array, index - F.lit(distance))
-
     def adjusted(array: Column, entry: Column, index: Column) -> Column:
-        boost = sum(
-            (
-                F.coalesce(before(array, index, d)["b"], zero) * F.lit(weight)
-                for d, weight in enumerate(BOOSTER_REACH, start=1)
-            ),
-            F.lit(0.0),
-        )
-        negated = F.coalesce(before(array, index, 1)["n"], F.lit(False))
-        for distance in (2, 3):
-            negated = negated | F.coalesce(before(array, index, distance)["n"], F.lit(False))
+        boost, negated = F.lit(0.0), F.lit(False)
+        for distance, weight in enumerate(BOOSTER_REACH, start=1):
+            before = F.get(array, index - F.lit(distance))
+            boost = boost + F.coalesce(before["b"], zero) * F.lit(weight)
+            negated = negated | F.coalesce(before["n"], F.lit(False))
         moved = entry["v"] + F.signum(entry["v"].cast("double")) * boost
         value = F.round(moved * F.when(negated, F.lit(NEGATION)).otherwise(F.lit(1.0)))
-        return F.when(
-            F.coalesce(entry["v"], zero) != 0, value.cast("bigint")
-        ).otherwise(zero)
+        scored = F.coalesce(entry["v"], zero) != 0
+        return F.when(scored, value.cast("bigint")).otherwise(zero)
 
-    # An aggregate over one array element lets the lambda below name the array once.
+    # The aggregate over one array lets the inner steps name the array of entries once.
     return F.aggregate(
         F.array(entries),
         zero,
-        lambda total, array: total
-        + _sum(F.transform(array, lambda entry, index: adjusted(array, entry, index))),
+        lambda total, array: F.aggregate(
+            F.transform(array, lambda entry, index: adjusted(array, entry, index)),
+            total,
+            lambda part, value: part + value,
+        ),
+        finish,
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.config import (
+    MISSING_SCORE,
     MISSING_TEXT,
     PROSE_FIELDS,
     SENTIMENT_BOUNDS,
@@ -15,7 +16,14 @@ from faultline.config import (
     SENTIMENT_TOP_LABEL,
 )
 from faultline.functions import columns as C
-from faultline.functions.lexicon import TOKEN_GAP, Lexicon, compound, modified_sum, plain_sum, to_micro
+from faultline.functions.lexicon import (
+    Lexicon,
+    compound,
+    modified_sum,
+    plain_sum,
+    to_micro,
+    tokens,
+)
 from faultline.operators.quality import value_counts
 
 
@@ -23,45 +31,56 @@ def is_scored(text: Column) -> Column:
     return F.coalesce(C.is_present(text) & (text != MISSING_TEXT), F.lit(False))
 
 
-def label_of(score: Column, scored: Column) -> Column:
+def label_of(score: Column) -> Column:
     """Label of an unrounded score; the bounds are exclusive from below."""
     (first, bound), *rest = SENTIMENT_BOUNDS
-    chain = F.when(~scored, F.lit(MISSING_TEXT)).when(score < bound, F.lit(first))
+    chain = F.when(score < bound, F.lit(first))
     for label, bound in rest:
         chain = chain.when(score < bound, F.lit(label))
     return chain.otherwise(F.lit(SENTIMENT_TOP_LABEL))
 
 
-def id_of(label: Column) -> Column:
-    pairs = F.create_map(*[F.lit(part) for pair in SENTIMENT_IDS.items() for part in pair])
-    return pairs[label].cast("bigint")
+def _id_of(score: Column) -> Column:
+    (first, bound), *rest = SENTIMENT_BOUNDS
+    chain = F.when(score < bound, F.lit(SENTIMENT_IDS[first]))
+    for label, bound in rest:
+        chain = chain.when(score < bound, F.lit(SENTIMENT_IDS[label]))
+    return chain.otherwise(F.lit(SENTIMENT_IDS[SENTIMENT_TOP_LABEL])).cast("bigint")
 
 
-def _finish(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Turn `<name>_micro` sums into the three output columns of each field."""
-    names = list(names)
-    scored = {name: is_scored(F.col(name)) for name in names}
-    raw = df.withColumns(
-        {
-            f"{name}_raw": F.when(scored[name], compound(F.col(f"{name}_micro"))).otherwise(0.0)
-            for name in names
-        }
+def verdict(micro_sum: Column) -> Column:
+    """(score, label, id) of a valence sum; the label is that of the unrounded score."""
+    raw = compound(micro_sum)
+    return F.struct(
+        F.bround(raw, 4).alias("score"), label_of(raw).alias("label"), _id_of(raw).alias("id")
     )
-    labelled = raw.withColumns(
-        {
-            f"{name}_sentiment_label": label_of(F.col(f"{name}_raw"), scored[name])
-            for name in names
-        }
+
+
+def _unscored() -> Column:
+    return F.struct(
+        F.lit(MISSING_SCORE).alias("score"),
+        F.lit(MISSING_TEXT).alias("label"),
+        F.lit(SENTIMENT_IDS[MISSING_TEXT]).cast("bigint").alias("id"),
+    )
+
+
+def _spell_out(df: DataFrame, verdicts: dict[str, Column]) -> DataFrame:
+    """Add the three columns per field.
+
+    A verdict is one expression, so a filter that Spark moves below the scoring repeats
+    it at most once; it is never null, so joins add no such filter.
+    """
+    judged = df.withColumns(
+        {f"_{name}": F.coalesce(value, _unscored()) for name, value in verdicts.items()}
+    )
+    return judged.select(
+        *df.columns,
+        *[
+            F.col(f"_{name}")[part].alias(f"{name}_sentiment_{part}")
+            for name in verdicts
+            for part in ("score", "label", "id")
+        ],
     )
-    outputs = []
-    for name in names:
-        outputs += [
-            F.bround(F.col(f"{name}_raw"), 4).alias(f"{name}_sentiment_score"),
-            F.col(f"{name}_sentiment_label"),
-            id_of(F.col(f"{name}_sentiment_label")).alias(f"{name}_sentiment_id"),
-        ]
-    kept = [c for c in df.columns if c not in {f"{name}_micro" for name in names}]
-    return labelled.select(*kept, *outputs)
 
 
 def score_columns(
@@ -75,41 +94,38 @@ def score_columns(
     No shuffle: every row is scored where it lies, over its whole text.
     """
     total = modified_sum if modifiers else plain_sum
-    names = [name for name in fields if name in df.columns]
-    summed = df.withColumns(
+    return _spell_out(
+        df,
         {
-            f"{name}_micro": F.when(is_scored(F.col(name)), total(F.col(name), lexicon))
-            for name in names
-        }
+            name: F.when(is_scored(F.col(name)), total(F.col(name), lexicon, verdict))
+            for name in fields
+            if name in df.columns
+        },
     )
-    return _finish(summed, names)
 
 
 def score_by_join(df: DataFrame, key: str, field: str, valences: DataFrame) -> DataFrame:
     """The plain score for a lexicon table (token, valence) of any size.
 
-    Equal tokens of a text collapse to one counted row before the join, so frequent
-    words stay cheap; `key` must identify a row. Texts without a hit score 0.
+    `key` must identify a row. The table's size decides the join: broadcast while it is
+    small, else shuffled, where adaptive execution splits the frequent words. Only the
+    sum per key returns to the rows.
     """
-    micro = F.round(F.col("valence") * to_micro(1)).cast("bigint")
-    table = valences.select("token", micro.alias("micro"))
-    counted = (
-        df.where(is_scored(F.col(field)))
-        .select(key, F.explode(F.split(F.lower(field), TOKEN_GAP)).alias("token"))
-        .groupBy(key, "token")
-        .agg(F.count(F.lit(1)).alias("n"))
+    table = valences.select(
+        "token", F.round(F.col("valence") * to_micro(1)).cast("bigint").alias("_micro")
     )
     sums = (
-        counted.join(table, "token")
+        df.where(is_scored(F.col(field)))
+        .select(key, F.explode(tokens(F.col(field))).alias("token"))
+        .join(table, "token")
         .groupBy(key)
-        .agg(F.sum(F.col("n") * F.col("micro")).alias(f"{field}_micro"))
-    )
-    joined = df.join(sums, key, "left").withColumn(
-        f"{field}_micro", F.coalesce(f"{field}_micro", F.lit(0).cast("bigint"))
+        .agg(F.sum("_micro").alias("_micro"))
     )
-    return _finish(joined, [field]).select(
-        *df.columns, *[f"{field}_sentiment_{part}" for part in ("score", "label", "id")]
+    total = F.coalesce("_micro", F.lit(0).cast("bigint"))
+    judged = _spell_out(
+        df.join(sums, key, "left"), {field: F.when(is_scored(F.col(field)), verdict(total))}
     )
+    return judged.drop("_micro")
 
 
 def label_distribution(df: DataFrame, fields: Iterable[str] = PROSE_FIELDS) -> DataFrame:

@@ -60,10 +60,16 @@ def test_label_bounds_are_exclusive(spark):
     df = spark.createDataFrame(
         [(-0.51,), (-0.5,), (-0.21,), (-0.2,), (0.049,), (0.05,)], "score double"
     )
-    label = sentiment.label_of(F.col("score"), F.lit(True))
-    got = [(r[0], r[1]) for r in df.select(label, sentiment.id_of(label)).collect()]
-    assert got == [("critical", 0), ("negative", 1), ("negative", 1), ("neutral", 2),
-                   ("neutral", 2), ("positive", 3)]
+    got = [r[0] for r in df.select(sentiment.label_of(F.col("score"))).collect()]
+    assert got == ["critical", "negative", "negative", "neutral", "neutral", "positive"]
+
+
+def test_label_and_id_belong_together(spark):
+    df = spark.range(-400, 400).select((F.col("id") * 10_000).alias("s"))
+    pairs = df.select(sentiment.verdict(F.col("s")).alias("v")).select("v.label", "v.id")
+    assert {tuple(r) for r in pairs.distinct().collect()} == {
+        ("critical", 0), ("negative", 1), ("neutral", 2), ("positive", 3),
+    }
 
 
 def test_unscored_texts(spark):
