@@ -78,7 +78,8 @@ def clean_scraped_at(df: DataFrame, field: str = "scraped_at") -> DataFrame:
 
 def wall_clock(df: DataFrame, zone: str, field: str = "scraped_at") -> DataFrame:
     """Add `<field>_local`: the instant as the clock of that zone shows it."""
-    shown = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(field).cast("timestamp_ntz"))
+    here = F.col(field).cast("timestamp_ntz")
+    shown = F.convert_timezone(F.current_timezone(), F.lit(zone), here)
     return df.withColumn(f"{field}_local", shown)
 
 

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RECORD_KEY = ("record_id", "make", "model", "year")
+LOAD_TIMES = ("scraped_at", "etl_timestamp")
+
+# Identifiers of records whose source had none.
+EMPTY_IDS = ("complaint_", "recall_", "complaint_None", "recall_None")
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -77,17 +81,23 @@ def duplicate_samples(df: DataFrame, limit: int = 10) -> DataFrame:
 
 
 def dedupe_by_key(
-    df: DataFrame, keys: Iterable[str] = RECORD_KEY, latest: str = "scraped_at"
+    df: DataFrame,
+    keys: Iterable[str] = RECORD_KEY,
+    latest: str = "scraped_at",
+    identifier: str = "record_id",
 ) -> DataFrame:
     """Keep the latest row per key; the other columns break ties.
 
-    The row_number limit is applied in each task before the shuffle as well, so a key
-    that holds a large share of the rows sends one row per task.
+    Rows without an identifier do not share a key: they are repeats only if everything
+    but the load times agrees. The row_number limit is applied in each task before the
+    shuffle as well, so a key that holds a large share of the rows sends one row per task.
     """
     keys = list(keys)
     rest = sorted(set(df.columns) - set(keys) - {latest})
+    content = [name for name in df.columns if name not in {latest, *LOAD_TIMES}]
+    unnamed = F.col(identifier).isNull() | F.col(identifier).isin(*EMPTY_IDS)
+    df = df.withColumn("_content", F.when(unnamed, row_digest(df.select(content))))
     order = [F.col(latest).desc_nulls_last(), *[F.col(name).asc_nulls_last() for name in rest]]
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
-    )
+    window = Window.partitionBy(*keys, "_content").orderBy(*order)
+    ranked = df.withColumn("_rank", F.row_number().over(window))
+    return ranked.where("_rank = 1").drop("_rank", "_content")

@@ -116,32 +116,44 @@ def null_fields(profile: DataFrame) -> list[str]:
     return [row["field"] for row in empty_fields(profile).select("field").collect()]
 
 
+def group_counts(df: DataFrame, *fields: str) -> DataFrame:
+    """Rows per combination of the fields; accepts rows, or counts made from them."""
+    one = F.col("record_count") if "record_count" in df.columns else F.lit(1).cast("bigint")
+    return df.groupBy(*fields).agg(F.sum(one).alias("record_count"))
+
+
 def value_counts(df: DataFrame, *fields: str) -> DataFrame:
     """Rows per value of each field, most frequent first; nulls are not counted."""
+    counted = group_counts(df, *fields)
+    texts = counted.select(
+        "record_count", *[F.col(name).cast("string").alias(name) for name in fields]
+    )
+    values = texts.unpivot("record_count", list(fields), "field", "value")
     return (
-        _long(df, list(fields))
-        .where(F.col("value").isNotNull())
-        .groupBy("field", "value")
-        .agg(F.count(F.lit(1)).alias("record_count"))
+        group_counts(values.where(F.col("value").isNotNull()), "field", "value")
         .orderBy("field", F.col("record_count").desc(), "value")
     )
 
 
-def identity_check(df: DataFrame) -> DataFrame:
-    """Null record ids, and ids that are a bare prefix without a value."""
-    key = F.col("record_id")
-    return df.agg(
-        F.count_if(key.isNull()).alias("null_ids"),
-        F.count_if(key.isin("complaint_", "recall_")).alias("empty_ids"),
-    )
+# The checks below are arrays of aggregates, one struct per output row, so that any number
+# of them shares one pass over the data.
 
 
 def _expected(source: str) -> Column:
     return F.lit(True) if source == ALL_SOURCES else F.col("source") == source
 
 
-def _completeness(df: DataFrame, fields: dict[str, str], extra, compat: bool) -> DataFrame:
-    """One pass over the data: one struct of aggregates per field, then one row each."""
+def _identity_rows() -> Column:
+    key = F.col("record_id")
+    return F.array(
+        F.struct(
+            F.count_if(key.isNull()).alias("null_ids"),
+            F.count_if(key.isin("complaint_", "recall_")).alias("empty_ids"),
+        )
+    )
+
+
+def _completeness_rows(df: DataFrame, fields: dict[str, str], extra, compat: bool) -> Column:
     structs = []
     for name, source in fields.items():
         if name not in df.columns:
@@ -149,64 +161,46 @@ def _completeness(df: DataFrame, fields: dict[str, str], extra, compat: bool) ->
         text = F.col(name).cast("string")
         inside = _expected(source)
         nulls = F.count_if(inside & text.isNull())
-        blanks = _blanks(nulls, F.count_if(inside & C.is_blank(text)), compat)
+        blanks = F.count_if(inside & C.is_blank(text))
         structs.append(
             F.struct(
                 F.lit(name).alias("field"),
                 F.lit(source).alias("expected_in"),
                 F.count_if(inside).alias("total"),
                 nulls.alias("nulls"),
-                blanks.alias("blanks"),
+                _blanks(nulls, blanks, compat).alias("blanks"),
                 *extra(text, inside & C.is_present(text)),
             )
         )
-    rows = df.agg(F.array(*structs).alias("rows")).select(F.inline("rows"))
-    pct = C.report_percent(F.col("missing"), F.col("total"))
-    extras = [name for name in rows.columns[5:]]
-    return (
-        rows.withColumn("missing", F.col("nulls") + F.col("blanks"))
-        .withColumn("missing_pct", pct)
-        .withColumn("warn", F.col("missing_pct") > 10)
-        .select(
-            "field", "expected_in", "total", "nulls", "blanks", "missing", "missing_pct",
-            *extras, "warn",
-        )
-    )
+    return F.array(*structs)
 
 
-def date_completeness(
-    df: DataFrame, fields: dict[str, str] = DATE_EXPECTED_IN, compat: bool = False
-) -> DataFrame:
-    """Missing dates per field within the source that should have it; smallest as sample."""
+def _date_figures(text: Column, present: Column) -> list[Column]:
+    return [F.min(F.when(present, text)).alias("sample")]
 
-    def extra(text: Column, present: Column) -> list[Column]:
-        return [F.min(F.when(present, text)).alias("sample")]
 
-    return _completeness(df, fields, extra, compat)
+def _prose_figures(text: Column, present: Column) -> list[Column]:
+    length = F.when(present, F.length(text).cast("bigint"))
+    mean = F.sum(length) / F.nullif(F.count(length), F.lit(0))
+    return [
+        F.bround(mean, 0).cast("bigint").alias("avg_length"),
+        F.min(length).alias("min_length"),
+        F.max(length).alias("max_length"),
+        F.min(F.when(present, F.substring(text, 1, _SAMPLE_CHARS))).alias("sample"),
+    ]
 
 
-def description_profile(
-    df: DataFrame, fields: dict[str, str] = PROSE_EXPECTED_IN, compat: bool = False
-) -> DataFrame:
-    """The same for prose, with lengths of the non-blank texts and the head of one text."""
-
-    def extra(text: Column, present: Column) -> list[Column]:
-        length = F.when(present, F.length(text).cast("bigint"))
-        mean = F.sum(length) / F.nullif(F.count(length), F.lit(0))
-        return [
-            F.bround(mean, 0).cast("bigint").alias("avg_length"),
-            F.min(length).alias("min_length"),
-            F.max(length).alias("max_length"),
-            F.min(F.when(present, F.substring(text, 1, _SAMPLE_CHARS))).alias("sample"),
-        ]
-
-    return _completeness(df, fields, extra, compat)
+def _judged(rows: DataFrame) -> DataFrame:
+    extras = rows.columns[5:]
+    return (
+        rows.withColumn("missing", F.col("nulls") + F.col("blanks"))
+        .withColumn("missing_pct", C.report_percent(F.col("missing"), F.col("total")))
+        .withColumn("warn", F.col("missing_pct") > 10)
+        .select(*rows.columns[:5], "missing", "missing_pct", *extras, "warn")
+    )
 
 
-def numeric_anomalies(
-    df: DataFrame, bounds: dict[str, tuple[int, int]] = NUMERIC_BOUNDS
-) -> DataFrame:
-    """Nulls, non-numeric texts and values out of range per field, in one pass."""
+def _numeric_rows(df: DataFrame, bounds: dict[str, tuple[int, int]]) -> Column:
     structs = []
     for name, (low, high) in bounds.items():
         if name not in df.columns:
@@ -221,7 +215,59 @@ def numeric_anomalies(
                 F.count_if(number > high).alias("outliers"),
             )
         )
-    return df.agg(F.array(*structs).alias("rows")).select(F.inline("rows"))
+    return F.array(*structs)
+
+
+def figures(df: DataFrame, compat: bool = False) -> DataFrame:
+    """All checks of this section in one pass: one row, to be read with `from_figures`."""
+    return df.agg(
+        _identity_rows().alias("identity_check"),
+        _completeness_rows(df, DATE_EXPECTED_IN, _date_figures, compat).alias(
+            "date_completeness"
+        ),
+        _completeness_rows(df, PROSE_EXPECTED_IN, _prose_figures, compat).alias(
+            "description_profile"
+        ),
+        _numeric_rows(df, NUMERIC_BOUNDS).alias("numeric_anomalies"),
+    )
+
+
+def from_figures(row: DataFrame) -> dict[str, DataFrame]:
+    """The tables of the checks, by name."""
+    tables = {name: row.select(F.inline(name)) for name in row.columns}
+    for name in ("date_completeness", "description_profile"):
+        tables[name] = _judged(tables[name])
+    return tables
+
+
+def _unfold(df: DataFrame, rows: Column) -> DataFrame:
+    return df.agg(rows.alias("rows")).select(F.inline("rows"))
+
+
+def identity_check(df: DataFrame) -> DataFrame:
+    """Null record ids, and ids that are a bare prefix without a value."""
+    return _unfold(df, _identity_rows())
+
+
+def date_completeness(
+    df: DataFrame, fields: dict[str, str] = DATE_EXPECTED_IN, compat: bool = False
+) -> DataFrame:
+    """Missing dates per field within the source that should have it; smallest as sample."""
+    return _judged(_unfold(df, _completeness_rows(df, fields, _date_figures, compat)))
+
+
+def description_profile(
+    df: DataFrame, fields: dict[str, str] = PROSE_EXPECTED_IN, compat: bool = False
+) -> DataFrame:
+    """The same for prose, with lengths of the non-blank texts and the head of one text."""
+    return _judged(_unfold(df, _completeness_rows(df, fields, _prose_figures, compat)))
+
+
+def numeric_anomalies(
+    df: DataFrame, bounds: dict[str, tuple[int, int]] = NUMERIC_BOUNDS
+) -> DataFrame:
+    """Nulls, non-numeric texts and values out of range per field."""
+    return _unfold(df, _numeric_rows(df, bounds))
 
 
 def bad_numeric_values(
@@ -249,11 +295,7 @@ def bad_numeric_values(
 
 def make_variants(df: DataFrame) -> DataFrame:
     """Each raw make as it appears, with its rows, sorted."""
-    return (
-        df.groupBy("make")
-        .agg(F.count(F.lit(1)).alias("record_count"))
-        .orderBy(F.col("make").asc_nulls_last())
-    )
+    return group_counts(df, "make").orderBy(F.col("make").asc_nulls_last())
 
 
 def make_variant_total(df: DataFrame) -> DataFrame:
@@ -263,12 +305,8 @@ def make_variant_total(df: DataFrame) -> DataFrame:
 
 def record_count_summary(df: DataFrame) -> DataFrame:
     """Rows by source and make; rows without either are left out."""
-    return (
-        df.where(F.col("source").isNotNull() & F.col("make").isNotNull())
-        .groupBy("source", "make")
-        .agg(F.count(F.lit(1)).alias("record_count"))
-        .orderBy("source", "make")
-    )
+    named = df.where(F.col("source").isNotNull() & F.col("make").isNotNull())
+    return group_counts(named, "source", "make").orderBy("source", "make")
 
 
 def render_profile(profile: DataFrame) -> DataFrame:

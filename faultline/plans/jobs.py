@@ -112,28 +112,40 @@ def run_transform(
     )
 
 
-def profiles(raw: DataFrame, compat: bool = False) -> dict[str, DataFrame]:
-    """All quality tables of the raw records."""
-    return {
-        "field_profile": quality.field_profile(raw, compat),
-        "value_counts": quality.value_counts(raw, "source", "make"),
-        "identity_check": quality.identity_check(raw),
-        "duplicate_rows": dedupe.duplicate_rows(raw),
-        "duplicate_samples": dedupe.duplicate_samples(raw),
-        "date_completeness": quality.date_completeness(raw, compat=compat),
-        "description_profile": quality.description_profile(raw, compat=compat),
-        "numeric_anomalies": quality.numeric_anomalies(raw),
-        "bad_numeric_values": quality.bad_numeric_values(raw),
-        "make_variants": quality.make_variants(raw),
-        "record_count_summary": quality.record_count_summary(raw),
-    }
-
-
 def run_validate(
     raw: DataFrame, folder: str, snapshots: list[str], compat: bool = False
 ) -> str:
-    """Write the quality tables of the snapshots; returns the report's path."""
-    return writers.write_report(profiles(raw, compat), folder, snapshots)
+    """Write the quality tables of the snapshots below one folder; returns its path.
+
+    The raw records are read once per kind of aggregation, not once per check: all plain
+    counts share a pass, the frequency tables come from one table of counts, and samples
+    are looked for only where a count says there are any.
+    """
+    path = f"{folder.rstrip('/')}/{writers.report_name(snapshots)}"
+
+    def keep(name: str, table: DataFrame) -> DataFrame:
+        return writers.write_profile(table, path, name)
+
+    profile = keep("field_profile", quality.field_profile(raw, compat))
+    writers.write_lines(quality.render_profile(profile), path, "field_profile_text")
+
+    figures = keep("figures", quality.figures(raw, compat))
+    for name, table in quality.from_figures(figures).items():
+        keep(name, table)
+
+    counts = keep("counts", quality.group_counts(raw, "source", "make"))
+    keep("value_counts", quality.value_counts(counts, "source", "make"))
+    keep("make_variants", quality.make_variants(counts))
+    keep("make_variant_total", quality.make_variant_total(counts))
+    keep("record_count_summary", quality.record_count_summary(counts))
+
+    duplicates = keep("duplicate_rows", dedupe.duplicate_rows(raw))
+    if duplicates.first()["duplicate_rows"]:
+        keep("duplicate_samples", dedupe.duplicate_samples(raw))
+    errors = quality.from_figures(figures)["numeric_anomalies"].where("type_errors > 0")
+    if not errors.isEmpty():
+        keep("bad_numeric_values", quality.bad_numeric_values(raw))
+    return path
 
 
 def run_analysis(

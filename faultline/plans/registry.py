@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline import schemas
-from faultline.config import COMPLAINTS, LOCAL, RECALLS, Profile
+from faultline.config import CLOUD, COMPLAINTS, LOCAL, RECALLS, Profile
 from faultline.functions import columns as C
 from faultline.functions.columns import WHITESPACE
 from faultline.functions.lexicon import MICRO, Lexicon, to_micro
@@ -355,7 +355,7 @@ def _(spark, folder):
             "scraped_at"
         ),
     )
-    shown = clean.wall_clock(clean.clean_scraped_at(texts), "America/Chicago")
+    shown = clean.wall_clock(clean.clean_scraped_at(texts), CLOUD.display_zone)
     return shown.select(
         "event_id",
         F.date_format("scraped_at", pattern).alias("scraped_at"),
@@ -620,7 +620,7 @@ def _(spark, folder):
 _PROSE = [
     f"case when lang='en' then '{RECALLS}' else '{COMPLAINTS}' end as source",
     "text as body",
-    "case when n_chars%5=0 then null when n_chars%5=1 then ' ' else text end as consequence",
+    "case when n_chars<400 then null when n_chars<900 then ' ' else text end as consequence",
     "lower(lang) as remedy",
 ]
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.operators.dims import dim_make, dim_sentiment
-from faultline.operators.quality import render_profile
 from faultline.sources.facts import FACTS_PREFIX
 
 PARTITIONS = ("make", "year")
@@ -92,11 +91,13 @@ def report_name(snapshots: list[str]) -> str:
     return f"val_combined_{timestamp_name()}"
 
 
-def write_report(profiles: dict[str, DataFrame], folder: str, snapshots: list[str]) -> str:
-    """Profile tables below the report's folder, the field profile also as text."""
-    path = f"{folder.rstrip('/')}/{report_name(snapshots)}"
-    for name, profile in profiles.items():
-        profile.write.mode("overwrite").parquet(f"{path}/{name}")
-    saved = profiles["field_profile"].sparkSession.read.parquet(f"{path}/field_profile")
-    render_profile(saved).write.mode("overwrite").text(f"{path}/field_profile_text")
-    return path
+def write_profile(profile: DataFrame, report: str, name: str) -> DataFrame:
+    """One table of a report, read back so that what builds on it does not redo it."""
+    path = f"{report}/{name}"
+    profile.write.mode("overwrite").parquet(path)
+    return profile.sparkSession.read.schema(profile.schema).parquet(path)
+
+
+def write_lines(lines: DataFrame, report: str, name: str) -> None:
+    """The rendered text of a report."""
+    lines.write.mode("overwrite").text(f"{report}/{name}")

@@ -11,7 +11,6 @@ from faultline.config import FIRST_YEAR, LAST_YEAR, REQUEST_MODELS
 from faultline.sources import listing
 
 LAYOUTS = ("lines", "array", "indented")
-_RECORD_END = "\n  },\n"
 
 
 def read_snapshot(
@@ -20,12 +19,14 @@ def read_snapshot(
     layout: str = "array",
     schema: T.StructType = schemas.RAW,
     keep_corrupt: bool = False,
+    line_end: str = "\n",
 ) -> DataFrame:
     """Records of one or more snapshots, every field as text, missing keys null.
 
     `lines` has one record per line and `indented` is an array dumped with an indent of
-    two; both split over tasks however long the file. `array` takes any formatting, one
-    task per file. Unreadable records end the job, or are kept in `_corrupt_record`.
+    two and the given line end; both split over tasks however long the file. `array`
+    takes any formatting, one task per file. Unreadable records end the job, or are kept
+    in `_corrupt_record`.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
@@ -33,20 +34,26 @@ def read_snapshot(
     if keep_corrupt:
         schema = T.StructType([*schema.fields, T.StructField(schemas.CORRUPT, T.StringType())])
     if layout == "indented":
-        return _read_indented(spark, path, schema, mode)
+        return _read_indented(spark, path, schema, mode, line_end)
     reader = spark.read.schema(schema).option("mode", mode)
     return reader.option("multiLine", layout == "array").json(path)
 
 
-def _read_indented(spark, path, schema: T.StructType, mode: str) -> DataFrame:
+def _read_indented(spark, path, schema: T.StructType, mode: str, line_end: str) -> DataFrame:
     # Text values cannot hold a raw line end, so the separator only occurs between records.
-    pieces = spark.read.option("lineSep", _RECORD_END).text(path)
-    body = F.regexp_replace("value", r"\A\s*\[\s*|\s*\]\s*\z", "")
-    closed = F.when(body.endswith("}"), body).otherwise(F.concat(body, F.lit("\n}")))
+    pieces = spark.read.option("lineSep", f"{line_end}  }},{line_end}").text(path)
+    body = F.regexp_replace("value", r"\A\s*(\[\s*)?|\s*(\]\s*)?\z", "")
+    single = F.col("body").rlike(r"\A\{\s*\n") & ~F.col("body").rlike(r"\n\s*\},")
+    closed = F.when(F.col("body").endswith("}"), F.col("body")).otherwise(
+        F.concat("body", F.lit("}"))
+    )
+    # Other formatting would put several records into one piece: stop, do not lose any.
+    wrong = F.raise_error(F.lit("not an array with an indent of two and this line end"))
     options = {"mode": mode, "columnNameOfCorruptRecord": schemas.CORRUPT}
     return (
-        pieces.select(body.alias("body"), closed.alias("record"))
+        pieces.select(body.alias("body"))
         .where(F.col("body") != "")
+        .select(F.when(single, closed).otherwise(wrong).alias("record"))
         .select(F.from_json("record", schema, options).alias("record"))
         .select("record.*")
     )

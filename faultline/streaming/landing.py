@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections import defaultdict
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from faultline import schemas
@@ -15,6 +20,20 @@ from faultline.sources.facts import FACTS_PREFIX
 from faultline.sources.listing import entries
 
 
+def _in_partitions_of(new: DataFrame) -> Column:
+    """A filter on the partitions the rows touch, known before the scan is planned.
+
+    One value per partition folder; the folders are listed on the driver in any case.
+    """
+    years: dict[str, list[int]] = defaultdict(list)
+    for row in new.select(*PARTITIONS).distinct().collect():
+        years[row["make"]].append(row["year"])
+    conditions = [
+        (F.col("make") == make) & F.col("year").isin(found) for make, found in years.items()
+    ]
+    return reduce(or_, conditions, F.lit(False))
+
+
 def merge_facts(new: DataFrame, base: str, stem: str, profile: Profile) -> str:
     """Merge facts into the written ones: the latest row per key stays.
 
@@ -27,10 +46,7 @@ def merge_facts(new: DataFrame, base: str, stem: str, profile: Profile) -> str:
     merged = new
     for entry in written:
         old = spark.read.schema(schemas.curated(profile)).parquet(entry.path)
-        # The distinct partition values prune the old partitions while the job runs.
-        touched = new.select(*PARTITIONS).distinct()
-        kept = old.join(touched, list(PARTITIONS), "left_semi")
-        merged = kept.unionByName(new, allowMissingColumns=True)
+        merged = old.where(_in_partitions_of(new)).unionByName(new, allowMissingColumns=True)
     return write_facts(dedupe_by_key(merged), base, stem, only_touched=bool(written))
 
 

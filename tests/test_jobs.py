@@ -69,6 +69,23 @@ def test_empty_and_single_record_arrays(spark, tmp_path, layout):
     assert snapshots.read_snapshot(spark, str(single), layout).count() == 1
 
 
+@pytest.mark.parametrize("indent", [None, 4])
+def test_other_formatting_is_refused_not_lost(spark, tmp_path, indent):
+    path = write_array(tmp_path, "s.json", RECORDS, indent)
+    with pytest.raises(Exception, match="indent of two"):
+        snapshots.read_snapshot(spark, str(path), "indented").collect()
+    assert snapshots.read_snapshot(spark, str(path), "array").count() == 3
+
+
+def test_other_line_ends(spark, tmp_path):
+    path = write_array(tmp_path, "s.json", RECORDS)
+    path.write_bytes(path.read_bytes().replace(b"\n", b"\r\n"))
+    with pytest.raises(Exception, match="line end"):
+        snapshots.read_snapshot(spark, str(path), "indented").collect()
+    df = snapshots.read_snapshot(spark, str(path), "indented", line_end="\r\n")
+    assert [r["record_id"] for r in df.collect()] == ["complaint_1", "complaint_1", "recall_1"]
+
+
 def test_corrupt_records_end_the_job_or_are_kept(spark, tmp_path):
     path = tmp_path / "s.json"
     path.write_text('{"record_id": "a"}\n{"record_id": \n', encoding="utf-8")
@@ -301,9 +318,37 @@ def test_report_names():
 
 def test_report_holds_every_profile(spark, raw, folder):
     path = jobs.run_validate(raw, folder, ["nhtsa_1.json"])
-    for name in jobs.profiles(raw):
-        assert spark.read.parquet(f"{path}/{name}").columns
+
+    def table(name):
+        return spark.read.parquet(f"{path}/{name}")
+
     assert spark.read.text(f"{path}/field_profile_text").count() == len(schemas.RAW_FIELDS)
+    direct = {
+        "identity_check": quality.identity_check(raw),
+        "date_completeness": quality.date_completeness(raw),
+        "description_profile": quality.description_profile(raw),
+        "numeric_anomalies": quality.numeric_anomalies(raw),
+        "value_counts": quality.value_counts(raw, "source", "make"),
+        "make_variants": quality.make_variants(raw),
+        "make_variant_total": quality.make_variant_total(raw),
+        "record_count_summary": quality.record_count_summary(raw),
+    }
+    for name, expected in direct.items():
+        assert sorted(map(str, table(name).collect())) == sorted(map(str, expected.collect()))
+    assert tuple(table("duplicate_rows").first()) == (3, 1)
+    assert table("duplicate_samples").count() == 2
+    # No text was unreadable as a number, so no sample of such texts is written.
+    assert not os.path.exists(f"{path}/bad_numeric_values")
+
+
+def test_report_samples_unreadable_numbers(spark, raw, folder):
+    path = jobs.run_validate(raw.withColumn("deaths", F.lit("none")), folder, ["a", "b"])
+    bad = spark.read.parquet(f"{path}/bad_numeric_values").collect()
+    assert [tuple(r) for r in bad] == [("deaths", 1, "none")]
+
+
+def test_checks_share_one_pass(raw):
+    assert plan(quality.figures(raw)).count("FileScan") <= 1
 
 
 def test_scratch_follows_the_session_setting(spark):
@@ -335,6 +380,18 @@ def test_landing_merges_new_snapshots_once(spark, tmp_path, folder):
     assert run()[1] == 3
 
 
+def test_merge_reads_only_touched_partitions(spark, raw, folder):
+    facts = jobs.standardise(raw, CLOUD)
+    writers.write_facts(facts, folder, "all")
+    condition = landing._in_partitions_of(facts.where("make = 'FORD'"))
+    old = fact_source.scan_facts(spark, folder, CLOUD).where(condition)
+    filters = plan(old).split("PartitionFilters")[1].splitlines()[0]
+    assert "make" in filters and "year" in filters
+    assert {r["make"] for r in old.collect()} == {"FORD"}
+    nothing = landing._in_partitions_of(facts.where("make = 'NONE'"))
+    assert fact_source.scan_facts(spark, folder, CLOUD).where(nothing).count() == 0
+
+
 def test_merging_the_same_rows_twice_changes_nothing(spark, raw, folder):
     facts = jobs.standardise(raw, CLOUD)
     for _ in range(2):
