@@ -12,7 +12,7 @@ import zlib
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MICRO = 1_000_000
@@ -56,6 +56,13 @@ class Lexicon:
         rows = table.select("token", "valence").limit(MAX_CONSTANT_ENTRIES + 1).collect()
         return cls({row["token"]: row["valence"] for row in rows})
 
+    @classmethod
+    def from_file(cls, spark: SparkSession, path: str) -> Lexicon:
+        """Read tab-separated lines: token, valence, and columns that are not used."""
+        lines = spark.read.schema("token string, valence double").option("sep", "\t")
+        lines = lines.option("mode", "PERMISSIVE").option("quote", "").csv(path)
+        return cls.from_table(lines.where("token is not null and valence is not null"))
+
     def tokens(self) -> set[str]:
         return {*self.valences, *self.boosters, *self.negators}
 

@@ -45,7 +45,7 @@ def row_digest(df: DataFrame) -> Column:
             value = value + F.lit(0).cast(column.dataType)  # -0.0 equals 0.0
         text = value.cast("string")
         parts.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-")))
-    return F.sha2(F.concat(*parts), 256)
+    return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:

@@ -17,8 +17,8 @@ from faultline.config import (
 )
 from faultline.functions import columns as C
 
-# Longer values are grouped by digest, so a long text is never shuffled.
-_LONGEST_KEY = 64
+# Longer values are grouped by digest (32 bytes), so a long text is never shuffled.
+_LONGEST_KEY = 32
 _SAMPLE_CHARS = 120
 
 
@@ -65,11 +65,13 @@ def _exact_counts(df: DataFrame) -> DataFrame:
     value = F.col("value")
     kind = F.when(value.isNull(), "null").when(C.is_blank(value), "blank").otherwise("value")
     # The kind keeps a digest apart from a short value that looks like one.
-    short = F.length(value) <= _LONGEST_KEY
+    short = F.octet_length(value) <= _LONGEST_KEY
     keyed = _long(df, df.columns).select(
         "field",
         F.concat(kind, F.when(short, "").otherwise("+digest")).alias("kind"),
-        F.when(short, value).otherwise(F.sha2(value, 256)).alias("key"),
+        F.when(short, value.cast("binary"))
+        .otherwise(F.unhex(F.sha2(value, 256)))
+        .alias("key"),
     )
     kind = F.col("kind")
     n = F.col("n")

@@ -37,7 +37,7 @@ _BLANKS = "concat(" + ",".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         def prepared(spark: SparkSession, folder: str) -> DataFrame:
-            return run(prepare(spark), folder)
+            return run(prepare(spark, folder), folder)
 
         QUERIES[name] = prepared
         if sql is not None:

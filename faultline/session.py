@@ -8,17 +8,44 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
 _local_dirs: dict[str, str] = {}
+_sizes: dict[tuple[str, str], int] = {}
+
 
+def prepare(spark: SparkSession, folder: str | None = None) -> SparkSession:
+    """Pin the settings that results depend on, and size shuffles to the input folder.
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the settings that results depend on; all are changeable at runtime."""
+    The number of shuffle partitions is only ever raised; adaptive execution joins the
+    ones that turn out small.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    if folder is not None:
+        wanted = shuffle_partitions(input_bytes(spark, folder))
+        if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+            spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark
 
 
+def input_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes below a folder, asked of the file system once per session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _sizes:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        _sizes[key] = fs.getContentSummary(path).getLength()
+    return _sizes[key]
+
+
+def shuffle_partitions(size: int) -> int:
+    """Enough partitions to fit a task's memory if all input were shuffled."""
+    return min(MAX_SHUFFLE_PARTITIONS, -(-size // BYTES_PER_SHUFFLE_PARTITION))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 

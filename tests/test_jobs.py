@@ -6,7 +6,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from faultline import schemas
+from faultline import schemas, session
+from faultline.__main__ import main
 from faultline.config import CLOUD, LOCAL
 from faultline.functions.lexicon import Lexicon
 from faultline.operators import quality
@@ -397,3 +398,35 @@ def test_merging_the_same_rows_twice_changes_nothing(spark, raw, folder):
     for _ in range(2):
         landing.merge_facts(facts, folder, "all", CLOUD)
     assert fact_source.scan_facts(spark, folder, CLOUD, "all").count() == 2
+
+
+# ------------------------------------------------------------ command line and session
+
+
+def test_command_line_runs_the_whole_chain(spark, tmp_path, capsys):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    write_array(raw, "nhtsa_20260606_200341.json", RECORDS)
+    words = tmp_path / "words.tsv"
+    words.write_text("good\t1.9\t0.9\t[2, 1]\nbad\t-2.5\t0.6\t[-3]\n:\"(\t-1.0\t0\t[]\n")
+    main(["validate", "--raw", raw, "--out", f"{out}/reports", "--layout", "indented"])
+    report = capsys.readouterr().out.strip().splitlines()[-1]
+    assert report.endswith("val_nhtsa_20260606_200341")
+    main(["transform", "--raw", raw, "--out", f"{out}/facts", "--lexicon", str(words),
+          "--report", report])
+    assert "rows_written=2" in capsys.readouterr().out
+    main(["analyse", "--facts", f"{out}/facts", "--out", f"{out}/analysis"])
+    assert len(capsys.readouterr().out.strip().splitlines()) == len(A.REPORTS)
+    main(["lookup", "--facts", f"{out}/facts", "--make", "FORD", "--year", "2015",
+          "--label", "critical"])
+    assert "bad brakes" in capsys.readouterr().out
+
+
+def test_shuffles_grow_with_the_input(spark, tmp_path):
+    assert session.shuffle_partitions(10) == 1
+    assert session.shuffle_partitions(10 * 2**40) == 40_960
+    assert session.shuffle_partitions(10**18) == session.MAX_SHUFFLE_PARTITIONS
+    (tmp_path / "f").write_bytes(b"x" * 1000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    session.prepare(spark, str(tmp_path))
+    assert session.input_bytes(spark, str(tmp_path)) == 1000
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
