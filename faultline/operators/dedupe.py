@@ -45,7 +45,8 @@ def row_digest(df: DataFrame) -> Column:
             value = value + F.lit(0).cast(column.dataType)  # -0.0 equals 0.0
         text = value.cast("string")
         parts.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-")))
-    return F.unhex(F.sha2(F.concat(*parts), 256))
+    # Never null, so joins on it add no filter that would compute it again.
+    return F.coalesce(F.unhex(F.sha2(F.concat(*parts), 256)), F.lit(b""))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:

@@ -1,0 +1,20 @@
+"""Joins of a large table with one that is expected, but not known, to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a few short columns that every executor can hold without effort.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def lookup_side(table: DataFrame) -> DataFrame:
+    """The table marked for broadcast if it has few rows, else for a sort-merge join.
+
+    The rows are counted, at most one more than the limit, because the optimizer does not
+    know the size of a table made in the program. Beyond the limit both sides are
+    shuffled, and adaptive execution splits the keys that hold a large share of the rows.
+    """
+    few = table.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    return F.broadcast(table) if few else table.hint("merge")

@@ -24,6 +24,7 @@ from faultline.functions.lexicon import (
     to_micro,
     tokens,
 )
+from faultline.operators.joins import lookup_side
 from faultline.operators.quality import value_counts
 
 
@@ -107,8 +108,7 @@ def score_columns(
 def score_by_join(df: DataFrame, key: str, field: str, valences: DataFrame) -> DataFrame:
     """The plain score for a lexicon table (token, valence) of any size.
 
-    `key` must identify a row. The table's size decides the join: broadcast while it is
-    small, else shuffled, where adaptive execution splits the frequent words. Only the
+    `key` must identify a row. The table's size decides the join of the words; only the
     sum per key returns to the rows.
     """
     table = valences.select(
@@ -117,7 +117,7 @@ def score_by_join(df: DataFrame, key: str, field: str, valences: DataFrame) -> D
     sums = (
         df.where(is_scored(F.col(field)))
         .select(key, F.explode(tokens(F.col(field))).alias("token"))
-        .join(table, "token")
+        .join(lookup_side(table), "token")
         .groupBy(key)
         .agg(F.sum("_micro").alias("_micro"))
     )

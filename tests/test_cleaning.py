@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from faultline import schemas
 from faultline.config import CLOUD, LOCAL
-from faultline.operators import clean, dedupe, dims, makes
+from faultline.operators import clean, dedupe, dims, joins, makes
 from tests.helpers import plan, texts
 
 
@@ -185,3 +185,22 @@ def test_dimensions(spark):
             dims.dim_usage(facts, dims.dim_make(spark), "make_id").collect()}
     assert used == {"TOYOTA": 0, "FORD": 2, "TESLA": 0, "UNKNOWN": 0}
     assert dims.with_dim(facts, dims.dim_make(spark), "make_id").count() == 3
+
+
+def test_lookup_side_is_broadcast_only_while_small(spark, monkeypatch):
+    rows, table = spark.range(1000).toDF("k"), spark.range(50).toDF("k")
+    assert "BroadcastHashJoin" in plan(rows.join(joins.lookup_side(table), "k"))
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 49)
+    joined = rows.join(joins.lookup_side(table), "k")
+    assert "SortMergeJoin" in plan(joined) and joined.count() == 50
+
+
+def test_keyword_table_and_words_without_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "Ford"), (2, "Honda")], "id int, make string")
+    table = spark.createDataFrame(
+        [("ford", "FORD", 1, 1)], "keyword string, make string, make_id bigint, priority int"
+    )
+    small = makes.normalise_make_join(df, table)
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
+    large = makes.normalise_make_join(df, table)
+    assert sorted(small.collect()) == sorted(large.collect())
