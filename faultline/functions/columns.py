@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+_WHOLE = r"^[+-]?[0-9]+$"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -27,9 +30,10 @@ def strip(text: Column) -> Column:
 def is_blank(text: Column) -> Column:
     """True for text of white space only; null stays null.
 
-    The search ends at the first other character, so long texts cost nothing.
+    The first character settles almost every text, so long ones are rarely searched.
     """
-    return ~text.rlike(f"[^{WHITESPACE}]")
+    starts_blank = F.lit(WHITESPACE).contains(F.substring(text, 1, 1))
+    return starts_blank & ~text.rlike(f"[^{WHITESPACE}]")
 
 
 def is_present(text: Column) -> Column:
@@ -45,19 +49,29 @@ def to_number(text: Column) -> Column:
 def to_whole(text: Column) -> Column:
     """Number truncated to bigint; null if not numeric or out of range.
 
-    Whole-number text is read directly, so large ids keep every digit.
+    Whole-number text is read directly, so large ids keep every digit; other text is kept
+    away from that cast, because a failed one is slow.
     """
     trimmed = strip(text.cast("string"))
-    return F.coalesce(trimmed.try_cast("bigint"), to_number(text).try_cast("bigint"))
+    whole = F.when(trimmed.rlike(_WHOLE), trimmed.try_cast("bigint"))
+    return F.coalesce(whole, to_number(text).try_cast("bigint"))
 
 
 def to_date_any(text: Column, formats: Iterable[str]) -> Column:
-    """First format that parses wins; null if none does, or for the missing-date mark."""
+    """First format that parses wins; null if none does, or for the missing-date mark.
+
+    A format is only tried on texts with its separators: a failed parse is slow.
+    """
     trimmed = strip(text.cast("string"))
-    tries = [
-        trimmed.try_cast("date") if fmt == "iso" else F.try_to_date(trimmed, fmt)
-        for fmt in formats
-    ]
+
+    def attempt(fmt: str) -> Column:
+        if fmt == "iso":
+            return trimmed.try_cast("date")
+        separators = sorted({char for char in fmt if not char.isalpha()})
+        likely = reduce(and_, [trimmed.contains(char) for char in separators], F.lit(True))
+        return F.when(likely, F.try_to_date(trimmed, fmt))
+
+    tries = [attempt(fmt) for fmt in formats]
     return F.nullif(F.coalesce(*tries), F.lit(MISSING_DATE).cast("date"))
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from faultline.config import (
     BOOLEAN_FIELDS,
     COMPLAINTS,
-    DATE_FIELDS,
     LABEL_FIELDS,
     MISSING_DATE,
     MISSING_FLOAT,
@@ -128,17 +127,20 @@ def drop_null_columns(df: DataFrame, names: Iterable[str] | None = None) -> Data
     return df.drop(*doomed)
 
 
-def enforce_schema(df: DataFrame, profile: Profile) -> DataFrame:
+def enforce_schema(
+    df: DataFrame, profile: Profile, stripped: Iterable[str] = ()
+) -> DataFrame:
     """One projection to the curated types.
 
     Unreadable whole numbers become -1, unreadable doubles 0.0, unknown booleans false;
     text is stripped and stays null if missing. Optional columns only if present;
-    columns the schema does not name pass through.
+    columns the schema does not name pass through. Texts named in `stripped` have been
+    stripped already.
     """
-    return df.select(*_typed(df, curated_types(profile)))
+    return df.select(*_typed(df, curated_types(profile), set(stripped)))
 
 
-def _typed(df: DataFrame, kinds: dict[str, str]) -> list:
+def _typed(df: DataFrame, kinds: dict[str, str], stripped: set[str]) -> list:
     out = []
     for column in df.schema:
         kind, value = kinds.get(column.name), F.col(column.name)
@@ -150,7 +152,7 @@ def _typed(df: DataFrame, kinds: dict[str, str]) -> list:
             if not isinstance(column.dataType, T.NumericType):
                 value = C.to_number(value)
             value = F.coalesce(value.cast("double"), F.lit(MISSING_FLOAT))
-        elif kind == "string":
+        elif kind == "string" and column.name not in stripped:
             value = C.strip(value.cast("string"))
         elif kind == "boolean":
             value = F.coalesce(value.cast("boolean"), F.lit(False))

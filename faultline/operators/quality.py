@@ -6,6 +6,8 @@ same figures did; the default reports nulls and blanks as they are.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,15 +157,25 @@ def _identity_rows() -> Column:
     )
 
 
+def _judged_once(df: DataFrame, texts: Iterable[str], numbers: Iterable[str]) -> DataFrame:
+    """Add per text field whether it is blank, and per number field its value.
+
+    A projection of its own, so that the many aggregates share one evaluation per row.
+    """
+    blank = {f"_blank_{n}": C.is_blank(F.col(n).cast("string")) for n in texts if n in df.columns}
+    number = {f"_number_{n}": C.to_number(F.col(n)) for n in numbers if n in df.columns}
+    return df.withColumns({**blank, **number})
+
+
 def _completeness_rows(df: DataFrame, fields: dict[str, str], extra, compat: bool) -> Column:
     structs = []
     for name, source in fields.items():
         if name not in df.columns:
             continue
-        text = F.col(name).cast("string")
+        text, blank = F.col(name).cast("string"), F.col(f"_blank_{name}")
         inside = _expected(source)
         nulls = F.count_if(inside & text.isNull())
-        blanks = F.count_if(inside & C.is_blank(text))
+        blanks = F.count_if(inside & blank)
         structs.append(
             F.struct(
                 F.lit(name).alias("field"),
@@ -171,7 +183,7 @@ def _completeness_rows(df: DataFrame, fields: dict[str, str], extra, compat: boo
                 F.count_if(inside).alias("total"),
                 nulls.alias("nulls"),
                 _blanks(nulls, blanks, compat).alias("blanks"),
-                *extra(text, inside & C.is_present(text)),
+                *extra(text, inside & text.isNotNull() & ~blank),
             )
         )
     return F.array(*structs)
@@ -207,7 +219,7 @@ def _numeric_rows(df: DataFrame, bounds: dict[str, tuple[int, int]]) -> Column:
     for name, (low, high) in bounds.items():
         if name not in df.columns:
             continue
-        text, number = F.col(name).cast("string"), C.to_number(F.col(name))
+        text, number = F.col(name).cast("string"), F.col(f"_number_{name}")
         structs.append(
             F.struct(
                 F.lit(name).alias("field"),
@@ -222,7 +234,7 @@ def _numeric_rows(df: DataFrame, bounds: dict[str, tuple[int, int]]) -> Column:
 
 def figures(df: DataFrame, compat: bool = False) -> DataFrame:
     """All checks of this section in one pass: one row, to be read with `from_figures`."""
-    return df.agg(
+    return _judged_once(df, [*DATE_EXPECTED_IN, *PROSE_EXPECTED_IN], NUMERIC_BOUNDS).agg(
         _identity_rows().alias("identity_check"),
         _completeness_rows(df, DATE_EXPECTED_IN, _date_figures, compat).alias(
             "date_completeness"
@@ -255,21 +267,23 @@ def date_completeness(
     df: DataFrame, fields: dict[str, str] = DATE_EXPECTED_IN, compat: bool = False
 ) -> DataFrame:
     """Missing dates per field within the source that should have it; smallest as sample."""
-    return _judged(_unfold(df, _completeness_rows(df, fields, _date_figures, compat)))
+    rows = _completeness_rows(df, fields, _date_figures, compat)
+    return _judged(_unfold(_judged_once(df, fields, ()), rows))
 
 
 def description_profile(
     df: DataFrame, fields: dict[str, str] = PROSE_EXPECTED_IN, compat: bool = False
 ) -> DataFrame:
     """The same for prose, with lengths of the non-blank texts and the head of one text."""
-    return _judged(_unfold(df, _completeness_rows(df, fields, _prose_figures, compat)))
+    rows = _completeness_rows(df, fields, _prose_figures, compat)
+    return _judged(_unfold(_judged_once(df, fields, ()), rows))
 
 
 def numeric_anomalies(
     df: DataFrame, bounds: dict[str, tuple[int, int]] = NUMERIC_BOUNDS
 ) -> DataFrame:
     """Nulls, non-numeric texts and values out of range per field."""
-    return _unfold(df, _numeric_rows(df, bounds))
+    return _unfold(_judged_once(df, (), bounds), _numeric_rows(df, bounds))
 
 
 def bad_numeric_values(

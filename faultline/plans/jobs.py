@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from faultline.config import (
@@ -55,7 +55,9 @@ def standardise(df: DataFrame, profile: Profile, lexicon: Lexicon | None = None)
         df = sentiment.score_columns(df, lexicon, PROSE_FIELDS)
     if profile.with_etl_timestamp:
         df = clean.add_etl_timestamp(df)
-    return clean.enforce_schema(df, profile)
+    labels = [name for name in df.columns if name.endswith("_sentiment_label")]
+    stripped = [*clean.text_placeholders(profile), "make", "make_raw", *labels]
+    return clean.enforce_schema(df, profile, stripped)
 
 
 @dataclass(frozen=True)

@@ -146,7 +146,8 @@ def test_request_grid(spark):
 
 
 def test_payload_defaults_apply_to_absent_keys_only(spark):
-    payload = '{"results":[{"odiNumber":7,"crash":true,"numberOfDeaths":null},{"odiNumber":null},{}]}'
+    full = '{"odiNumber":7,"crash":true,"numberOfDeaths":null}'
+    payload = f'{{"results":[{full},{{"odiNumber":null}},{{}}]}}'
     df = spark.createDataFrame(
         [("Ford", "Escape", 2015, "2026-01-01T00:00:00Z", payload),
          ("Ford", "Escape", 2016, "2026-01-01T00:00:00Z", "no json"),
