@@ -136,9 +136,9 @@ def dirty(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _order_lines(spark, folder)
-    repeated = lines.where(RAW_REPEATED)
-    return lines.selectExpr(*RAW_COLUMNS).unionByName(repeated.selectExpr(*RAW_COLUMNS))
+    copies = f"explode(sequence(1, case when {RAW_REPEATED} then 2 else 1 end))"
+    lines = _order_lines(spark, folder).withColumn("copy", F.expr(copies))
+    return lines.selectExpr(*RAW_COLUMNS)
 
 
 def payloads(spark: SparkSession, folder: str, payload: str) -> DataFrame:

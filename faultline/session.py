@@ -9,25 +9,31 @@ from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
+MAX_SHUFFLE_PARTITIONS = 32_768
+BYTES_PER_SCAN_TASK = 128 * 1024 * 1024
+MAX_SCAN_TASKS = 100_000
 
 _local_dirs: dict[str, str] = {}
 _sizes: dict[tuple[str, str], int] = {}
 
 
 def prepare(spark: SparkSession, folder: str | None = None) -> SparkSession:
-    """Pin the settings that results depend on, and size shuffles to the input folder.
+    """Pin the settings that results depend on, and size tasks to the input folder.
 
-    The number of shuffle partitions is only ever raised; adaptive execution joins the
-    ones that turn out small.
+    Both sizes are only ever raised. Adaptive execution joins shuffle partitions that
+    turn out small; the bounds keep the number of shuffle blocks (tasks times
+    partitions) within what a driver can track.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     if folder is not None:
-        wanted = shuffle_partitions(input_bytes(spark, folder))
+        size = input_bytes(spark, folder)
+        wanted = shuffle_partitions(size)
         if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
             spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        if size > MAX_SCAN_TASKS * BYTES_PER_SCAN_TASK:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan_bytes(size)))
     return spark
 
 
@@ -46,6 +52,11 @@ def shuffle_partitions(size: int) -> int:
     return min(MAX_SHUFFLE_PARTITIONS, -(-size // BYTES_PER_SHUFFLE_PARTITION))
 
 
+def scan_bytes(size: int) -> int:
+    """Bytes per scan task: Spark's default, more once that would make too many tasks."""
+    return max(BYTES_PER_SCAN_TASK, -(-size // MAX_SCAN_TASKS))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 

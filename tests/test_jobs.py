@@ -424,7 +424,9 @@ def test_command_line_runs_the_whole_chain(spark, tmp_path, capsys):
 
 def test_shuffles_grow_with_the_input(spark, tmp_path):
     assert session.shuffle_partitions(10) == 1
-    assert session.shuffle_partitions(10 * 2**40) == 40_960
+    assert session.shuffle_partitions(2**40) == 4096
+    assert session.scan_bytes(2**40) == session.BYTES_PER_SCAN_TASK
+    assert session.scan_bytes(10**14) == 10**9
     assert session.shuffle_partitions(10**18) == session.MAX_SHUFFLE_PARTITIONS
     (tmp_path / "f").write_bytes(b"x" * 1000)
     before = spark.conf.get("spark.sql.shuffle.partitions")
