@@ -30,7 +30,7 @@ def validate(spark: SparkSession, args: argparse.Namespace) -> None:
 def transform(spark: SparkSession, args: argparse.Namespace) -> None:
     profile = PROFILES[args.profile]
     latest = snapshots.latest_snapshot(spark, args.raw, args.latest)
-    raw = snapshots.read_snapshot(spark, latest.path, args.layout)
+    raw = snapshots.read_entries(spark, [latest], args.layout)
     lexicon = Lexicon.from_file(spark, args.lexicon) if args.lexicon else None
     empty = None
     if args.report:
@@ -63,7 +63,7 @@ def parser() -> argparse.ArgumentParser:
 
     for run in (validate, transform):
         sub = command(run, "raw", "out")
-        sub.add_argument("--layout", choices=snapshots.LAYOUTS, default="array")
+        sub.add_argument("--layout", choices=snapshots.LAYOUTS)
         if run is validate:
             sub.add_argument("--compat", action="store_true")
         else:

@@ -167,7 +167,9 @@ def _judged_once(df: DataFrame, texts: Iterable[str], numbers: Iterable[str]) ->
     return df.withColumns({**blank, **number})
 
 
-def _completeness_rows(df: DataFrame, fields: dict[str, str], extra, compat: bool) -> Column:
+def _completeness_rows(
+    df: DataFrame, fields: dict[str, str], extra, compat: bool
+) -> Column | None:
     structs = []
     for name, source in fields.items():
         if name not in df.columns:
@@ -186,7 +188,7 @@ def _completeness_rows(df: DataFrame, fields: dict[str, str], extra, compat: boo
                 *extra(text, inside & text.isNotNull() & ~blank),
             )
         )
-    return F.array(*structs)
+    return F.array(*structs) if structs else None
 
 
 def _date_figures(text: Column, present: Column) -> list[Column]:
@@ -214,7 +216,7 @@ def _judged(rows: DataFrame) -> DataFrame:
     )
 
 
-def _numeric_rows(df: DataFrame, bounds: dict[str, tuple[int, int]]) -> Column:
+def _numeric_rows(df: DataFrame, bounds: dict[str, tuple[int, int]]) -> Column | None:
     structs = []
     for name, (low, high) in bounds.items():
         if name not in df.columns:
@@ -229,20 +231,20 @@ def _numeric_rows(df: DataFrame, bounds: dict[str, tuple[int, int]]) -> Column:
                 F.count_if(number > high).alias("outliers"),
             )
         )
-    return F.array(*structs)
+    return F.array(*structs) if structs else None
 
 
 def figures(df: DataFrame, compat: bool = False) -> DataFrame:
     """All checks of this section in one pass: one row, to be read with `from_figures`."""
-    return _judged_once(df, [*DATE_EXPECTED_IN, *PROSE_EXPECTED_IN], NUMERIC_BOUNDS).agg(
-        _identity_rows().alias("identity_check"),
-        _completeness_rows(df, DATE_EXPECTED_IN, _date_figures, compat).alias(
-            "date_completeness"
-        ),
-        _completeness_rows(df, PROSE_EXPECTED_IN, _prose_figures, compat).alias(
-            "description_profile"
-        ),
-        _numeric_rows(df, NUMERIC_BOUNDS).alias("numeric_anomalies"),
+    prepared = _judged_once(df, [*DATE_EXPECTED_IN, *PROSE_EXPECTED_IN], NUMERIC_BOUNDS)
+    checks = {
+        "identity_check": _identity_rows(),
+        "date_completeness": _completeness_rows(df, DATE_EXPECTED_IN, _date_figures, compat),
+        "description_profile": _completeness_rows(df, PROSE_EXPECTED_IN, _prose_figures, compat),
+        "numeric_anomalies": _numeric_rows(df, NUMERIC_BOUNDS),
+    }
+    return prepared.agg(
+        *[rows.alias(name) for name, rows in checks.items() if rows is not None]
     )
 
 
@@ -250,11 +252,14 @@ def from_figures(row: DataFrame) -> dict[str, DataFrame]:
     """The tables of the checks, by name."""
     tables = {name: row.select(F.inline(name)) for name in row.columns}
     for name in ("date_completeness", "description_profile"):
-        tables[name] = _judged(tables[name])
+        if name in tables:
+            tables[name] = _judged(tables[name])
     return tables
 
 
-def _unfold(df: DataFrame, rows: Column) -> DataFrame:
+def _unfold(df: DataFrame, rows: Column | None) -> DataFrame:
+    if rows is None:
+        raise ValueError(f"none of the checked fields among {df.columns}")
     return df.agg(rows.alias("rows")).select(F.inline("rows"))
 
 

@@ -144,8 +144,8 @@ def run_validate(
     duplicates = keep("duplicate_rows", dedupe.duplicate_rows(raw))
     if duplicates.first()["duplicate_rows"]:
         keep("duplicate_samples", dedupe.duplicate_samples(raw))
-    errors = quality.from_figures(figures)["numeric_anomalies"].where("type_errors > 0")
-    if not errors.isEmpty():
+    anomalies = quality.from_figures(figures).get("numeric_anomalies")
+    if anomalies is not None and not anomalies.where("type_errors > 0").isEmpty():
         keep("bad_numeric_values", quality.bad_numeric_values(raw))
     return path
 

@@ -14,6 +14,7 @@ class Entry:
     name: str
     path: str
     modified: int
+    is_folder: bool
 
 
 def entries(spark: SparkSession, pattern: str) -> list[Entry]:
@@ -34,5 +35,5 @@ def entries(spark: SparkSession, pattern: str) -> list[Entry]:
             if not fs.exists(done):
                 continue
             modified = fs.getFileStatus(done).getModificationTime()
-        found.append(Entry(path.getName(), path.toString(), modified))
+        found.append(Entry(path.getName(), path.toString(), modified, status.isDirectory()))
     return sorted(found, key=lambda entry: entry.name)

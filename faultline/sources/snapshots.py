@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from faultline import schemas
 from faultline.config import FIRST_YEAR, LAST_YEAR, REQUEST_MODELS
+from faultline.operators.dedupe import union_all
 from faultline.sources import listing
 
 LAYOUTS = ("lines", "array", "indented")
@@ -73,14 +74,25 @@ def latest_snapshot(spark: SparkSession, folder: str, by: str = "name") -> listi
     return max(found, key=lambda e: e.name if by == "name" else (e.modified, e.name))
 
 
+def read_entries(
+    spark: SparkSession, found: list[listing.Entry], layout: str | None = None
+) -> DataFrame:
+    """Listed snapshots appended. Without a layout, folders hold lines and files an array."""
+    paths: dict[str, list[str]] = {}
+    for entry in found:
+        kind = layout or ("lines" if entry.is_folder else "array")
+        paths.setdefault(kind, []).append(entry.path)
+    return union_all(*[read_snapshot(spark, group, kind) for kind, group in paths.items()])
+
+
 def read_all_snapshots(
-    spark: SparkSession, folder: str, layout: str = "array"
+    spark: SparkSession, folder: str, layout: str | None = None
 ) -> tuple[DataFrame, list[str]]:
     """All snapshots of a folder appended, and their names."""
     found = list_snapshots(spark, folder)
     if not found:
         raise FileNotFoundError(f"no JSON snapshot in {folder}")
-    return read_snapshot(spark, [e.path for e in found], layout), [e.name for e in found]
+    return read_entries(spark, found, layout), [entry.name for entry in found]
 
 
 def request_grid(

@@ -133,6 +133,13 @@ def test_all_snapshots_with_names(spark, tmp_path):
     assert df.count() == 3 and names == ["nhtsa_1.json", "nhtsa_2.json"]
 
 
+def test_files_and_folders_are_read_together(spark, tmp_path, raw):
+    write_array(tmp_path, "nhtsa_1.json", [COMPLAINT])
+    writers.write_snapshot(raw, str(tmp_path), "nhtsa_2")
+    df, names = snapshots.read_all_snapshots(spark, str(tmp_path))
+    assert df.count() == 4 and names == ["nhtsa_1.json", "nhtsa_2.json"]
+
+
 def test_snapshot_round_trip(spark, raw, folder):
     path = writers.write_snapshot(raw, folder, "nhtsa_1")
     again = snapshots.read_snapshot(spark, path, "lines")

@@ -92,6 +92,13 @@ def test_numeric_anomalies(spark):
     assert [(r["place"], r["value"]) for r in bad] == [(1, ""), (2, "x")]
 
 
+def test_checks_without_their_fields(spark):
+    df = spark.createDataFrame([("complaint_",)], "record_id string")
+    assert list(quality.from_figures(quality.figures(df))) == ["identity_check"]
+    with pytest.raises(ValueError, match="none of the checked fields"):
+        quality.numeric_anomalies(df)
+
+
 def test_bad_values_stop_at_the_limit_per_field(spark):
     df = spark.range(50).selectExpr("concat('v', id) as injuries", "concat('w', id) as deaths")
     rows = quality.bad_numeric_values(df).collect()
