@@ -50,9 +50,15 @@ def merge_facts(new: DataFrame, base: str, stem: str, profile: Profile) -> str:
     return write_facts(dedupe_by_key(merged), base, stem, only_touched=bool(written))
 
 
-def stream_snapshots(spark: SparkSession, folder: str, layout: str = "lines") -> DataFrame:
-    """Raw records of snapshots as they land in the folder."""
-    reader = spark.readStream.schema(schemas.RAW).option("multiLine", layout == "array")
+def stream_snapshots(
+    spark: SparkSession, folder: str, layout: str = "lines", files_per_batch: int = 10_000
+) -> DataFrame:
+    """Raw records of snapshots as they land; a long backlog is taken in several batches."""
+    if layout not in ("lines", "array"):
+        raise ValueError(f"a stream reads 'lines' or 'array', not {layout!r}")
+    reader = spark.readStream.schema(schemas.RAW).option("mode", "FAILFAST")
+    reader = reader.option("multiLine", layout == "array")
+    reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(f"{folder.rstrip('/')}/*.json")
 
 

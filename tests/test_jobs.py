@@ -372,7 +372,7 @@ def test_landing_merges_new_snapshots_once(spark, tmp_path, folder):
     landed, checkpoint = str(tmp_path / "raw"), str(tmp_path / "checkpoint")
 
     def run():
-        stream = landing.stream_snapshots(spark, landed, "array")
+        stream = landing.stream_snapshots(spark, landed, "array", files_per_batch=1)
         landing.start_landing(stream, folder, "all", CLOUD, checkpoint).awaitTermination()
         rows = fact_source.scan_facts(spark, folder, CLOUD, "all").collect()
         return {(r["record_id"], r["year"]): r["body"] for r in rows}, len(rows)
