@@ -9,12 +9,13 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from faultline.config import CLOUD, FIRST_YEAR, LAST_YEAR, LOCAL
 from faultline.functions.lexicon import Lexicon
-from faultline.operators import quality
+from faultline.operators import clean, quality
 from faultline.plans import analytics, jobs
 from faultline.session import prepare
 from faultline.sources import facts, snapshots
@@ -31,6 +32,8 @@ def transform(spark: SparkSession, args: argparse.Namespace) -> None:
     profile = PROFILES[args.profile]
     latest = snapshots.latest_snapshot(spark, args.raw, args.latest)
     raw = snapshots.read_entries(spark, [latest], args.layout)
+    if args.infer_dates:
+        profile = replace(profile, date_formats=clean.choose_date_formats(raw))
     lexicon = Lexicon.from_file(spark, args.lexicon) if args.lexicon else None
     empty = None
     if args.report:
@@ -69,6 +72,7 @@ def parser() -> argparse.ArgumentParser:
         else:
             sub.add_argument("--profile", choices=PROFILES, default=LOCAL.name)
             sub.add_argument("--latest", choices=("name", "mtime"), default="name")
+            sub.add_argument("--infer-dates", action="store_true")
             sub.add_argument("--lexicon")
             sub.add_argument("--report")
 

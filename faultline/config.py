@@ -79,6 +79,9 @@ PROSE_EXPECTED_IN = {"body": ALL_SOURCES, "consequence": RECALLS, "remedy": RECA
 # Ordered date formats, first successful parse wins; "iso" is Spark's own date cast.
 DATE_FORMATS = ("M/d/yyyy", "iso")
 
+# Formats to choose one from per column, where the data decides.
+DATE_CANDIDATES = ("M/d/yyyy", "d/M/yyyy", "iso")
+
 
 @dataclass(frozen=True)
 class Profile:

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from faultline.config import (
     BOOLEAN_FIELDS,
     COMPLAINTS,
+    DATE_CANDIDATES,
+    DATE_FIELDS,
     LABEL_FIELDS,
     MISSING_DATE,
     MISSING_FLOAT,
@@ -70,6 +72,31 @@ def clean_dates(df: DataFrame, formats: dict[str, Iterable[str]]) -> DataFrame:
     )
 
 
+def choose_date_formats(
+    df: DataFrame,
+    fields: Iterable[str] = DATE_FIELDS,
+    candidates: Iterable[str] = DATE_CANDIDATES,
+) -> dict[str, tuple[str, ...]]:
+    """Per field the one format that reads most of its values, in one pass.
+
+    For sources that do not state their format; the first candidate wins a tie, so the
+    answer does not depend on the order of the rows.
+    """
+    fields, candidates = _present(df, fields), list(candidates)
+    if not fields:
+        return {}
+    read = df.agg(
+        *[
+            F.count(C.to_date_any(F.col(name), (fmt,))).alias(f"{name}:{fmt}")
+            for name in fields
+            for fmt in candidates
+        ]
+    ).first()
+    return {
+        name: (max(candidates, key=lambda fmt: read[f"{name}:{fmt}"]),) for name in fields
+    }
+
+
 def clean_scraped_at(df: DataFrame, field: str = "scraped_at") -> DataFrame:
     """Text to instant; nulls are kept, because a missing load time is an ingestion fault."""
     return df.withColumns({name: C.to_instant(F.col(name)) for name in _present(df, [field])})

@@ -35,6 +35,23 @@ def test_dates_flag_before_filling(spark):
     ]
 
 
+def test_date_format_is_chosen_by_the_column(spark):
+    df = spark.createDataFrame(
+        [("03/04/2020", "03/04/2020", "2020-01-15"), ("25/12/2020", "12/25/2020", ""),
+         ("x", None, None)],
+        "recall_date string, incident_date string, other string",
+    )
+    assert clean.choose_date_formats(df, ["recall_date", "incident_date", "other", "absent"]) == {
+        "recall_date": ("d/M/yyyy",), "incident_date": ("M/d/yyyy",), "other": ("iso",),
+    }
+    empty = df.where("false")
+    assert clean.choose_date_formats(empty)["recall_date"] == ("M/d/yyyy",)
+    chosen = clean.clean_dates(df, clean.choose_date_formats(df, ["recall_date"]))
+    assert [str(r["recall_date"]) for r in chosen.collect()] == [
+        "2020-04-03", "2020-12-25", "9999-12-31",
+    ]
+
+
 def test_event_date_without_recall_dates(spark):
     df = spark.createDataFrame(
         [("nhtsa_complaints", dt.date(2020, 1, 1)), ("nhtsa_recalls", dt.date(2020, 1, 1))],

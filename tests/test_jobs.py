@@ -420,7 +420,7 @@ def test_command_line_runs_the_whole_chain(spark, tmp_path, capsys):
     report = capsys.readouterr().out.strip().splitlines()[-1]
     assert report.endswith("val_nhtsa_20260606_200341")
     main(["transform", "--raw", raw, "--out", f"{out}/facts", "--lexicon", str(words),
-          "--report", report])
+          "--report", report, "--infer-dates"])
     assert "rows_written=2" in capsys.readouterr().out
     main(["analyse", "--facts", f"{out}/facts", "--out", f"{out}/analysis"])
     assert len(capsys.readouterr().out.strip().splitlines()) == len(A.REPORTS)
