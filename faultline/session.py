@@ -27,6 +27,8 @@ def prepare(spark: SparkSession, folder: str | None = None) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # The JVM does not compile larger methods; Spark then generates them in parts.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     if folder is not None:
         size = input_bytes(spark, folder)
         wanted = shuffle_partitions(size)
