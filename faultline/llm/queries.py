@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import topk
+from faultline.llm import automaton, topk
 from faultline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,12 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         QUERIES[name] = run
@@ -39,3 +45,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 )
 def op8_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.exact_top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+@query("op6_bpe_automaton")
+def op6_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    return automaton.encode_documents(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), digest=True)
