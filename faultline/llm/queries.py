@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import automaton, topk
+from faultline.llm import automaton, packing, topk
 from faultline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,8 @@ def op8_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_bpe_automaton")
 def op6_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return automaton.encode_documents(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), digest=True)
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), 1024)
