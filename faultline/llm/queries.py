@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import automaton, packing, topk
+from faultline.llm import automaton, packing, simhash, topk
 from faultline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,9 @@ def op6_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_packing")
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), 1024)
+
+
+@query("op2_simhash")
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"), words_each=4, radius=4, seed=42)
+    return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
