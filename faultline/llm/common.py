@@ -12,12 +12,31 @@ from pyspark.sql import types as T
 
 from faultline.session import fresh_path
 
-#: Most entries of a per-worker word cache; a full cache starts anew, results do not change.
-CACHE_ENTRIES = 300_000
+#: Most entries of one generation of a per-worker word cache; results do not depend on it.
+CACHE_ENTRIES = 200_000
 #: Longer pieces are worked out each time instead of being kept.
 CACHED_CHARS = 48
 
 
+class Kept(dict):
+    """A cache in two generations: when the young one is full it becomes the old one, which is let go."""
+
+    def __init__(self, make: Callable, entries: int = CACHE_ENTRIES):
+        super().__init__()
+        self.make, self.entries, self.old = make, entries, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
+        if len(key) <= CACHED_CHARS:
+            self[key] = value
+        return value
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

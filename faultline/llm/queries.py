@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import automaton, packing, simhash, topk
-from faultline.llm.common import table
+from faultline.llm import automaton, packing, quality, simhash, topk
+from faultline.llm.common import in_fold, table, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def with_prediction(scored: DataFrame, held_out, threshold: float) -> DataFrame:
+    predicted = (F.col("score") >= F.lit(threshold)).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         QUERIES[name] = run
@@ -61,3 +66,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), words_each=4, radius=4, seed=42)
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
+
+
+@query("op4_quality")
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = table(spark, folder, "documents"), in_fold(4, 2)
+    model = quality.fit(docs, table(spark, folder, "labels"), "quality", ~held_out)
+    return with_prediction(quality.score(texts(docs), model), held_out, 0.7)
