@@ -24,13 +24,20 @@ import functools
 import hashlib
 import json
 import re
-from collections.abc import Callable, Iterator
+import struct
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from faultline.llm.common import CACHE_ENTRIES, CACHED_CHARS, map_batches, texts
+from faultline.llm.common import CACHED_CHARS, Kept, map_batches, texts
+
+
+#: Chunks that are normalised together.
+LEARNT = 10_000
+#: White space to Python, but not to all tokenizers.
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85]")
 
 
 class Automaton:
@@ -173,24 +180,43 @@ class Encoder:
         # at one place the tokenizer takes the longest of the added tokens that match
         longest = sorted(added, key=len, reverse=True)
         self.cut = re.compile("|".join(map(re.escape, longest))) if added else None
-        self.words: dict[str, tuple[bytes, bytes]] = {}
+        self.chunks = Kept(self.piece)
+        self.words = Kept(lambda w: tuple(self.machine.encode(w)))
+
+    def made(self, words: Iterable[str]) -> tuple[bytes, bytes]:
+        """Ids and joined labels of pre-split words."""
+        ids = [i for w in words for i in self.words[w]]
+        return struct.pack(f"<{len(ids)}I", *ids), self.machine.decode(ids).encode()
 
     def piece(self, chunk: str) -> tuple[bytes, bytes]:
-        """Ids and joined labels of text without spaces inside."""
-        ids = [i for word, _ in self.split(self.normalise(chunk)) for i in self.machine.encode(word)]
-        return np.array(ids, dtype="<u4").tobytes(), self.machine.decode(ids).encode()
+        return self.made([w for w, _ in self.split(self.normalise(chunk))])
+
+    def learn(self, chunks: list[str]) -> None:
+        """Put chunks without white space into the cache; normalise and split them all at once."""
+        normal = self.normalise(" ".join(chunks))
+        parts = normal.split(" ")
+        if len(parts) != len(chunks):
+            return
+        words = iter(self.split(normal))
+        word, (start, _) = next(words, ("", (len(normal) + 1, 0)))
+        at = 0
+        for chunk, part in zip(chunks, parts):
+            at += len(part) + 1
+            own = []
+            while start < at:
+                own.append(word)
+                word, (start, _) = next(words, ("", (len(normal) + 1, 0)))
+            self.chunks[chunk] = self.made(own)
 
     def plain(self, text: str) -> Iterator[tuple[bytes, bytes]]:
-        """Spaces only separate words in this family of files, so texts are taken apart there."""
-        words = self.words
-        for chunk in text.split(" "):
-            found = words.get(chunk)
-            if found is None:
-                found = self.piece(chunk)
-                if len(chunk) <= CACHED_CHARS:
-                    if len(words) >= CACHE_ENTRIES:
-                        words.clear()
-                    words[chunk] = found
+        """White space only separates words in this family of files, so texts are taken apart there."""
+        chunks = text.split(" ") if _ODD_SPACE.search(text) else text.split()
+        known = self.chunks
+        missing = [c for c in set(chunks) if c not in known and c not in known.old and len(c) <= CACHED_CHARS and c.split() == [c]]
+        for start in range(0, len(missing), LEARNT):
+            self.learn(missing[start : start + LEARNT])
+        for chunk in chunks:
+            found = known[chunk]
             if found[0]:
                 yield found
 

@@ -29,13 +29,16 @@ class Kept(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.entries:
-            self.old = dict(self)
-            self.clear()
         if len(key) <= CACHED_CHARS:
             self[key] = value
         return value
 
+    def __setitem__(self, key, value):
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
+        super().__setitem__(key, value)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
