@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import automaton, packing, quality, simhash, topk
+from faultline.llm import automaton, packing, quality, simhash, topk, toxicity
 from faultline.llm.common import in_fold, table, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,10 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, held_out = table(spark, folder, "documents"), in_fold(4, 2)
     model = quality.fit(docs, table(spark, folder, "labels"), "quality", ~held_out)
     return with_prediction(quality.score(texts(docs), model), held_out, 0.7)
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = table(spark, folder, "documents"), in_fold(5, 0)
+    model = toxicity.fit(docs, table(spark, folder, "labels"), "toxic", ~held_out)
+    return with_prediction(toxicity.score(texts(docs), model), held_out, 0.5)
