@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import automaton, packing, quality, simhash, topk, toxicity
+from faultline.llm import automaton, packing, pii, quality, simhash, topk, toxicity
 from faultline.llm.common import in_fold, table, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+#: A key for the registered queries; users give their own.
+PSEUDONYM_KEY = b"registered queries"
+
 
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
@@ -80,3 +83,9 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, held_out = table(spark, folder, "documents"), in_fold(5, 0)
     model = toxicity.fit(docs, table(spark, folder, "labels"), "toxic", ~held_out)
     return with_prediction(toxicity.score(texts(docs), model), held_out, 0.5)
+
+
+@query("op9_pii")
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    made = pii.pseudonymise(texts(table(spark, folder, "documents")), PSEUDONYM_KEY, "found")
+    return made.select("doc_id", "text", F.size("found").alias("n_values"), "found")
