@@ -28,8 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from faultline.llm.common import CACHE_ENTRIES, map_batches, materialise, texts
+from faultline.llm.common import CACHED_CHARS, Kept, map_batches, materialise, texts
 
+#: Pieces in one generation of a worker's cache, and pieces encoded together.
+KEPT_PIECES = 300_000
+LEARNT = 10_000
 #: A single space before something that is no white space always begins a pre-token.
 _CUT = re.compile(r"(?= \S)")
 #: Tokens in a step of size: a finer grid pads less and makes a larger linear program.
@@ -53,22 +56,40 @@ class Tokens:
         self.rules.no_truncation()
         self.added = [t.content for t in self.rules.get_added_tokens_decoder().values()]
         self.end = np.array([end], dtype="<u4").tobytes()
-        self.words: dict[str, bytes] = {}
-
-    def _ids(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.rules.encode_batch(parts, add_special_tokens=False)]
+        self.words = Kept(self._ids, KEPT_PIECES)
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.rules.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encode new pieces, which all begin with a space, in one text, and take its ids apart again."""
+        found = self.rules.encode("".join(parts), add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4").tobytes()
+        begin = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
+        ends = 4 * np.searchsorted(begin, np.cumsum([len(p) for p in parts]), side="left")
+        at = 0
+        for part, end in zip(parts, ends.tolist()):
+            self.words[part] = ids[at:end]
+            at = end
 
     def encode(self, text: str) -> bytes:
         """Ids with the end token, as little-endian 32-bit integers."""
         if any(t in text for t in self.added):
-            return self._ids([text])[0] + self.end
-        words, parts = self.words, _CUT.split(text)
-        if missing := [p for p in set(parts) if p not in words]:
-            if len(words) + len(missing) > CACHE_ENTRIES:
-                words.clear()
-                missing = list(set(parts))
-            words.update(zip(missing, self._ids(missing)))
-        return b"".join(map(words.__getitem__, parts)) + self.end
+            return self._ids(text) + self.end
+        parts = text.replace(" ", "\0 ").split("\0")
+        missing = self._missing(parts)
+        if "\0" in text or any(p[1:2].isspace() or p == " " for p in missing):
+            parts = _CUT.split(text)
+            missing = self._missing(parts)
+        for start in range(0, len(missing), LEARNT):
+            self._learn(missing[start : start + LEARNT])
+        # what comes before the first cut may begin with any white space, so it is not kept then
+        first = self._ids(parts[0]) if parts[0][:1].isspace() else self.words[parts[0]]
+        return first + b"".join(map(self.words.__getitem__, parts[1:])) + self.end
+
+    def _missing(self, parts: list[str]) -> list[str]:
+        words, old = self.words, self.words.old
+        return [p for p in set(parts[1:]) if p not in words and p not in old and len(p) <= CACHED_CHARS]
 
 
 _tokens: dict[str, Tokens] = {}
