@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import automaton, packing, pii, quality, simhash, topk, toxicity
+from faultline.llm import automaton, licenses, packing, pii, quality, simhash, topk, toxicity
 from faultline.llm.common import in_fold, table, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     made = pii.pseudonymise(texts(table(spark, folder, "documents")), PSEUDONYM_KEY, "found")
     return made.select("doc_id", "text", F.size("found").alias("n_values"), "found")
+
+
+@query("op5_licenses")
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
