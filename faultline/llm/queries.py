@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import automaton, licenses, packing, pii, quality, simhash, topk, toxicity
+from faultline.llm import automaton, licenses, maxent, packing, pii, quality, simhash, topk, toxicity
 from faultline.llm.common import in_fold, table, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,8 @@ def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
+@query("op7_maxent_lm")
+def op7_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent.score(table(spark, folder, "documents"), in_fold(7, 2))
