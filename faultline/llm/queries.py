@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import automaton, licenses, maxent, packing, pii, quality, simhash, topk, toxicity
+from faultline.llm import ann, automaton, licenses, maxent, packing, pii, quality, simhash, topk, toxicity
 from faultline.llm.common import in_fold, table, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,8 @@ def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_maxent_lm")
 def op7_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
     return maxent.score(table(spark, folder, "documents"), in_fold(7, 2))
+
+
+@query("op3_adaptive_scan")
+def op3_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
