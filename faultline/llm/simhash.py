@@ -35,6 +35,8 @@ STRIP = 64
 #: Shingles that are hashed and counted together.
 BLOCK = 65_536
 MAX_ROUNDS = 60
+#: Names that no column of the input has.
+_MARK, _ROW, _KEPT = "__fingerprint", "__row", "__kept"
 
 
 def fingerprint(text: str | None, words_each: int, seed: int) -> int:
@@ -196,3 +198,20 @@ def near_duplicates(docs: DataFrame, words_each: int = 4, radius: int = 4, seed:
 
 def as_hex(column):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
+
+
+def one_of_each(docs: DataFrame, words_each: int = 4, radius: int = 4, seed: int = 42, tile: int = TILE) -> DataFrame:
+    """The rows of docs that stay if each component keeps one: that with the smallest doc_id.
+
+    Rows with the same doc_id and text as the one that stays go too, as does all of a component without any
+    doc_id but the row of its smallest fingerprint.
+    """
+    found = fingerprints(docs, _MARK, words_each, seed).withColumn(_ROW, F.monotonically_increasing_id())
+    marked = materialise(found, "fingerprinted")
+    # the first row of each fingerprint: rows with an id before those without, then by id, then by place
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("doc_id"), F.col(_ROW).alias("row"))
+    nodes = materialise(marked.groupBy(F.col(_MARK).alias("fp")).agg(F.min(first).alias("first")), "fingerprint-nodes")
+    parts = components(links(nodes, radius, tile))
+    rooted = nodes.join(parts, nodes["fp"] == parts["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
+    stays = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(_KEPT))
+    return marked.join(stays, F.col(_ROW) == F.col(_KEPT), "left_semi").select(*docs.columns)
