@@ -1,0 +1,81 @@
+"""Pseudonyms: valid, undone by the key, the same everywhere."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from faultline.llm import pii
+from tests.llm.fixtures import AWKWARD, documents, empty_documents
+
+KEY = b"test"
+
+
+@pytest.fixture(scope="module")
+def forward():
+    return pii.Pseudonyms(KEY)
+
+
+@pytest.fixture(scope="module")
+def backward():
+    return pii.Pseudonyms(KEY, undo=True)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 100, 1000])
+def test_feistel_permutes(n):
+    feistel = pii.Feistel(KEY)
+    images = [feistel.permute("t", v, n) for v in range(n)]
+    assert sorted(images) == list(range(n))
+    assert [feistel.permute("t", v, n, undo=True) for v in images] == list(range(n))
+
+
+@pytest.mark.parametrize(
+    ("kind", "value"),
+    [("card", "4172877503934239"), ("card", "4172-8775-0393-4239"), ("phone", "+1 (386) 555-3733"), ("phone", "386-555-3733"), ("phone", "+49 30 1234567"),
+     ("ip", "90.184.217.196"), ("email", "ohrsin.94@mail5.example.com"), ("date", "2020-02-29"), ("date", "03/25/2020"), ("date", "25.03.2020"),
+     ("ssn", "123-45-6789"), ("iban", "DE89 3704 0044 0532 0130 00"), ("iban", "GB82WEST12345698765432")],
+)
+def test_values_change_keep_their_format_and_come_back(forward, backward, kind, value):
+    text = f"Before {value}, after."
+    made, spans = forward.replace(text)
+    assert [s[0] for s in spans] == [kind] and value not in made
+    new = made[spans[0][1] : spans[0][1] + spans[0][2]]
+    if kind not in ("ip",):
+        assert [c if not c.isalnum() else "" for c in new] == [c if not c.isalnum() else "" for c in value]
+    assert made == text.replace(value, new)
+    assert backward.replace(made)[0] == text
+
+
+def test_equal_values_stay_linked_in_any_grouping(forward):
+    made, spans = forward.replace("4172877503934239 4172 8775 0393 4239")
+    assert len(spans) == 2 and made[:16] == made[17:].replace(" ", "")
+
+
+@pytest.mark.parametrize("text", ["4172877503934230", "2020-02-30", "300.1.1.1", "000-12-3456", "version 4.0. and 2.0.", "a@b", "DE00370400440532013000", "", "no. 12"])
+def test_what_is_not_valid_stays(forward, text):
+    assert forward.replace(text) == (text, [])
+
+
+def test_round_trip_of_random_values(forward, backward):
+    rng = random.Random(3)
+    for _ in range(300):
+        body = "".join(rng.choice("123456789") for _ in range(rng.randint(12, 18)))
+        text = f"x {body}{pii.luhn(body)} y {rng.randint(1, 255)}.{rng.randint(0, 255)}.0.{rng.randint(0, 9)} z {rng.randint(1950, 2090)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}"
+        made, spans = forward.replace(text)
+        assert len(spans) == 3 and backward.replace(made)[0] == text
+
+
+def test_documents(spark):
+    rows = [*AWKWARD, (11, "mail a.b1@x.org or 4172877503934239"), (12, "mail a.b1@x.org or 4172877503934239"), (13, None)]
+    docs = documents(spark, rows)
+    made = pii.pseudonymise(docs, KEY, "found")
+    assert made.columns == [*docs.columns, "found"]
+    back = pii.pseudonymise(made.drop("found"), KEY, undo=True)
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(((r["doc_id"], r["text"]) for r in back.collect()), key=order) == sorted(((d, t or "") for d, t in rows), key=order)
+    changed = [r for r in made.collect() if r["found"]]
+    assert {r["doc_id"] for r in changed} == {11, 12} and len({r["text"] for r in changed}) == 1
+    assert pii.pseudonymise(empty_documents(spark), KEY).collect() == []
+    with pytest.raises(ValueError):
+        pii.pseudonymise(docs, KEY, "score")
