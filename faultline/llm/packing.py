@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from faultline.llm.common import CACHED_CHARS, Kept, map_batches, materialise, texts
+from faultline.llm.common import CACHED_CHARS, map_batches, materialise, texts
 
 #: Pieces in one generation of a worker's cache, and pieces encoded together.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 400_000
 LEARNT = 10_000
 #: A single space before something that is no white space always begins a pre-token.
 _CUT = re.compile(r"(?= \S)")
@@ -56,7 +56,8 @@ class Tokens:
         self.rules.no_truncation()
         self.added = [t.content for t in self.rules.get_added_tokens_decoder().values()]
         self.end = np.array([end], dtype="<u4").tobytes()
-        self.words = Kept(self._ids, KEPT_PIECES)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.rules.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -66,30 +67,30 @@ class Tokens:
         found = self.rules.encode("".join(parts), add_special_tokens=False)
         ids = np.array(found.ids, dtype="<u4").tobytes()
         begin = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
-        ends = 4 * np.searchsorted(begin, np.cumsum([len(p) for p in parts]), side="left")
-        at = 0
-        for part, end in zip(parts, ends.tolist()):
-            self.words[part] = ids[at:end]
-            at = end
+        ends = (4 * np.searchsorted(begin, np.cumsum([len(p) for p in parts]), side="left")).tolist()
+        self.young.update(zip(parts, [ids[a:b] for a, b in zip([0, *ends], ends)]))
 
     def encode(self, text: str) -> bytes:
         """Ids with the end token, as little-endian 32-bit integers."""
         if any(t in text for t in self.added):
             return self._ids(text) + self.end
-        parts = text.replace(" ", "\0 ").split("\0")
-        missing = self._missing(parts)
-        if "\0" in text or any(p[1:2].isspace() or p == " " for p in missing):
-            parts = _CUT.split(text)
-            missing = self._missing(parts)
+        if len(self.young) > KEPT_PIECES:
+            self.old, self.young = self.young, {}
+        first, *parts = text.replace(" ", "\0 ").split("\0")
+        fresh = set(parts).difference(self.young)
+        if "\0" in text or any(p == " " or p[1].isspace() for p in fresh):
+            first, *parts = _CUT.split(text)
+            fresh = set(parts).difference(self.young)
+        kept = {p: self.old[p] for p in fresh if p in self.old}
+        self.young.update(kept)
+        missing = list(fresh.difference(kept))
         for start in range(0, len(missing), LEARNT):
             self._learn(missing[start : start + LEARNT])
-        # what comes before the first cut may begin with any white space, so it is not kept then
-        first = self._ids(parts[0]) if parts[0][:1].isspace() else self.words[parts[0]]
-        return first + b"".join(map(self.words.__getitem__, parts[1:])) + self.end
-
-    def _missing(self, parts: list[str]) -> list[str]:
-        words, old = self.words, self.words.old
-        return [p for p in set(parts[1:]) if p not in words and p not in old and len(p) <= CACHED_CHARS]
+        ids = self._ids(first) + b"".join(map(self.young.__getitem__, parts)) + self.end
+        for p in missing:
+            if len(p) > CACHED_CHARS:
+                del self.young[p]
+        return ids
 
 
 _tokens: dict[str, Tokens] = {}
