@@ -159,8 +159,8 @@ def enforce_schema(
 ) -> DataFrame:
     """One projection to the curated types.
 
-    Unreadable whole numbers become -1, unreadable doubles 0.0, unknown booleans false;
-    text is stripped and stays null if missing. Optional columns only if present;
+    Unreadable whole numbers become -1, unreadable or undefined doubles 0.0, unknown booleans
+    false, unreadable dates and times null; text is stripped and stays null if missing. Optional columns only if present;
     columns the schema does not name pass through. Texts named in `stripped` have been
     stripped already.
     """
@@ -178,10 +178,13 @@ def _typed(df: DataFrame, kinds: dict[str, str], stripped: set[str]) -> list:
         elif kind == "double":
             if not isinstance(column.dataType, T.NumericType):
                 value = C.to_number(value)
-            value = F.coalesce(value.cast("double"), F.lit(MISSING_FLOAT))
+            value = value.cast("double")
+            value = F.coalesce(F.nanvl(value, F.lit(None).cast("double")), F.lit(MISSING_FLOAT))
         elif kind == "string" and column.name not in stripped:
             value = C.strip(value.cast("string"))
         elif kind == "boolean":
-            value = F.coalesce(value.cast("boolean"), F.lit(False))
+            value = F.coalesce(value.try_cast("boolean"), F.lit(False))
+        elif kind in ("date", "timestamp") and column.dataType.simpleString() != kind:
+            value = value.try_cast(kind)
         out.append(value.alias(column.name))
     return out

@@ -120,21 +120,21 @@ def null_fields(profile: DataFrame) -> list[str]:
     return [row["field"] for row in empty_fields(profile).select("field").collect()]
 
 
-def group_counts(df: DataFrame, *fields: str) -> DataFrame:
-    """Rows per combination of the fields; accepts rows, or counts made from them."""
-    one = F.col("record_count") if "record_count" in df.columns else F.lit(1).cast("bigint")
+def group_counts(df: DataFrame, *fields: str, counted: bool = False) -> DataFrame:
+    """Rows per combination of the fields; of counts made by this function if `counted`."""
+    one = F.col("record_count") if counted else F.lit(1).cast("bigint")
     return df.groupBy(*fields).agg(F.sum(one).alias("record_count"))
 
 
-def value_counts(df: DataFrame, *fields: str) -> DataFrame:
+def value_counts(df: DataFrame, *fields: str, counted: bool = False) -> DataFrame:
     """Rows per value of each field, most frequent first; nulls are not counted."""
-    counted = group_counts(df, *fields)
-    texts = counted.select(
+    groups = group_counts(df, *fields, counted=counted)
+    texts = groups.select(
         "record_count", *[F.col(name).cast("string").alias(name) for name in fields]
     )
     values = texts.unpivot("record_count", list(fields), "field", "value")
     return (
-        group_counts(values.where(F.col("value").isNotNull()), "field", "value")
+        group_counts(values.where(F.col("value").isNotNull()), "field", "value", counted=True)
         .orderBy("field", F.col("record_count").desc(), "value")
     )
 
@@ -314,9 +314,9 @@ def bad_numeric_values(
     )
 
 
-def make_variants(df: DataFrame) -> DataFrame:
+def make_variants(df: DataFrame, counted: bool = False) -> DataFrame:
     """Each raw make as it appears, with its rows, sorted."""
-    return group_counts(df, "make").orderBy(F.col("make").asc_nulls_last())
+    return group_counts(df, "make", counted=counted).orderBy(F.col("make").asc_nulls_last())
 
 
 def make_variant_total(df: DataFrame) -> DataFrame:
@@ -324,10 +324,10 @@ def make_variant_total(df: DataFrame) -> DataFrame:
     return df.select("make").distinct().agg(F.count(F.lit(1)).alias("variants"))
 
 
-def record_count_summary(df: DataFrame) -> DataFrame:
+def record_count_summary(df: DataFrame, counted: bool = False) -> DataFrame:
     """Rows by source and make; rows without either are left out."""
     named = df.where(F.col("source").isNotNull() & F.col("make").isNotNull())
-    return group_counts(named, "source", "make").orderBy("source", "make")
+    return group_counts(named, "source", "make", counted=counted).orderBy("source", "make")
 
 
 def render_profile(profile: DataFrame) -> DataFrame:

@@ -18,13 +18,12 @@ from faultline.config import (
 from faultline.functions import columns as C
 from faultline.functions.lexicon import (
     Lexicon,
+    LexiconTable,
     compound,
     modified_sum,
     plain_sum,
-    to_micro,
-    tokens,
+    sums_by_join,
 )
-from faultline.operators.joins import lookup_side
 from faultline.operators.quality import value_counts
 
 
@@ -86,46 +85,47 @@ def _spell_out(df: DataFrame, verdicts: dict[str, Column]) -> DataFrame:
 
 def score_columns(
     df: DataFrame,
-    lexicon: Lexicon,
+    lexicon: Lexicon | LexiconTable,
     fields: Iterable[str] = PROSE_FIELDS,
     modifiers: bool = False,
 ) -> DataFrame:
-    """Add score, label and id for each text field the frame has.
+    """Add score, label and id for each text field the frame has, over its whole texts.
 
-    No shuffle: every row is scored where it lies, over its whole text.
+    A lexicon constant scores every row where it lies, without a shuffle. A lexicon table gives the
+    same answers by joins.
     """
+    present = [name for name in fields if name in df.columns]
+    if isinstance(lexicon, LexiconTable):
+        return _score_by_table(df, lexicon, present, modifiers)
     total = modified_sum if modifiers else plain_sum
     return _spell_out(
         df,
         {
             name: F.when(is_scored(F.col(name)), total(F.col(name), lexicon, verdict))
-            for name in fields
-            if name in df.columns
+            for name in present
         },
     )
 
 
-def score_by_join(df: DataFrame, key: str, field: str, valences: DataFrame) -> DataFrame:
-    """The plain score for a lexicon table (token, valence) of any size.
-
-    `key` must identify a row. The table's size decides the join of the words; only the
-    sum per key returns to the rows.
-    """
-    table = valences.select(
-        "token", F.round(F.col("valence") * to_micro(1)).cast("bigint").alias("_micro")
-    )
-    sums = (
-        df.where(is_scored(F.col(field)))
-        .select(key, F.explode(tokens(F.col(field))).alias("token"))
-        .join(lookup_side(table), "token")
-        .groupBy(key)
-        .agg(F.sum("_micro").alias("_micro"))
-    )
-    total = F.coalesce("_micro", F.lit(0).cast("bigint"))
-    judged = _spell_out(
-        df.join(sums, key, "left"), {field: F.when(is_scored(F.col(field)), verdict(total))}
-    )
-    return judged.drop("_micro")
+def _score_by_table(
+    df: DataFrame, lexicon: LexiconTable, fields: list[str], modifiers: bool
+) -> DataFrame:
+    """Each distinct text is scored once; rows meet its sum by the text's digest."""
+    columns, verdicts = df.columns, {}
+    for name in fields:
+        digest = F.when(is_scored(F.col(name)), F.unhex(F.sha2(F.col(name), 256)))
+        df = df.withColumn(f"_key_{name}", digest)
+        texts = df.where(F.col(f"_key_{name}").isNotNull()).select(
+            F.col(f"_key_{name}").alias("key"), F.col(name).alias("text")
+        )
+        sums = sums_by_join(texts.dropDuplicates(["key"]), lexicon, modifiers).select(
+            F.col("key").alias(f"_of_{name}"), F.col("micro").alias(f"_micro_{name}")
+        )
+        df = df.join(sums, F.col(f"_key_{name}") == F.col(f"_of_{name}"), "left")
+        total = F.coalesce(f"_micro_{name}", F.lit(0).cast("bigint"))
+        verdicts[name] = F.when(F.col(f"_key_{name}").isNotNull(), verdict(total))
+    scored = _spell_out(df, verdicts)
+    return scored.select(*columns, *[c for c in scored.columns if "_sentiment_" in c and c not in columns])
 
 
 def label_distribution(df: DataFrame, fields: Iterable[str] = PROSE_FIELDS) -> DataFrame:
