@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
 _DONE = "_SUCCESS"
+_UNDER_WAY = "_temporary"
 
 
 @dataclass(frozen=True)
@@ -17,23 +20,48 @@ class Entry:
     is_folder: bool
 
 
-def entries(spark: SparkSession, pattern: str) -> list[Entry]:
+def entries(
+    spark: SparkSession, pattern: str, besides: Collection[str] = ()
+) -> list[Entry]:
     """Files and completed folders matching a glob, sorted by name.
 
-    One entry per snapshot, never one per data file. A folder without the mark of a
-    committed job is left out: its writer was lost half-way. The commit mark's time
-    stands for the folder's, because object stores keep no time for folders.
+    One entry per snapshot, never one per data file. A folder without the mark of a committed job
+    is left out with a warning that names it: its writer was lost half-way. Where this session's
+    jobs write no marks, a folder counts as completed once nothing temporary is left in it. The
+    mark's time stands for the folder's, because object stores keep no time for folders.
     """
     hadoop = spark._jvm.org.apache.hadoop.fs
+    settings = spark._jsc.hadoopConfiguration()
+    unmarked = settings.get("mapreduce.fileoutputcommitter.marksuccessfuljobs") == "false"
     target = hadoop.Path(pattern)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs = target.getFileSystem(settings)
     found = []
     for status in fs.globStatus(target) or []:
         path, modified = status.getPath(), status.getModificationTime()
+        if path.getName() in besides:
+            continue
         if status.isDirectory():
             done = hadoop.Path(path, _DONE)
-            if not fs.exists(done):
+            if fs.exists(done):
+                modified = fs.getFileStatus(done).getModificationTime()
+            elif not unmarked or fs.exists(hadoop.Path(path, _UNDER_WAY)):
+                warnings.warn(f"left out, not marked as complete: {path.toString()}", stacklevel=2)
                 continue
-            modified = fs.getFileStatus(done).getModificationTime()
         found.append(Entry(path.getName(), path.toString(), modified, status.isDirectory()))
     return sorted(found, key=lambda entry: entry.name)
+
+
+def folders(spark: SparkSession, pattern: str) -> list[Entry]:
+    """Folders matching a glob, complete or not."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [
+        Entry(status.getPath().getName(), status.getPath().toString(), status.getModificationTime(), True)
+        for status in fs.globStatus(target) or []
+        if status.isDirectory()
+    ]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

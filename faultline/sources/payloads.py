@@ -2,7 +2,7 @@
 
 A payload row has the request parameters make, model, year, the arrival time fetched_at
 and the response text. A response that cannot be read gives no records, as a failed
-request does; `coverage_grid` shows such holes.
+request does; `unreadable_payloads` counts them and `coverage_grid` shows the holes.
 """
 
 from __future__ import annotations
@@ -33,6 +33,19 @@ RECALL_KEYS = {
 }
 
 
+# A map, unlike a struct, tells an absent key from one that is null.
+_RESULTS = "results array<map<string,string>>"
+
+
+def unreadable_payloads(payloads: DataFrame) -> DataFrame:
+    """Payloads per make, and those of them without a readable list of results."""
+    readable = F.from_json("payload", _RESULTS)["results"].isNotNull()
+    return payloads.groupBy("make").agg(
+        F.count(F.lit(1)).alias("payloads"),
+        F.count_if(~readable).alias("unreadable"),
+    )
+
+
 def _pick(item: Column, key: str, default: str) -> Column:
     """The value of a key; the default only if the key is absent, so null stays null."""
     known = F.map_contains_key(item, key)
@@ -42,8 +55,7 @@ def _pick(item: Column, key: str, default: str) -> Column:
 def _flatten(
     payloads: DataFrame, prefix: str, id_key: str, source: str, weight: float, keys: dict
 ) -> DataFrame:
-    # A map, unlike a struct, tells an absent key from one that is null.
-    parsed = F.from_json("payload", "results array<map<string,string>>")["results"]
+    parsed = F.from_json("payload", _RESULTS)["results"]
     items = payloads.select("make", "model", "year", "fetched_at", F.explode(parsed).alias("item"))
     item = F.col("item")
     # A null id prints as None behind the prefix.

@@ -11,13 +11,13 @@ from faultline.config import FIRST_YEAR, LAST_YEAR, REQUEST_MODELS
 from faultline.operators.dedupe import union_all
 from faultline.sources import listing
 
-LAYOUTS = ("lines", "array", "indented")
+LAYOUTS = ("auto", "lines", "array", "indented")
 
 
 def read_snapshot(
     spark: SparkSession,
     path: str | list[str],
-    layout: str = "array",
+    layout: str = "auto",
     schema: T.StructType = schemas.RAW,
     keep_corrupt: bool = False,
     line_end: str = "\n",
@@ -26,11 +26,21 @@ def read_snapshot(
 
     `lines` has one record per line and `indented` is an array dumped with an indent of
     two and the given line end; both split over tasks however long the file. `array`
-    takes any formatting, one task per file. Unreadable records end the job, or are kept
-    in `_corrupt_record`.
+    takes any formatting, one task per file. `auto` looks at the first lines of each path. Unreadable
+    records end the job, or are kept in `_corrupt_record`.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
+    if layout == "auto":
+        groups: dict[tuple[str, str], list[str]] = {}
+        for one in [path] if isinstance(path, str) else path:
+            groups.setdefault(detect_layout(spark, one), []).append(one)
+        return union_all(
+            *[
+                read_snapshot(spark, paths, kind, schema, keep_corrupt, end)
+                for (kind, end), paths in groups.items()
+            ]
+        )
     mode = "PERMISSIVE" if keep_corrupt else "FAILFAST"
     if keep_corrupt:
         schema = T.StructType([*schema.fields, T.StructField(schemas.CORRUPT, T.StringType())])
@@ -40,6 +50,17 @@ def read_snapshot(
     return reader.option("multiLine", layout == "array").json(path)
 
 
+def detect_layout(spark: SparkSession, path: str) -> tuple[str, str]:
+    """Layout and line end of a snapshot, from its first two lines; they alone are read."""
+    first = [row["value"] for row in spark.read.option("lineSep", "\n").text(path).take(2)]
+    head = [line.removesuffix("\r") for line in first]
+    if head and head[0].startswith("{") and head[0].rstrip().endswith("}"):
+        return "lines", "\n"
+    if head == ["[", "  {"]:
+        return "indented", "\r\n" if first[0].endswith("\r") else "\n"
+    return "array", "\n"
+
+
 def _read_indented(spark, path, schema: T.StructType, mode: str, line_end: str) -> DataFrame:
     # Text values cannot hold a raw line end, so the separator only occurs between records.
     pieces = spark.read.option("lineSep", f"{line_end}  }},{line_end}").text(path)
@@ -77,10 +98,10 @@ def latest_snapshot(spark: SparkSession, folder: str, by: str = "name") -> listi
 def read_entries(
     spark: SparkSession, found: list[listing.Entry], layout: str | None = None
 ) -> DataFrame:
-    """Listed snapshots appended. Without a layout, folders hold lines and files an array."""
+    """Listed snapshots appended. Without a layout, folders hold lines and files tell theirs."""
     paths: dict[str, list[str]] = {}
     for entry in found:
-        kind = layout or ("lines" if entry.is_folder else "array")
+        kind = layout or ("lines" if entry.is_folder else "auto")
         paths.setdefault(kind, []).append(entry.path)
     return union_all(*[read_snapshot(spark, group, kind) for kind, group in paths.items()])
 

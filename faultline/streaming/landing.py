@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,39 +11,51 @@ from faultline.config import Profile
 from faultline.functions.lexicon import Lexicon
 from faultline.operators.dedupe import dedupe_by_key
 from faultline.plans.jobs import standardise
-from faultline.sinks.writers import PARTITIONS, write_facts
+from faultline.session import fresh_path
+from faultline.sinks.writers import PARTITIONS, spread
+from faultline.sources import facts, listing
 from faultline.sources.facts import FACTS_PREFIX
-from faultline.sources.listing import entries
-
-
-def _in_partitions_of(new: DataFrame) -> Column:
-    """A filter on the partitions the rows touch, known before the scan is planned.
-
-    One value per partition folder; the folders are listed on the driver in any case.
-    """
-    years: dict[str, list[int]] = defaultdict(list)
-    for row in new.select(*PARTITIONS).distinct().collect():
-        years[row["make"]].append(row["year"])
-    conditions = [
-        (F.col("make") == make) & F.col("year").isin(found) for make, found in years.items()
-    ]
-    return reduce(or_, conditions, F.lit(False))
 
 
 def merge_facts(new: DataFrame, base: str, stem: str, profile: Profile) -> str:
     """Merge facts into the written ones: the latest row per key stays.
 
-    Only the partitions the new rows touch are read and replaced, and the key contains
-    the partition columns, so no other partition can change. Merging the same rows twice
-    changes nothing, so a batch may be repeated after a failure.
+    The partitions that the new rows touch are read, merged and written below a new version
+    folder; then a manifest names for every partition the version that holds it. Nothing written
+    before is changed or removed, so a merge lost at any point leaves the facts as they were, and
+    repeating it gives the same rows. Facts of a full refresh become the first version as a whole.
+    The new rows are worked out once.
     """
     spark = new.sparkSession
-    written = entries(spark, f"{base.rstrip('/')}/{FACTS_PREFIX}{stem}")
-    merged = new
-    for entry in written:
-        old = spark.read.schema(schemas.curated(profile)).parquet(entry.path)
-        merged = old.where(_in_partitions_of(new)).unionByName(new, allowMissingColumns=True)
-    return write_facts(dedupe_by_key(merged), base, stem, only_touched=bool(written))
+    path = f"{base.rstrip('/')}/{FACTS_PREFIX}{stem}"
+    landed = fresh_path(spark, "landed")
+    new.write.parquet(landed)
+    rows = spark.read.schema(new.schema).parquet(landed)
+    touched = rows.select(*PARTITIONS).distinct()
+
+    known = facts.manifests(spark, path)
+    if known:
+        held = facts.read_manifest(spark, path, known[-1])
+        old = facts.scan_merged(spark, path, profile, known[-1])
+        # by partition columns alone, so that only those partitions are read
+        old = old.join(touched, list(PARTITIONS), "left_semi")
+        rest = held.join(touched, list(PARTITIONS), "left_anti")
+    else:
+        plain = listing.exists(spark, path) and not listing.exists(spark, f"{path}/{facts.MANIFESTS}")
+        old = facts.scan_entry(spark, path, profile) if plain else None
+        rest = None
+    merged = rows if old is None else old.unionByName(rows, allowMissingColumns=True)
+    version = int(known[-1].name) + 1 if known else 1
+    folder = f"{path}/version={version}"
+    # of a version without a manifest nothing is read, so one left behind is written anew
+    written = spread(dedupe_by_key(merged)).write.mode("overwrite")
+    written.option("partitionOverwriteMode", "static").partitionBy(*PARTITIONS).parquet(folder)
+    fresh = spark.read.schema(merged.schema).parquet(folder).select(*PARTITIONS).distinct()
+    entries = fresh.withColumn("version", F.lit(version).cast("long"))
+    if rest is not None:
+        entries = rest.unionByName(entries)
+    entries.coalesce(1).write.mode("overwrite").parquet(f"{path}/{facts.MANIFESTS}/{version:010d}")
+    return path
 
 
 def stream_snapshots(
@@ -75,13 +83,13 @@ def start_landing(
     Cleaning is row-wise and the merge deduplicates by key, so the stream keeps no state
     beyond the list of files seen.
     """
-    facts = standardise(records, profile, lexicon)
+    cleaned = standardise(records, profile, lexicon)
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         merge_facts(batch, base, stem, profile)
 
     return (
-        facts.writeStream.foreachBatch(merge)
+        cleaned.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
