@@ -39,12 +39,13 @@ def transform(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.report:
         empty = quality.null_fields(spark.read.parquet(f"{args.report}/field_profile"))
     stem = latest.name.removesuffix(".json")
-    print(jobs.run_transform(raw, args.out, stem, profile, lexicon, empty))
+    print(jobs.run_transform(raw, args.out, stem, profile, lexicon, empty, args.modifiers))
 
 
 def analyse(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = facts.scan_facts(spark, args.facts, PROFILES[args.profile], args.snapshot)
-    for path in jobs.run_analysis(rows, args.out, args.first_year, args.last_year):
+    profile = PROFILES[args.profile]
+    rows = facts.scan_facts(spark, args.facts, profile, args.snapshot)
+    for path in jobs.run_analysis(rows, args.out, args.first_year, args.last_year, profile):
         print(path)
 
 
@@ -74,6 +75,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--latest", choices=("name", "mtime"), default="name")
             sub.add_argument("--infer-dates", action="store_true")
             sub.add_argument("--lexicon")
+            sub.add_argument("--modifiers", action="store_true")
             sub.add_argument("--report")
 
     sub = command(analyse, "facts", "out")

@@ -11,6 +11,9 @@ costs one scan of the facts.
 
 from __future__ import annotations
 
+from functools import partial
+from inspect import signature
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,12 +25,22 @@ from faultline.config import (
     MISSING_TEXT,
     RECALLS,
     UNKNOWN_MAKE,
+    Profile,
 )
 from faultline.functions import columns as C
 
 TALLY_KEYS = ("make", "model", "component", "year", "source")
-_MEASURES = ("records", "crashes", "injured", "units", "units_reported")
+_MEASURES = (
+    "records",
+    "crashes",
+    "injured",
+    "units",
+    "units_reported",
+    "known_units",
+    "known_units_reported",
+)
 
+# The statuses as reports show them.
 STATUS_HIGH = "high concern — no recall"
 STATUS_NONE = "no recall issued"
 STATUS_EXISTS = "recall exists"
@@ -41,17 +54,21 @@ def _is_recall() -> Column:
     return F.col("source") == RECALLS
 
 
-def tally(facts: DataFrame, exclude_sentinels: bool = False) -> DataFrame:
+def is_tally(rows: DataFrame) -> bool:
+    """Whether the columns are those of a tally, all of them and no others."""
+    return set(rows.columns) == {*TALLY_KEYS, *_MEASURES}
+
+
+def tally(facts: DataFrame) -> DataFrame:
     """Facts as additive measures, one row per record; a tally passes through.
 
-    A projection only, so column pruning and filters still reach the scan.
-    `exclude_sentinels` leaves out the -1 that stands for missing units.
+    A projection only, so column pruning and filters still reach the scan. Units are kept twice,
+    with and without the -1 that stands for missing ones.
     """
-    if "records" in facts.columns:
+    if is_tally(facts):
         return facts
     units = F.col("units_affected")
-    if exclude_sentinels:
-        units = F.nullif(units, F.lit(MISSING_INT))
+    known = F.nullif(units, F.lit(MISSING_INT))
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     return facts.select(
         *TALLY_KEYS,
@@ -60,16 +77,14 @@ def tally(facts: DataFrame, exclude_sentinels: bool = False) -> DataFrame:
         F.when(F.col("injuries") > 0, F.col("injuries")).otherwise(none).alias("injured"),
         units.alias("units"),
         F.when(units.isNotNull(), one).otherwise(none).alias("units_reported"),
+        known.alias("known_units"),
+        F.when(known.isNotNull(), one).otherwise(none).alias("known_units_reported"),
     )
 
 
-def roll_up(facts: DataFrame, exclude_sentinels: bool = False) -> DataFrame:
+def roll_up(facts: DataFrame) -> DataFrame:
     """The tally summed per key: all questions below can be answered from it."""
-    return (
-        tally(facts, exclude_sentinels)
-        .groupBy(*TALLY_KEYS)
-        .agg(*[F.sum(name).alias(name) for name in _MEASURES])
-    )
+    return tally(facts).groupBy(*TALLY_KEYS).agg(*[F.sum(name).alias(name) for name in _MEASURES])
 
 
 def _sum_where(condition: Column, measure: str) -> Column:
@@ -190,15 +205,19 @@ def model_complaints(facts: DataFrame, placeholder: str = MISSING_TEXT) -> DataF
 def model_recalls(
     facts: DataFrame, placeholder: str = MISSING_TEXT, exclude_sentinels: bool = False
 ) -> DataFrame:
-    """Recalls and units recalled per model; a campaign counts once per row."""
+    """Recalls and units recalled per model; a campaign counts once per row.
+
+    `exclude_sentinels` leaves out the -1 that stands for missing units.
+    """
+    units = "known_units" if exclude_sentinels else "units"
     return (
-        tally(facts, exclude_sentinels)
+        tally(facts)
         .where(_is_recall() & (F.col("make") != UNKNOWN_MAKE) & (F.col("model") != placeholder))
         .groupBy("make", "model")
         .agg(
             F.sum("records").alias("recall_count"),
-            F.sum("units").alias("total_units_affected"),
-            C.ratio(F.sum("units"), F.sum("units_reported")).alias("avg_units_per_recall"),
+            F.sum(units).alias("total_units_affected"),
+            C.ratio(F.sum(units), F.sum(f"{units}_reported")).alias("avg_units_per_recall"),
         )
         .orderBy("make", _desc("recall_count"))
     )
@@ -275,19 +294,29 @@ def model_totals(facts: DataFrame, placeholder: str = MISSING_TEXT) -> DataFrame
     return _totals(named, "make", "model").orderBy("make", _desc("total"))
 
 
+def _with_brand_total(groups: DataFrame, measure: str, name: str) -> DataFrame:
+    """Each group with the sum of its make's groups, as one more column.
+
+    A make may have any number of groups, so they are summed in each task first and the few
+    totals go back to them; no task holds a make.
+    """
+    totals = groups.groupBy("make").agg(F.sum(measure).alias(name))
+    return groups.join(totals, "make")
+
+
 def model_share_of_brand(facts: DataFrame, placeholder: str = MISSING_TEXT) -> DataFrame:
     """Each model's share of all complaints of its make.
 
-    The make's total includes records without a model name, so the window comes before
-    that filter; it runs over one row per model.
+    The make's total includes records without a model name, so it is taken before that filter.
     """
-    brand = F.sum("complaints").over(Window.partitionBy("make"))
-    return (
+    groups = (
         _known_makes(facts)
         .where(_is_complaint())
         .groupBy("make", "model")
         .agg(F.sum("records").alias("complaints"))
-        .withColumn("brand_total", brand)
+    )
+    return (
+        _with_brand_total(groups, "complaints", "brand_total")
         .where(F.col("model") != placeholder)
         .withColumn(
             "pct_of_brand_complaints", C.percent(F.col("complaints"), F.col("brand_total"))
@@ -302,13 +331,11 @@ def component_recall_gap(
 ) -> DataFrame:
     """Components with complaints, whether a recall answers them, and their share.
 
-    The share is of the make's complaints with a named component; the window runs over
-    one row per component.
+    The share is of the make's complaints with a named component.
     """
-    brand = F.sum("complaint_count").over(Window.partitionBy("make"))
     no_recall = F.col("recall_count") == 0
     worrying = (F.col("complaint_count") >= concern_from) & (F.col("crash_count") > 0)
-    return (
+    groups = (
         _known_makes(facts)
         .where((F.col("component") != placeholder) & (_is_complaint() | _is_recall()))
         .groupBy("make", "component")
@@ -320,13 +347,18 @@ def component_recall_gap(
             F.coalesce(_recalls("units"), F.lit(0).cast("bigint")).alias("units_affected"),
         )
         .where(F.col("complaint_count") > 0)
+    )
+    share = C.percent(F.col("complaint_count"), F.col("brand_total"))
+    return (
+        _with_brand_total(groups, "complaint_count", "brand_total")
         .withColumn(
             "recall_status",
             F.when(no_recall & worrying, STATUS_HIGH)
             .when(no_recall, STATUS_NONE)
             .otherwise(STATUS_EXISTS),
         )
-        .withColumn("pct_of_brand_complaints", C.percent(F.col("complaint_count"), brand))
+        .withColumn("pct_of_brand_complaints", share)
+        .drop("brand_total")
         .orderBy("make", _desc("crash_count"), _desc("complaint_count"))
     )
 
@@ -370,3 +402,22 @@ REPORTS = {
     "q3_model_scorecard": model_scorecard,
     "q4_year_trend": year_trend,
 }
+# The cloud report adds these; all its questions leave out the cloud profile's placeholder.
+CLOUD_REPORTS = {
+    "q5_brand_totals": brand_totals,
+    "q6_model_totals": model_totals,
+    "q7_model_share_of_brand": model_share_of_brand,
+    "q8_component_recall_gap": component_recall_gap,
+}
+
+
+def report_questions(profile: Profile) -> dict:
+    """Name of each saved result of a profile -> the question of the facts or the tally."""
+    questions = REPORTS | (CLOUD_REPORTS if profile.label_placeholder != MISSING_TEXT else {})
+    takes = {name: signature(question).parameters for name, question in questions.items()}
+    return {
+        name: partial(question, placeholder=profile.label_placeholder)
+        if "placeholder" in takes[name]
+        else question
+        for name, question in questions.items()
+    }

@@ -12,21 +12,24 @@ from faultline.config import (
     DIM_SENTIMENT,
     FIRST_YEAR,
     LAST_YEAR,
+    LOCAL,
     PROSE_FIELDS,
     UNKNOWN_MAKE,
     Profile,
 )
-from faultline.functions.lexicon import Lexicon
+from faultline.functions.lexicon import Lexicon, LexiconTable
 from faultline.operators import clean, dedupe, makes, quality, sentiment
 from faultline.plans import analytics
+from faultline.session import fresh_path
 from faultline.sinks import writers
 
 
 def transform(
     raw: DataFrame,
     profile: Profile,
-    lexicon: Lexicon | None = None,
+    lexicon: Lexicon | LexiconTable | None = None,
     empty_columns: Iterable[str] | None = None,
+    modifiers: bool = False,
 ) -> DataFrame:
     """Raw records to curated facts as one lazy plan; its only shuffle is the dedupe.
 
@@ -38,10 +41,15 @@ def transform(
     # Copies do not change which columns are empty, so the check reads the raw records.
     doomed = clean.null_columns(raw) if empty_columns is None else list(empty_columns)
     df = dedupe.drop_exact_duplicates(raw)
-    return standardise(clean.drop_null_columns(df, doomed), profile, lexicon)
+    return standardise(clean.drop_null_columns(df, doomed), profile, lexicon, modifiers)
 
 
-def standardise(df: DataFrame, profile: Profile, lexicon: Lexicon | None = None) -> DataFrame:
+def standardise(
+    df: DataFrame,
+    profile: Profile,
+    lexicon: Lexicon | LexiconTable | None = None,
+    modifiers: bool = False,
+) -> DataFrame:
     """The row-wise part of the transform: clean, map makes, score or date, type."""
     df = clean.clean_numeric(df)
     df = clean.clean_text(df, clean.text_placeholders(profile))
@@ -52,7 +60,7 @@ def standardise(df: DataFrame, profile: Profile, lexicon: Lexicon | None = None)
     df = clean.clean_booleans(df)
     df = makes.normalise_make(df, profile.make_keywords)
     if profile.with_sentiment and lexicon is not None:
-        df = sentiment.score_columns(df, lexicon, PROSE_FIELDS)
+        df = sentiment.score_columns(df, lexicon, PROSE_FIELDS, modifiers)
     if profile.with_etl_timestamp:
         df = clean.add_etl_timestamp(df)
     labels = [name for name in df.columns if name.endswith("_sentiment_label")]
@@ -75,14 +83,15 @@ def run_transform(
     base: str,
     stem: str,
     profile: Profile,
-    lexicon: Lexicon | None = None,
+    lexicon: Lexicon | LexiconTable | None = None,
     empty_columns: Iterable[str] | None = None,
+    modifiers: bool = False,
 ) -> RunSummary:
     """Transform and write facts and dimensions; figures come from the write itself."""
     doomed = clean.null_columns(raw) if empty_columns is None else list(empty_columns)
     read, written = Observation(), Observation()
     observed = raw.observe(read, F.count(F.lit(1)).alias("rows"))
-    facts = transform(observed, profile, lexicon, doomed)
+    facts = transform(observed, profile, lexicon, doomed, modifiers)
 
     codes = [code for _, code, _ in profile.make_keywords] + [UNKNOWN_MAKE]
     figures = {f"make:{code}": F.col("make") == code for code in dict.fromkeys(codes)}
@@ -136,10 +145,10 @@ def run_validate(
         keep(name, table)
 
     counts = keep("counts", quality.group_counts(raw, "source", "make"))
-    keep("value_counts", quality.value_counts(counts, "source", "make"))
-    keep("make_variants", quality.make_variants(counts))
+    keep("value_counts", quality.value_counts(counts, "source", "make", counted=True))
+    keep("make_variants", quality.make_variants(counts, counted=True))
     keep("make_variant_total", quality.make_variant_total(counts))
-    keep("record_count_summary", quality.record_count_summary(counts))
+    keep("record_count_summary", quality.record_count_summary(counts, counted=True))
 
     duplicates = keep("duplicate_rows", dedupe.duplicate_rows(raw))
     if duplicates.first()["duplicate_rows"]:
@@ -151,21 +160,23 @@ def run_validate(
 
 
 def run_analysis(
-    facts: DataFrame, folder: str, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR
+    facts: DataFrame,
+    folder: str,
+    first_year: int = FIRST_YEAR,
+    last_year: int = LAST_YEAR,
+    profile: Profile = LOCAL,
 ) -> list[str]:
-    """Answer all questions and save them as CSV.
+    """Answer all questions of the profile and save them as CSV.
 
-    The facts are scanned once: their tally is written beside the results and every
+    The facts are scanned once: their tally is written to the shared folder and every
     question reads it from there, also after a lost executor.
     """
     spark = facts.sparkSession
-    tally_path = f"{folder.rstrip('/')}/tally"
-    analytics.roll_up(facts).write.mode("overwrite").parquet(tally_path)
+    tally_path = fresh_path(spark, "tally")
+    analytics.roll_up(facts).write.parquet(tally_path)
     tally = spark.read.parquet(tally_path)
-    results = {
-        name: question(tally, first_year=first_year, last_year=last_year)
-        if question is analytics.year_trend
-        else question(tally)
-        for name, question in analytics.REPORTS.items()
-    }
+    results = {}
+    for name, question in analytics.report_questions(profile).items():
+        years = {"first_year": first_year, "last_year": last_year}
+        results[name] = question(tally, **(years if question is analytics.year_trend else {}))
     return writers.write_results(results, folder)

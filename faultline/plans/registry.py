@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from faultline import schemas
 from faultline.config import CLOUD, COMPLAINTS, LOCAL, RECALLS, Profile
 from faultline.functions import columns as C
 from faultline.functions.columns import WHITESPACE
-from faultline.functions.lexicon import MICRO, Lexicon, to_micro
+from faultline.functions.lexicon import MICRO, Lexicon, LexiconTable, to_micro, tokens
 from faultline.operators import clean, dedupe, dims, makes, quality, sentiment
 from faultline.plans import analytics as A
 from faultline.plans import bindings as B
@@ -21,6 +22,7 @@ from faultline.session import fresh_path, prepare
 from faultline.sinks import writers
 from faultline.sources import facts as fact_source
 from faultline.sources import payloads, snapshots
+from faultline.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,18 +102,15 @@ def _(spark, folder):
 @query(
     "weighted_brand_risk",
     FACTS
-    + f""", stats as (
-      select component, {_CRASHES}*1.0e0/nullif(count(*),0) as crash_rate
-      from f where source='nhtsa_complaints' and component!='N/A'
-      group by component having count(*)>=10),
-    pairs as (
-      select f.make, f.component, count(*) as n
-      from f join stats s on f.component=s.component
-      where f.source='nhtsa_complaints' and f.component!='N/A' and f.make!='UNKNOWN'
-      group by f.make, f.component)
-    select p.make,
-      round(sum(p.n*s.crash_rate)/nullif(sum(p.n),0)*100,2) as weighted_crash_risk_pct
-    from pairs p join stats s on p.component=s.component group by p.make""",
+    + """, g as (
+      select make, component, count(*) as n, count(*) filter (where crash_involved) as crashes
+      from f where source='nhtsa_complaints' and component<>'N/A' group by all),
+    w as (
+      select make, n, sum(n) over everywhere as total,
+        sum(crashes) over everywhere * 1.0e0 / sum(n) over everywhere as rate
+      from g window everywhere as (partition by component))
+    select make, round(100 * sum(n * rate) / sum(n), 2) as weighted_crash_risk_pct
+    from w where total >= 10 and make <> 'UNKNOWN' group by make""",
 )
 def _(spark, folder):
     return A.weighted_brand_risk(B.facts(spark, folder))
@@ -145,22 +144,27 @@ def _(spark, folder):
 def _scorecard_sql(ctes: str, placeholder: str) -> str:
     return (
         ctes
-        + f""", c as (
-      select make, model, count(*) as complaint_count from f
-      where source='nhtsa_complaints' and model!='{placeholder}' and make!='UNKNOWN'
-      group by make, model),
-    r as (
-      select make, model, count(*) as recall_count,
-        cast(sum(units_affected) as bigint) as units_affected from f
-      where source='nhtsa_recalls' and model!='{placeholder}' and make!='UNKNOWN'
-      group by make, model)
-    select c.make, c.model, c.complaint_count, coalesce(r.recall_count,0) as recall_count,
-      coalesce(r.units_affected,0) as units_affected,
-      {_pct("coalesce(r.recall_count,0)", "c.complaint_count")} as recall_to_complaint_pct
-    from c left join r on c.make=r.make and c.model=r.model"""
+        + f""", cards as (
+      select make, model, {_N_COMPLAINTS} as complaint_count, {_N_RECALLS} as recall_count,
+        cast(coalesce(sum(units_affected) filter (where source='nhtsa_recalls'), 0) as bigint) as units_affected
+      from f where make<>'UNKNOWN' and model<>'{placeholder}' group by all)
+    select *, {_pct("recall_count", "complaint_count")} as recall_to_complaint_pct
+    from cards where complaint_count > 0"""
     )
 
 
+@query(
+    "model_recalls_no_sentinels",
+    FACTS
+    + """select make, model, count(*) as recall_count,
+    cast(sum(nullif(units_affected, -1)) as bigint) as total_units_affected,
+    avg(nullif(units_affected, -1)) as avg_units_per_recall
+    from f where source='nhtsa_recalls' and model<>'N/A' and make<>'UNKNOWN' group by all""",
+)
+def _(spark, folder):
+    return A.model_recalls(A.roll_up(B.facts(spark, folder)), exclude_sentinels=True)
+
+
 @query("model_scorecard", _scorecard_sql(FACTS, "N/A"))
 def _(spark, folder):
     return A.model_scorecard(B.facts(spark, folder))
@@ -206,16 +210,12 @@ def _(spark, folder):
 @query(
     "model_share_of_brand",
     CLOUD_FACTS
-    + f""", t as (
-      select make, count(*) as brand_total from f
-      where source='nhtsa_complaints' and make!='UNKNOWN' group by make),
-    m as (
-      select make, model, count(*) as complaints from f
-      where source='nhtsa_complaints' and make!='UNKNOWN' and model!='Unknown'
-      group by make, model)
-    select m.make, m.model, m.complaints, t.brand_total,
-      {_pct("m.complaints", "t.brand_total")} as pct_of_brand_complaints
-    from m join t on m.make=t.make""",
+    + f""", n as (
+      select make, model, count(*) as complaints,
+        cast(sum(count(*)) over (partition by make) as bigint) as brand_total
+      from f where source='nhtsa_complaints' and make<>'UNKNOWN' group by make, model)
+    select *, {_pct("complaints", "brand_total")} as pct_of_brand_complaints
+    from n where model<>'Unknown'""",
 )
 def _(spark, folder):
     return A.model_share_of_brand(B.facts(spark, folder, "Unknown"), "Unknown")
@@ -224,26 +224,19 @@ def _(spark, folder):
 @query(
     "component_recall_gap",
     CLOUD_FACTS
-    + f""", c as (
-      select make, component, count(*) as complaint_count, {_CRASHES} as crash_count,
-        cast(sum(case when injuries>0 then injuries else 0 end) as bigint) as total_injuries
-      from f where source='nhtsa_complaints' and make!='UNKNOWN' and component!='Unknown'
-      group by make, component),
-    r as (
-      select make, component, count(*) as recall_count,
-        cast(sum(units_affected) as bigint) as units_affected
-      from f where source='nhtsa_recalls' and make!='UNKNOWN' and component!='Unknown'
-      group by make, component)
-    select c.make, c.component, c.complaint_count, c.crash_count, c.total_injuries,
-      coalesce(r.recall_count,0) as recall_count,
-      coalesce(r.units_affected,0) as units_affected,
-      case when coalesce(r.recall_count,0)=0 and c.complaint_count>=50 and c.crash_count>0
-             then 'high concern — no recall'
-           when coalesce(r.recall_count,0)=0 then 'no recall issued'
-           else 'recall exists' end as recall_status,
-      {_pct("c.complaint_count", "sum(c.complaint_count) over (partition by c.make)")}
-        as pct_of_brand_complaints
-    from c left join r on c.make=r.make and c.component=r.component""",
+    + f""", g as (
+      select make, component, {_N_COMPLAINTS} as complaint_count, {_N_RECALLS} as recall_count,
+        count(*) filter (where source='nhtsa_complaints' and crash_involved) as crash_count,
+        cast(coalesce(sum(greatest(injuries, 0)) filter (where source='nhtsa_complaints'), 0) as bigint) as total_injuries,
+        cast(coalesce(sum(units_affected) filter (where source='nhtsa_recalls'), 0) as bigint) as units_affected
+      from f where make<>'UNKNOWN' and component<>'Unknown' group by all
+      having complaint_count > 0)
+    select *,
+      case when recall_count > 0 then 'recall exists'
+        when complaint_count >= 50 and crash_count > 0 then 'high concern — no recall'
+        else 'no recall issued' end as recall_status,
+      {_pct("complaint_count", "sum(complaint_count) over (partition by make)")} as pct_of_brand_complaints
+    from g""",
 )
 def _(spark, folder):
     return A.component_recall_gap(B.facts(spark, folder, "Unknown"), "Unknown")
@@ -842,10 +835,37 @@ def _(spark, folder):
     valences = spark.createDataFrame(
         list(B.VALENCES.items()), "token string, valence double"
     )
-    scored = sentiment.score_by_join(_bodies(spark, folder), "doc_id", "body", valences)
+    scored = sentiment.score_columns(_bodies(spark, folder), LexiconTable.of(valences), ["body"])
     return scored.drop("body")
 
 
+# The words of the documents by their length, and some of them once more in upper case: over
+# 20,000 entries from sf0.01 on.
+_LARGE_LEXICON = r"""words as (
+      select distinct token from (select unnest(string_split_regex(lower(text), '[^\p{L}\p{N}'']+')) as token
+        from documents) where regexp_full_match(token, '[a-z]+')),
+    entries as (select token, (length(token) % 7 - 3) * 1.0e0 as valence from words
+      union all select upper(token), 0.5e0 from words where length(token) % 3 = 0),
+    lex as (select lower(token) as token, cast(sum(cast(round(valence * 1000000) as bigint)) as bigint) as v
+      from entries group by 1), """
+
+
+@query(
+    "sentiment_large_lexicon",
+    f"with {_LARGE_LEXICON} t as (select doc_id, text as body from documents) "
+    + _scored_sql("t", "doc_id", ["body"], ["doc_id"]),
+)
+def _(spark, folder):
+    bodies = _bodies(spark, folder)
+    words = bodies.select(F.explode(tokens(F.col("body"))).alias("token")).distinct()
+    words = words.where(F.rlike("token", F.lit("^[a-z]+$")))
+    size = F.length("token")
+    plain = words.select("token", (size % 7 - 3).cast("double").alias("valence"))
+    loud = words.where(size % 3 == 0).select(F.upper("token").alias("token"), F.lit(0.5).alias("valence"))
+    lexicon = Lexicon.from_table(plain.unionByName(loud))
+    return sentiment.score_columns(bodies, lexicon, ["body"]).drop("body")
+
+
 def _lagged(column: str, distance: int, missing: str) -> str:
     return f"coalesce(lag({column},{distance}) over w,{missing})"
 
@@ -1059,6 +1079,92 @@ def _(spark, folder):
     return spark.read.schema(result.schema).option("header", True).csv(path)
 
 
+@query("catalog_table", FACTS + "select make, count(*) as record_count from f group by make")
+def _(spark, folder):
+    name = f"facts_{uuid4().hex}"
+    writers.save_facts_table(B.facts(spark, folder), name)
+    return quality.group_counts(fact_source.scan_table(spark, name), "make")
+
+
+@query(
+    "latest_snapshot_by_mtime",
+    """select cast(event_id as varchar) as record_id, event_type as component
+    from events where day(ts)>15""",
+)
+def _(spark, folder):
+    # written last under the later name as well, so the answer is known
+    latest = snapshots.latest_snapshot(spark, _event_snapshots(spark, folder), "mtime")
+    return snapshots.read_snapshot(spark, latest.path, "lines").select("record_id", "component")
+
+
+# The report's counts of the raw records; their makes are as raw as in the snapshots.
+@query(
+    "validation_report",
+    f"""with raw as ({B.raw_sql()})
+    select make as value, count(*) as record_count from raw group by make""",
+)
+def _(spark, folder):
+    raw = B.raw(spark, folder)
+    path = jobs.run_validate(raw, fresh_path(spark, "report"), ["nhtsa_1.json"])
+    variants = spark.read.parquet(f"{path}/make_variants")
+    return variants.withColumnRenamed("make", "value")
+
+
+def _cloud_analysis(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A saved result of the cloud report, read back with the types of its question."""
+    facts = B.facts(spark, folder, "Unknown")
+    question = A.report_questions(CLOUD)[name]
+    target = fresh_path(spark, "analysis")
+    jobs.run_analysis(facts, target, 1996, 2000, CLOUD)
+    reader = spark.read.schema(question(facts).schema).option("header", True)
+    return reader.csv(f"{target}/{name}.csv")
+
+
+@query("analysis_cloud", ORACLES["component_recall_gap"])
+def _(spark, folder):
+    return _cloud_analysis(spark, folder, "q8_component_recall_gap")
+
+
+@query("analysis_cloud_scorecard", ORACLES["model_scorecard_cloud"])
+def _(spark, folder):
+    return _cloud_analysis(spark, folder, "q3_model_scorecard")
+
+
+_LOADS = """select record_id, source, make, model, component, cast(year as bigint) as year, injuries,
+      timestamp '2024-01-01 00:00:00' as scraped_at from f
+    union all select record_id, source, make, model, component, cast(year as bigint) as year,
+      injuries + 100 as injuries, timestamp '2024-02-01 00:00:00' as scraped_at from f where year >= 2000 and injuries >= 0"""
+
+
+@query(
+    "incremental_merge",
+    FACTS
+    + f""", loads as ({_LOADS}),
+    ranked as (select *, row_number() over (partition by record_id, make, model, year
+      order by scraped_at desc, component, injuries, source) as place from loads)
+    select record_id, make, model, year, component, injuries, source from ranked where place = 1""",
+)
+def _(spark, folder):
+    B.facts(spark, folder).createOrReplaceTempView("f")
+    first, _, later = _LOADS.partition("union all")
+    base = fresh_path(spark, "facts")
+    for load in (first, later):
+        landing.merge_facts(spark.sql(load), base, "all", CLOUD)
+    rows = fact_source.scan_facts(spark, base, CLOUD)
+    return rows.select("record_id", "make", "model", "year", "component", "injuries", "source")
+
+
+@query(
+    "run_summary",
+    f"""with raw as ({B.raw_sql()}) select count(*) as rows_read from raw""",
+)
+def _(spark, folder):
+    """Figures of the transform, as they come out of its own write."""
+    raw = B.raw(spark, folder)
+    summary = jobs.run_transform(raw, fresh_path(spark, "facts"), "run", _TEST_PROFILE, B.LEXICON)
+    return spark.createDataFrame([(summary.rows_read,)], "rows_read long")
+
+
 # ---------------------------------------------------------------- whole transform
 
 _TEST_PROFILE = Profile(**{**vars(LOCAL), "make_keywords": B.FACT_KEYWORDS})

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from faultline import schemas
 from faultline.config import CLOUD, LOCAL
-from faultline.operators import clean, dedupe, dims, joins, makes
+from faultline.operators import clean, dedupe, dims, makes
 from tests.helpers import plan, texts
 
 
@@ -204,20 +204,14 @@ def test_dimensions(spark):
     assert dims.with_dim(facts, dims.dim_make(spark), "make_id").count() == 3
 
 
-def test_lookup_side_is_broadcast_only_while_small(spark, monkeypatch):
-    rows, table = spark.range(1000).toDF("k"), spark.range(50).toDF("k")
-    assert "BroadcastHashJoin" in plan(rows.join(joins.lookup_side(table), "k"))
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 49)
-    joined = rows.join(joins.lookup_side(table), "k")
-    assert "SortMergeJoin" in plan(joined) and joined.count() == 50
-
-
-def test_keyword_table_and_words_without_broadcast(spark, monkeypatch):
-    df = spark.createDataFrame([(1, "Ford"), (2, "Honda")], "id int, make string")
-    table = spark.createDataFrame(
-        [("ford", "FORD", 1, 1)], "keyword string, make string, make_id bigint, priority int"
+def test_enforce_schema_reads_raw_texts(spark):
+    df = spark.createDataFrame(
+        [("maybe", "nan", "2020-01-15"), ("true", "1.5", "soon"), (None, None, None)],
+        "crash_involved string, source_weight string, recall_date string",
     )
-    small = makes.normalise_make_join(df, table)
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
-    large = makes.normalise_make_join(df, table)
-    assert sorted(small.collect()) == sorted(large.collect())
+    typed = clean.enforce_schema(df, LOCAL)
+    assert dict(typed.dtypes) == {"crash_involved": "boolean", "source_weight": "double", "recall_date": "date"}
+    rows = [tuple(map(str, r)) for r in typed.collect()]
+    assert rows == [("False", "0.0", "2020-01-15"), ("True", "1.5", "None"), ("False", "0.0", "None")]
+    undefined = spark.createDataFrame([(float("nan"),)], "source_weight double")
+    assert clean.enforce_schema(undefined, LOCAL).first()[0] == 0.0

@@ -123,7 +123,26 @@ def test_half_written_snapshot_is_not_the_latest(spark, tmp_path, raw):
     broken = tmp_path / "nhtsa_20260102_000000.json"
     broken.mkdir()
     (broken / "part-0.json").write_text("{}", encoding="utf-8")
-    assert snapshots.latest_snapshot(spark, str(tmp_path)).name == "nhtsa_20260101_000000.json"
+    with pytest.warns(UserWarning, match="nhtsa_20260102_000000.json"):
+        assert snapshots.latest_snapshot(spark, str(tmp_path)).name == "nhtsa_20260101_000000.json"
+
+
+def test_layouts_are_told_from_the_first_lines(spark, tmp_path):
+    for indent, kind in ((2, "indented"), (None, "array"), (4, "array")):
+        path = str(write_array(tmp_path, f"{indent}.json", RECORDS, indent))
+        assert snapshots.detect_layout(spark, path)[0] == kind
+        assert snapshots.read_snapshot(spark, path).count() == 3
+    lines = tmp_path / "l.json"
+    lines.write_text('{"record_id": "a"}\n{"record_id": "b"}\n', encoding="utf-8")
+    empty = str(write_array(tmp_path, "e.json", []))
+    both = snapshots.read_snapshot(spark, [str(lines), empty, str(tmp_path / "2.json")])
+    assert snapshots.detect_layout(spark, str(lines))[0] == "lines" and both.count() == 5
+
+
+def test_unreadable_payloads_are_counted(spark):
+    rows = [("FORD", '{"results": []}'), ("FORD", "<html>"), ("FORD", None), ("TESLA", '{"results": [{}]}')]
+    found = payloads.unreadable_payloads(spark.createDataFrame(rows, "make string, payload string"))
+    assert sorted(map(tuple, found.collect())) == [("FORD", 3, 2), ("TESLA", 1, 0)]
 
 
 def test_all_snapshots_with_names(spark, tmp_path):
@@ -315,6 +334,16 @@ def test_analysis_writes_every_result(spark, raw, folder):
     ]
 
 
+def test_cloud_analysis_leaves_its_placeholder_out(spark, raw, folder):
+    jobs.run_transform(raw, folder, "s1", CLOUD)
+    facts = fact_source.scan_facts(spark, folder, CLOUD)
+    jobs.run_analysis(facts, f"{folder}/analysis", profile=CLOUD)
+    for name in ("q3_model_recalls", "q6_model_totals", "q8_component_recall_gap"):
+        rows = spark.read.option("header", True).csv(f"{folder}/analysis/{name}.csv").collect()
+        assert not any("Unknown" in row for row in rows)
+    assert set(A.report_questions(CLOUD)) > set(A.report_questions(LOCAL))
+
+
 def test_results_that_are_no_tables_are_skipped(spark, folder):
     written = writers.write_results({"a": spark.range(2).toDF("n"), "b": None}, folder)
     assert [os.path.basename(path) for path in written] == ["a.csv"]
@@ -389,16 +418,48 @@ def test_landing_merges_new_snapshots_once(spark, tmp_path, folder):
     assert run()[1] == 3
 
 
-def test_merge_reads_only_touched_partitions(spark, raw, folder):
+def test_merge_reads_and_writes_only_touched_partitions(spark, raw, folder):
     facts = jobs.standardise(raw, CLOUD)
-    writers.write_facts(facts, folder, "all")
-    condition = landing._in_partitions_of(facts.where("make = 'FORD'"))
-    old = fact_source.scan_facts(spark, folder, CLOUD).where(condition)
-    filters = plan(old).split("PartitionFilters")[1].splitlines()[0]
-    assert "make" in filters and "year" in filters
-    assert {r["make"] for r in old.collect()} == {"FORD"}
-    nothing = landing._in_partitions_of(facts.where("make = 'NONE'"))
-    assert fact_source.scan_facts(spark, folder, CLOUD).where(nothing).count() == 0
+    landing.merge_facts(facts, folder, "all", CLOUD)
+    path = landing.merge_facts(facts.where("make = 'FORD'"), folder, "all", CLOUD)
+    assert sorted(os.listdir(f"{path}/version=1")) == ["._SUCCESS.crc", "_SUCCESS", "make=FORD", "make=TESLA"]
+    assert [n for n in os.listdir(f"{path}/version=2") if n.startswith("make")] == ["make=FORD"]
+    assert fact_source.scan_facts(spark, folder, CLOUD).count() == 2
+
+
+@pytest.mark.parametrize("marked", ["true", "false"])
+def test_merge_never_drops_other_partitions(spark, raw, folder, marked):
+    settings = spark._jsc.hadoopConfiguration()
+    settings.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", marked)
+    try:
+        facts = jobs.standardise(raw, CLOUD)
+        writers.write_facts(facts.where("make = 'FORD'"), folder, "all")
+        landing.merge_facts(facts.where("make = 'TESLA'"), folder, "all", CLOUD)
+        makes = {r["make"] for r in fact_source.scan_facts(spark, folder, CLOUD).collect()}
+    finally:
+        settings.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert makes == {"FORD", "TESLA"}
+
+
+def test_a_merge_lost_before_its_manifest_changes_nothing(spark, raw, folder, monkeypatch):
+    facts = jobs.standardise(raw, CLOUD)
+    path = landing.merge_facts(facts, folder, "all", CLOUD)
+    changed = facts.where("make = 'FORD'").withColumns({"body": F.lit("new"), "scraped_at": F.lit("2030-01-01").cast("timestamp")})
+
+    def lost(*_args):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(landing.facts, "read_manifest", lost)
+        with pytest.raises(RuntimeError):
+            landing.merge_facts(changed, folder, "all", CLOUD)
+    # half a version, as a lost writer leaves it
+    os.makedirs(f"{path}/version=2/_temporary")
+    before = {r["make"]: r["body"] for r in fact_source.scan_facts(spark, folder, CLOUD).collect()}
+    assert before["FORD"] == "bad brakes" and len(before) == 2
+    landing.merge_facts(changed, folder, "all", CLOUD)
+    after = {r["make"]: r["body"] for r in fact_source.scan_facts(spark, folder, CLOUD).collect()}
+    assert after["FORD"] == "new" and after["TESLA"] == before["TESLA"]
 
 
 def test_merging_the_same_rows_twice_changes_nothing(spark, raw, folder):

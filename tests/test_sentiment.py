@@ -87,13 +87,30 @@ def test_only_present_fields_get_columns(spark):
     ]
 
 
-def test_join_variant_agrees(spark):
-    df = texts(spark, "good good bad", "", "word", None, "bad. bad; bad").withColumnRenamed(
-        "value", "body"
-    )
-    table = spark.createDataFrame(list(WORDS.valences.items()), "token string, valence double")
-    expected = sentiment.score_columns(df, Lexicon.from_table(table), ["body"]).collect()
-    assert sorted(sentiment.score_by_join(df, "id", "body", table).collect()) == sorted(expected)
+@pytest.mark.parametrize("modifiers", [False, True])
+def test_a_lexicon_table_gives_the_same_answers(spark, modifiers):
+    bodies = ("good good bad", "", "word", None, "bad. bad; bad", "not very good", "very x not y bad good", "N/A")
+    df = texts(spark, *bodies, "good good bad").withColumnRenamed("value", "body")
+    rows = [("Good", 1.9, 0.0, False), ("bad", -2.0, 0.0, False), ("BAD", -0.5, 0.0, False), ("very", 0.0, 0.293, False), ("not", 0.0, 0.0, True)]
+    table = spark.createDataFrame(rows, "token string, valence double, boost double, negator boolean")
+    lexicon = Lexicon.from_table(table)
+    assert lexicon == Lexicon({"good": 1.9, "bad": -2.5}, {"very": 0.293}, frozenset({"not"}))
+    expected = sentiment.score_columns(df, lexicon, ["body"], modifiers)
+    found = sentiment.score_columns(df, L.LexiconTable.of(table), ["body"], modifiers)
+    assert found.columns == expected.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_entries_are_lower_cased_and_added_up():
+    with pytest.warns(UserWarning, match="1 lexicon entries"):
+        assert Lexicon({"Good": 1.0, "good": 0.5, ":)": 2.0}).valences == {"good": 1.5, ":)": 2.0}
+
+
+def test_a_lexicon_file_may_hold_modifiers(spark, tmp_path):
+    path = tmp_path / "words.tsv"
+    path.write_text("good\t1.9\nvery\t0\t0.293\tfalse\nnot\t0\t0\ttrue\nbad\t-2.5\t0.8\t[-3, -2]\n", encoding="utf-8")
+    lexicon = Lexicon.from_file(spark, str(path))
+    assert lexicon == Lexicon({"good": 1.9, "bad": -2.5}, {"very": 0.293}, frozenset({"not"}))
 
 
 def test_scoring_neither_shuffles_nor_calls_python(spark):
@@ -102,6 +119,8 @@ def test_scoring_neither_shuffles_nor_calls_python(spark):
     assert "Exchange" not in text and "Python" not in text and "Join" not in text
 
 
-def test_large_lexicon_is_refused():
-    with pytest.raises(ValueError, match="score_by_join"):
-        Lexicon({f"w{i}": 1.0 for i in range(L.MAX_CONSTANT_ENTRIES + 1)})
+def test_a_large_lexicon_stays_a_table(spark):
+    n = L.MAX_CONSTANT_ENTRIES + 1
+    table = spark.range(n).selectExpr("concat('w', id) as token", "1.0D as valence")
+    assert isinstance(Lexicon.from_table(table), L.LexiconTable)
+    assert isinstance(Lexicon.from_table(table.limit(n - 1)), Lexicon)
