@@ -28,7 +28,6 @@ from faultline.functions import columns as C
 from faultline.schemas import curated_types
 
 # Rows read to rule columns out before the exact check.
-_PROBE_ROWS = 1000
 
 
 def _present(df: DataFrame, fields: Iterable[str]) -> list[str]:
@@ -134,18 +133,12 @@ def add_etl_timestamp(df: DataFrame) -> DataFrame:
 
 
 def null_columns(df: DataFrame) -> list[str]:
-    """Columns that hold only nulls and blanks.
-
-    A few rows rule most columns out; only the rest are read in full, in one
-    aggregation. With no suspect left there is no second pass at all.
-    """
-    filled = {name: C.is_present(F.col(name).cast("string")) for name in df.columns}
-    probe = df.select([test.alias(name) for name, test in filled.items()]).take(_PROBE_ROWS)
-    suspects = [name for name in filled if not any(row[name] for row in probe)]
-    if not suspects:
+    """Columns that hold only nulls and blanks, from one pass over all rows."""
+    filled = [F.count_if(C.is_present(F.col(name).cast("string"))).alias(name) for name in df.columns]
+    if not filled:
         return []
-    found = df.agg(*[F.count_if(filled[name]).alias(name) for name in suspects]).first()
-    return [name for name in suspects if found[name] == 0]
+    found = df.agg(*filled).first()
+    return [name for name in df.columns if found[name] == 0]
 
 
 def drop_null_columns(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:

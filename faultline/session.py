@@ -17,12 +17,19 @@ _local_dirs: dict[str, str] = {}
 _sizes: dict[tuple[str, str], int] = {}
 
 
-def prepare(spark: SparkSession, folder: str | None = None) -> SparkSession:
+def prepare(
+    spark: SparkSession,
+    folder: str | None = None,
+    max_partitions: int = MAX_SHUFFLE_PARTITIONS,
+    max_tasks: int = MAX_SCAN_TASKS,
+) -> SparkSession:
     """Pin the settings that results depend on, and size tasks to the input folder.
 
-    Both sizes are only ever raised. Adaptive execution joins shuffle partitions that
-    turn out small; the bounds keep the number of shuffle blocks (tasks times
-    partitions) within what a driver can track.
+    Both sizes are only ever raised, for the rest of the session. Adaptive execution joins shuffle
+    partitions that turn out small; the bounds keep the number of shuffle blocks (tasks times
+    partitions) within what a driver can track. Beyond max_partitions times
+    BYTES_PER_SHUFFLE_PARTITION, about 8 TB by default, a reduce task that gets its share of
+    the whole input no longer fits in memory and spills; a larger driver can take higher bounds.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
@@ -31,11 +38,11 @@ def prepare(spark: SparkSession, folder: str | None = None) -> SparkSession:
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     if folder is not None:
         size = input_bytes(spark, folder)
-        wanted = shuffle_partitions(size)
+        wanted = shuffle_partitions(size, max_partitions)
         if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
             spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-        if size > MAX_SCAN_TASKS * BYTES_PER_SCAN_TASK:
-            spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan_bytes(size)))
+        if size > max_tasks * BYTES_PER_SCAN_TASK:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan_bytes(size, max_tasks)))
     return spark
 
 
@@ -49,14 +56,14 @@ def input_bytes(spark: SparkSession, folder: str) -> int:
     return _sizes[key]
 
 
-def shuffle_partitions(size: int) -> int:
-    """Enough partitions to fit a task's memory if all input were shuffled."""
-    return min(MAX_SHUFFLE_PARTITIONS, -(-size // BYTES_PER_SHUFFLE_PARTITION))
+def shuffle_partitions(size: int, most: int = MAX_SHUFFLE_PARTITIONS) -> int:
+    """Enough partitions to fit a task's memory if all input were shuffled, up to the bound."""
+    return min(most, -(-size // BYTES_PER_SHUFFLE_PARTITION))
 
 
-def scan_bytes(size: int) -> int:
+def scan_bytes(size: int, most: int = MAX_SCAN_TASKS) -> int:
     """Bytes per scan task: Spark's default, more once that would make too many tasks."""
-    return max(BYTES_PER_SCAN_TASK, -(-size // MAX_SCAN_TASKS))
+    return max(BYTES_PER_SCAN_TASK, -(-size // most))
 
 
 def shared_dir(spark: SparkSession) -> str:
