@@ -1,7 +1,7 @@
 """Pseudonyms for personal values, permuted within their format by a keyed Feistel network.
 
 Numbers and dates are found by their shape and then validated (card check digits, IBAN remainders, octets,
-areas, the calendar). A valid value is a number in the set of all valid values of its format; a
+areas, numbers of digits, the calendar); names before an @ and assigned secrets are treated alike. A valid value is a number in the set of all valid values of its format; a
 Feistel network with a key permutes that set, walking on while it leaves it. So the pseudonym
 is valid too, keeps its separators, can be undone with the key, and equal values have equal pseudonyms
 in all documents, however they are grouped.
@@ -46,6 +46,9 @@ _ADDRESS_LEFT = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
 _ADDRESS_RIGHT = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}")
 
 
+_ASSIGNED = re.compile(r"""(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*["']?)([A-Za-z0-9+/_-]{8,})|\b(AKIA[0-9A-Z]{16})\b""")
+
+
 class Feistel:
     """Keyed permutations of the numbers below n, for any n."""
 
@@ -161,18 +164,12 @@ def _phone(text: str, feistel: Feistel, undo: bool) -> str | None:
     code = re.match(r"\+\d{1,3}(?=[ .(-])|\+1(?=\d{10}\Z)|\+\d{2}|", text)[0]
     rest = text[len(code) :]
     digits = re.sub(r"\D", "", rest)
-    if not 7 <= len(digits) <= 13:
+    if not 7 <= len(digits) <= 13 or not code and len(digits) != 10:
         return None
-    if code in ("", "+1"):
-        if len(digits) != 10 or digits[0] in "01" or digits[3] in "01":
-            return None
-        radices, low = [8, 10, 10, 8, *[10] * 6], [2, 0, 0, 2, *[0] * 6]
-    else:
-        radices, low = [10] * len(digits), [0] * len(digits)
-    value, size = _mixed([(int(d) - n, r) for d, n, r in zip(digits, low, radices)])
-    kind = f"phone{'+1' if len(radices) == 10 and low[0] else code}:{len(digits)}"
-    new = _unmixed(feistel.permute(kind, value, size, undo=undo), radices)
-    return code + _refill(rest, "".join(str(d + n) for d, n in zip(new, low)))
+    # a number without a code is one with +1
+    kind = f"phone{code or '+1'}:{len(digits)}"
+    value, size = _mixed([(int(d), 10) for d in digits])
+    return code + _refill(rest, f"{feistel.permute(kind, value, size, undo=undo):0{len(digits)}d}")
 
 
 def _day(year: int, month: int, day: int) -> date | None:
@@ -206,21 +203,36 @@ def _date(text: str, feistel: Feistel, undo: bool) -> str | None:
     return f"{first:0{width}d}{mark}{second:0{width}d}{mark}{new.year:04d}"
 
 
+def _classed(text: str, kind: str, feistel: Feistel, undo: bool) -> str | None:
+    """Digits stay digits, small and capital ASCII letters such letters; other signs stay."""
+    sets = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    if re.fullmatch(r"[0-9a-f]{16,}", text):
+        sets = ("0123456789abcdef",)
+    kinds = [next((i for i, letters in enumerate(sets) if c in letters), -1) for c in text]
+    symbols = [(sets[k].index(c), len(sets[k])) for c, k in zip(text, kinds) if k >= 0]
+    if not symbols:
+        return None
+    value, size = _mixed(symbols)
+    shape = "".join(str(k) if k >= 0 else c for c, k in zip(text, kinds))
+    new = iter(_unmixed(feistel.permute(kind + shape, value, size, undo=undo), [r for _, r in symbols]))
+    return "".join(sets[k][next(new)] if k >= 0 else c for c, k in zip(text, kinds))
+
+
 def _address(text: str, feistel: Feistel, undo: bool) -> str | None:
-    """Letters and digits of the name before the @ change, signs and the domain stay."""
+    """The name before the @ changes, the domain stays."""
     name, _, domain = text.rpartition("@")
-    kinds = ["9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c for c in name]
-    radices = [10 if k == "9" else 26 for k in kinds if k in "9aA"]
-    if not radices:
-        return None
-    value, size = _mixed([(int(c) if k == "9" else ord(c.lower()) - 97, 10 if k == "9" else 26) for c, k in zip(name, kinds) if k in "9aA"])
-    new = iter(_unmixed(feistel.permute("email" + "".join(kinds) + domain, value, size, undo=undo), radices))
-    base = {"a": 97, "A": 65}
-    made = "".join(str(next(new)) if k == "9" else chr(base[k] + next(new)) if k in base else k for k in kinds)
-    return f"{made}@{domain}"
+    made = _classed(name, f"email@{domain}:", feistel, undo)
+    return made and f"{made}@{domain}"
+
 
+def _secret(text: str, feistel: Feistel, undo: bool) -> str | None:
+    """A value assigned to a password or key, or an access key behind its prefix."""
+    prefix = "AKIA" if re.fullmatch(r"AKIA[0-9A-Z]{16}", text) else ""
+    made = _classed(text[len(prefix) :], "secret:", feistel, undo)
+    return made and prefix + made
 
-_MAKERS = {"iban": _iban, "phone": _phone, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card, "email": _address}
+
+_MAKERS = {"iban": _iban, "phone": _phone, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card, "email": _address, "secret": _secret}
 
 
 class Pseudonyms:
@@ -239,6 +251,12 @@ class Pseudonyms:
                 yield left.start(), right.end(), "email", new
             at = text.find("@", at + 1)
 
+    def _secrets(self, text: str) -> Iterator[tuple[int, int, str, str]]:
+        for m in _ASSIGNED.finditer(text):
+            part = m.lastindex
+            if new := self.known["secret", m[part]]:
+                yield m.start(part), m.end(part), "secret", new
+
     def _numbers(self, text: str) -> Iterator[tuple[int, int, str, str]]:
         at = 0
         while begin := _BEGIN.search(text, at):
@@ -254,7 +272,8 @@ class Pseudonyms:
     def replace(self, text: str | None) -> tuple[str, list[tuple[str, int, int]]]:
         """The text with pseudonyms, and kind, start and length of each in it."""
         text = text or ""
-        found = sorted([*self._addresses(text), *self._numbers(text)])
+        # a secret may hold what looks like a number, and begins before it
+        found = sorted([*self._secrets(text), *self._addresses(text), *self._numbers(text)])
         parts, spans, at, size = [], [], 0, 0
         for start, end, kind, new in found:
             if start < at:
