@@ -1,6 +1,6 @@
 """Licence scan by sparse TF-IDF cosines, with inheritance along directories; column expressions only.
 
-A file is a path and a text. Terms are lower-case words; a text's vector has the squared inverse document
+A file is a path and a text. Terms are runs of the letters a-z and digits in the lower-cased text; a text's vector has the squared inverse document
 frequency of each term it holds, repeats counting once, and a term of no template weighs as much as one
 that no file holds. Document frequencies are counted over all files. Every line, and the whole text of every
 file with a matching line, is compared with every template: a sum over the terms they share. A line
@@ -47,22 +47,27 @@ TEMPLATES = {
 #: Names of licence files.
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice)([._-].*)?$"
 
-_SEPARATORS = r"[^\p{L}\p{N}.-]+|[.-]+(?=$|[^\p{L}\p{N}])"
+_SEPARATORS = "[^a-z0-9]+"
+
+
+def pieces(text: Column) -> Column:
+    """The terms of a text, as often as they stand, and perhaps empty strings."""
+    return F.split(F.lower(text), _SEPARATORS)
 
 
 def words(text: Column) -> Column:
     """The distinct terms of a text."""
-    return F.array_remove(F.array_distinct(F.split(F.lower(text), _SEPARATORS)), "")
+    return F.array_remove(F.array_distinct(pieces(text)), "")
 
 
 def template_words(text: str) -> list[str]:
     """The same terms, of a template."""
-    return sorted({w for w in re.split(r"[^a-z0-9.-]+|[.-]+(?=$|[^a-z0-9])", text.lower()) if w})
+    return sorted(set(re.split(_SEPARATORS, text.lower())) - {""})
 
 
 def document_frequencies(files: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
     """Number of files, and of files that hold each term."""
-    held = F.array_intersect(words(F.col("text")), F.array(*map(F.lit, terms)))
+    held = F.array_intersect(pieces(F.col("text")), F.array(*map(F.lit, terms)))
     # the null term stands for the file itself
     counted = files.select(F.explode(F.concat(held, F.array(F.lit(None).cast("string")))).alias("term")).groupBy("term").count()
     found = {r["term"]: r["count"] for r in counted.collect()}  # one row per term of the templates
@@ -146,12 +151,12 @@ def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshol
     rows = files.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("path", F.lit("")).alias("path"), F.coalesce("text", F.lit("")).alias("text"))
     weight, unseen = _weights(rows, templates)
     heavy = heavy_terms(templates, weight, threshold)
-    # a term may also stand inside a longer one: such lines are let through and weighed
-    cue = F.lit("|".join(re.escape(t) for t in heavy))
-    # the whole text comes first, then each line with a cue; texts without such a line have none
-    lines = F.filter(F.split(F.lower("text"), "\r\n|[\n\r]"), lambda line: F.rlike(line, cue))
-    units = rows.select("doc_id", "path", F.when(F.size(lines) > 0, F.struct(F.col("text"), lines.alias("lines"))).alias("unit"))
-    held = units.select("doc_id", "path", F.when(F.col("unit").isNotNull(), F.concat(F.array("unit.text"), F.col("unit.lines"))).alias("parts"))
+    cues = F.array(*map(F.lit, heavy))
+    # texts without a heavy term have no such line either; the rest are taken apart
+    rough = rows.select("doc_id", "path", F.when(F.arrays_overlap(pieces(F.col("text")), cues), F.col("text")).alias("text"))
+    lines = F.filter(F.split("text", "\r\n|[\n\r]"), lambda line: F.arrays_overlap(pieces(line), cues))
+    # the whole text comes first, then each line with a cue
+    held = rough.select("doc_id", "path", F.when(F.col("text").isNotNull(), F.concat(F.array("text"), lines)).alias("parts"))
     rated = held.select("doc_id", "path", matches(F.col("parts"), templates, weight, unseen).alias("rated"))
     scored = rated.select("doc_id", "path", F.element_at("rated", 1).alias("whole"), best(F.slice("rated", F.lit(2), F.greatest(F.size("rated"), F.lit(1)))).alias("line"))
     named = F.rlike(F.element_at(F.split("path", "/"), -1), F.lit(LICENCE_FILE))

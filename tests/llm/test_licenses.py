@@ -31,7 +31,7 @@ def files(spark, rows=None):
 
 
 def plain_scores(rows, text):
-    cut = lambda t: {w for w in re.split(r"[^\w.-]+|[.-]+(?=$|[^\w])", t.lower()) if w}
+    cut = lambda t: {w for w in re.split("[^a-z0-9]+", t.lower()) if w}
     held = [cut(t or "") for _, _, t in rows]
     weight = lambda w, known=True: (math.log((1 + len(held)) / (1 + (sum(w in h for h in held) if known else 0))) + 1) ** 2
     terms = {w for texts in TEMPLATES.values() for t in texts for w in cut(t)}
