@@ -8,7 +8,10 @@ in all documents, however they are grouped.
 
 Defined results: a null text counts as empty and comes back empty; texts without values come back as they
 are. Rows repeat, null doc_ids stay. Whole texts are read. Where two shapes begin at one place the longer
-match wins, of equal ones the first kind listed. An empty table gives no rows.
+match wins, of equal ones the first kind listed, and a card only where nothing else is valid. Numbers may
+follow a value: an IBAN ends at the length of its country, a card at the first end of a group where its
+check digit holds. The permutations keep which shorter ends hold, so pseudonyms end where their values did.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,13 +37,30 @@ _GROUPED = r"(?:\d[ -]?){12,18}\d"
 # kinds by their shape; a value is only taken if it is valid as well
 _SHAPES = [
     ("iban", r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}"),
-    ("phone", r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}"),
+    ("phone", r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}"),
+    ("phone", r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2}"),
     ("date", r"\d{4}-\d{2}-\d{2}|\d{1,2}([/.])\d{1,2}\1\d{4}"),
     ("ssn", r"\d{3}-\d{2}-\d{4}"),
     ("ip", r"\d{1,3}(?:\.\d{1,3}){3}"),
     ("card", _GROUPED),
 ]
-_FINDERS = [(kind, re.compile(rf"(?<![\w.+]){shape}(?![\w]|[.-]\d)", re.ASCII)) for kind, shape in _SHAPES]
+_END = r"(?!\w|[.-]\d)"
+# of alternatives only the last is held to the end, so a time or an extension may follow the others directly
+_FINDERS = [(kind, re.compile(rf"(?<![\w.+]){shape}{_END}", re.ASCII)) for kind, shape in _SHAPES]
+#: Groups of which the first is long enough for each end to be tried, and their ends.
+_CARD_RUN = re.compile(r"\d{4,}(?:[ -]\d+)*(?!\w)", re.ASCII)
+_CARD_END = re.compile(r"(?<=\d)(?=[ -])", re.ASCII)
+# Signs of an IBAN by country.
+IBAN_LENGTHS = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "AE BG BH CR DE GB GE IE ME RS VA", 23: "GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+_IBANS = {n: re.compile(rf"[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]){{{n - 4}}}(?!\w)", re.ASCII) for n in set(IBAN_LENGTHS.values())}
 _BEGIN = re.compile(r"(?<![\w.+])(?:[+(]?\d|[A-Z]{2}\d{2}[A-Z0-9 ])", re.ASCII)
 _ADDRESS_LEFT = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
 _ADDRESS_RIGHT = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}")
@@ -118,9 +138,18 @@ def _card(text: str, feistel: Feistel, undo: bool) -> str | None:
     digits = re.sub(r"\D", "", text)
     if not 13 <= len(digits) <= 19 or digits[0] == "0" or luhn(digits[:-1]) != int(digits[-1]):
         return None
-    first = 10 ** (len(digits) - 2)
-    body = first + feistel.permute(f"card{len(digits)}", int(digits[:-1]) - first, 9 * first, undo=undo)
-    return _refill(text, f"{body}{luhn(str(body))}")
+    # from the 13th on a digit either completes those before it or is one of nine others, and remains so
+    checks = [luhn(digits[:i]) for i in range(12, len(digits))]
+    others = [(int(c) - check - 1) % 10 if int(c) != check else None for c, check in zip(digits[12:], checks)]
+    symbols = [(int(digits[0]) - 1, 9), *((int(c), 10) for c in digits[1:12]), *((o, 9) for o in others if o is not None)]
+    value, size = _mixed(symbols)
+    marks = "".join("c" if o is None else "o" for o in others)
+    new = _unmixed(feistel.permute(f"card{marks}", value, size, undo=undo), [r for _, r in symbols])
+    body, rest = f"{new[0] + 1}" + "".join(map(str, new[1:12])), iter(new[12:])
+    for o in others:
+        check = luhn(body)
+        body += str(check if o is None else (check + 1 + next(rest)) % 10)
+    return _refill(text, body)
 
 
 def _iban_check(country: str, body: str) -> int:
@@ -133,10 +162,19 @@ def _iban(text: str, feistel: Feistel, undo: bool) -> str | None:
     if not 15 <= len(plain) <= 34 or int(plain[2:4]) != _iban_check(country, body):
         return None
     radices = [10 if c.isdigit() else 26 for c in body]
+    proper = IBAN_LENGTHS.get(country, 34) - 4
+
+    def written(n: int) -> str:
+        return "".join(str(d) if r == 10 else chr(65 + d) for d, r in zip(_unmixed(n, radices), radices))
+
+    def short(made: str) -> bool:
+        """Whether it would be found at the length of its country."""
+        return len(made) > proper and _iban_check(country, made) == _iban_check(country, made[:proper])
+
     value, size = _mixed([(int(c) if c.isdigit() else ord(c) - 65, r) for c, r in zip(body, radices)])
     shape = "".join("9" if c.isdigit() else "A" for c in body)
-    new = _unmixed(feistel.permute(f"iban{country}{shape}", value, size, undo=undo), radices)
-    body = "".join(str(d) if r == 10 else chr(65 + d) for d, r in zip(new, radices))
+    like = None if len(body) <= proper else lambda n: short(written(n)) == short(body)
+    body = written(feistel.permute(f"iban{country}{shape}", value, size, like, undo))
     fresh = iter(f"{country}{_iban_check(country, body):02d}{body}")
     return "".join(" " if c == " " else next(fresh) for c in text)
 
@@ -257,14 +295,27 @@ class Pseudonyms:
             if new := self.known["secret", m[part]]:
                 yield m.start(part), m.end(part), "secret", new
 
+    def _ends(self, text: str, start: int) -> Iterator[tuple[str, int]]:
+        """Kinds and ends of what may begin there; of one kind the end to be tried first comes first."""
+        n = IBAN_LENGTHS.get(text[start : start + 2])
+        if n and (m := _IBANS[n].match(text, start)):
+            yield "iban", m.end()
+        for kind, finder in _FINDERS:
+            m = finder.match(text, start)
+            if kind == "card" and (run := _CARD_RUN.match(text, start)):
+                yield from (("card", e.start()) for e in _CARD_END.finditer(text, start, min(run.end() + 1, start + 38)))
+            if m:
+                yield kind, m.end()
+
     def _numbers(self, text: str) -> Iterator[tuple[int, int, str, str]]:
         at = 0
         while begin := _BEGIN.search(text, at):
-            best = None
-            for kind, finder in _FINDERS:
-                m = finder.match(text, begin.start())
-                if m and (best is None or m.end() > best[1]) and (new := self.known[kind, m.group()]):
-                    best = (m.start(), m.end(), kind, new)
+            best, start = None, begin.start()
+            for kind, end in self._ends(text, start):
+                if best and (best[2] == kind or kind == "card" or end <= best[1]):
+                    continue
+                if new := self.known[kind, text[start:end]]:
+                    best = (start, end, kind, new)
             if best:
                 yield best
             at = best[1] if best else begin.start() + 1
