@@ -1,6 +1,6 @@
 """Licence scan by sparse TF-IDF cosines, with inheritance along directories; column expressions only.
 
-A file is a path and a text. Terms are runs of the letters a-z and digits in the lower-cased text; a text's vector has the squared inverse document
+A file is a path and a text. Terms are lower-case words, with the dots and hyphens inside them; a text's vector has the squared inverse document
 frequency of each term it holds, repeats counting once, and a term of no template weighs as much as one
 that no file holds. Document frequencies are counted over all files. Every line, and the whole text of every
 file with a matching line, is compared with every template: a sum over the terms they share. A line
@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +49,7 @@ TEMPLATES = {
 #: Names of licence files.
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice)([._-].*)?$"
 
-_SEPARATORS = "[^a-z0-9]+"
+_SEPARATORS = r"[^\p{L}\p{N}.-]+|[.-]+(?=$|[^\p{L}\p{N}])"
 
 
 def pieces(text: Column) -> Column:
@@ -62,7 +64,7 @@ def words(text: Column) -> Column:
 
 def template_words(text: str) -> list[str]:
     """The same terms, of a template."""
-    return sorted(set(re.split(_SEPARATORS, text.lower())) - {""})
+    return sorted({w for w in re.split(r"[^a-z0-9.-]+|[.-]+(?=$|[^a-z0-9])", text.lower()) if w})
 
 
 def document_frequencies(files: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
@@ -152,9 +154,10 @@ def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshol
     weight, unseen = _weights(rows, templates)
     heavy = heavy_terms(templates, weight, threshold)
     cues = F.array(*map(F.lit, heavy))
-    # texts without a heavy term have no such line either; the rest are taken apart
-    rough = rows.select("doc_id", "path", F.when(F.arrays_overlap(pieces(F.col("text")), cues), F.col("text")).alias("text"))
-    lines = F.filter(F.split("text", "\r\n|[\n\r]"), lambda line: F.arrays_overlap(pieces(line), cues))
+    # a term is a part of its text: without any heavy one there, no line has to be split into terms
+    may_hold = lambda text: reduce(or_, (F.contains(text, F.lit(t)) for t in heavy), F.lit(False))
+    rough = rows.select("doc_id", "path", F.when(may_hold(F.lower("text")), F.col("text")).alias("text"))
+    lines = F.filter(F.split("text", "\r\n|[\n\r]"), lambda line: may_hold(F.lower(line)) & F.arrays_overlap(pieces(line), cues))
     # the whole text comes first, then each line with a cue
     held = rough.select("doc_id", "path", F.when(F.col("text").isNotNull(), F.concat(F.array("text"), lines)).alias("parts"))
     rated = held.select("doc_id", "path", matches(F.col("parts"), templates, weight, unseen).alias("rated"))

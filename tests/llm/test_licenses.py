@@ -94,3 +94,26 @@ def test_query_finds_the_licence_lines(spark, sf_dir):
     expected = {d["doc_id"]: {lines[x] for x in d["text"].split("\n") if x in lines} for d in docs}
     assert all(named[d] in found for d, found in expected.items() if found)
     assert set(named) == {d for d, found in expected.items() if found}
+
+
+def unicode_scores(rows, text):
+    """plain_scores with the terms that texts in any script have."""
+    cut = lambda t: {w for w in re.split(r"[^\w.-]+|[.-]+(?=$|[^\w])", t.lower()) if w}
+    held = [cut(t or "") for _, _, t in rows]
+    weight = lambda w, known=True: (math.log((1 + len(held)) / (1 + (sum(w in h for h in held) if known else 0))) + 1) ** 2
+    terms = {w for texts in TEMPLATES.values() for t in texts for w in cut(t)}
+    own = cut(text)
+    norm = math.sqrt(sum(weight(w, w in terms) for w in own))
+    side = lambda s: sum(weight(w) for w in own & s) / norm / math.sqrt(sum(map(weight, s)))
+    return {name: max(side(cut(t)) for t in texts) for name, texts in TEMPLATES.items()}
+
+
+def test_terms_of_any_script_and_with_inner_dots_count(spark):
+    texts = ["这个 项目 在 许可 之下 发布 Released under the Alpha License", "été à la forêt, released under the Alpha License", "Beta License, version 2.0", "Beta License, version 2 or 0"]
+    rows = [(i, f"{i}.py", t) for i, t in enumerate(texts)]
+    found = {r["doc_id"]: r for r in licenses.scan(files(spark, rows), TEMPLATES, threshold=0.1).collect()}
+    for i, text in enumerate(texts):
+        expected = unicode_scores(rows, text)
+        assert abs(found[i]["score"] - max(expected.values())) < 1e-5
+    assert found[0]["score"] < 0.99 and found[1]["score"] < 0.99 and found[3]["score"] < found[2]["score"]
+    assert licenses.template_words("CC BY-NC 4.0, 3-Clause.") == ["3-clause", "4.0", "by-nc", "cc"]
