@@ -99,3 +99,17 @@ def test_pooling_in_blocks_equals_pooling_at_once(monkeypatch):
     again = np.zeros_like(sums)
     quality.add_contexts(quality.tokens(text), again)
     assert np.allclose(sums, again)
+
+
+@pytest.mark.parametrize(
+    ("text", "word"),
+    [("you stuupid", "stupid"), ("iddiot", "idiot"), ("a morron", "moron"), ("the id iot!", "idiot"), ("st u pid", "stupid"), ("you st u pid, cool", "stupid"),
+     ("s c u m", "scum"), ("mor on", "moron"), ("c o o l " * 15 + "x y t r a s h " + "c o o l " * 15, "trash"), ("the " * 500 + "sc um", "scum")],
+)
+def test_reader_finds_doubled_letters_and_split_words(letters, text, word):
+    assert word in toxicity.Reader(letters).words(text)
+
+
+def test_reader_reads_a_long_run_as_a_whole(letters):
+    for shift in range(45):
+        assert "idiot" in toxicity.Reader(letters).words("y o u " * shift + "i d i o t " + "y o u " * 40)
