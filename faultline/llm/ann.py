@@ -38,6 +38,8 @@ REACH = 0.975
 PER_CENTROID = 32
 #: Groups of lists and vectors of a group that meet in one task.
 GROUPS, SLICE_ROWS = 16, 16_384
+#: Queries that a task compares with a slice, about.
+QUERY_ROWS = 2_048
 #: Columns of a block, and how sure the test is (larger abandons less).
 COLUMNS, SURE = 16, 2.1
 STEPS = 8
@@ -182,12 +184,9 @@ def _one_length(rows: DataFrame, is_query, k: int) -> DataFrame:
         rows.withColumn("row", F.monotonically_increasing_id()).mapInPandas(place, "vec_id long, vector array<double>, row long, list long, group long"),
         "ann-lists",
     )
-    # one row per group: large groups are cut into slices
+    # one row per group: large groups are cut into slices, and their queries into blocks
     slices = {r["group"]: -(-r["count"] // SLICE_ROWS) for r in placed.groupBy("group").count().collect()}
     cut = F.element_at(F.create_map(*[F.lit(x) for pair in sorted(slices.items()) for x in pair]), F.col("group"))
-    right = placed.withColumn("slice", F.pmod(F.xxhash64("vec_id", "row"), cut)).select(
-        F.col("group").alias("of_group"), "slice", "list", F.col("vec_id").alias("candidate"), F.col("vector").alias("vector_of")
-    )
 
     def ask(batches):
         for pdf in batches:
@@ -198,9 +197,18 @@ def _one_length(rows: DataFrame, is_query, k: int) -> DataFrame:
 
     asked = placed.where(is_query).select("vec_id", "vector", F.col("row").alias("query_row"))
     asked = asked.mapInPandas(ask, "vec_id long, vector array<double>, query_row long, group array<long>")
-    left = asked.withColumn("group", F.explode("group")).withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)))
+    asked = materialise(asked.withColumn("group", F.explode("group")), "ann-queries")
+    counts = {r["group"]: r["count"] for r in asked.groupBy("group").count().collect()}
+    blocks = {g: max(1, -(-counts.get(g, 0) // QUERY_ROWS)) for g in slices}
+    dealt = F.element_at(F.create_map(*[F.lit(x) for pair in sorted(blocks.items()) for x in pair]), F.col("group"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
+    # each slice meets each block of its group's queries
+    left = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "query_row"), dealt)).withColumn("slice", every(cut))
+    right = placed.withColumn("slice", F.pmod(F.xxhash64("vec_id", "row"), cut)).withColumn("of_block", every(dealt)).select(
+        F.col("group").alias("of_group"), "slice", "of_block", "list", F.col("vec_id").alias("candidate"), F.col("vector").alias("vector_of")
+    )
     schema = "query_row long, query_id long, vec_id long, score double, node long"
-    found = left.groupBy("group", "slice").cogroup(right.groupBy("of_group", "slice")).applyInPandas(_task(index, k), schema)
+    found = left.groupBy("group", "slice", "block").cogroup(right.groupBy("of_group", "slice", "of_block")).applyInPandas(_task(index, k), schema)
     number = F.element_at(F.create_map(*[F.lit(x) for pair in _numbers(slices).items() for x in pair]), F.col("node"))
     return merge_lists(found.withColumn("node", number), sum(slices.values()), k)
 

@@ -84,3 +84,28 @@ def test_adaptive_scan_reaches_its_recall(spark, sf_dir):
     for q in {r["query_id"] for r in found}:
         own = sorted((r["rank"], -r["score"], r["vec_id"]) for r in found if r["query_id"] == q)
         assert [r for r, _, _ in own] == list(range(1, 21)) and own == sorted(own, key=lambda x: (x[1], x[2]))
+
+
+def test_queries_of_a_group_are_dealt_in_blocks(spark, sf_dir, monkeypatch):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    is_query = F.col("vec_id") % 4 == 0
+    order = lambda rows: sorted(map(tuple, rows))
+    expected = order(ann.search(table, is_query, 5).collect())
+    most = spark.sparkContext.accumulator(0)
+    plain = ann._task
+
+    def watched(index, k):
+        work = plain(index, k)
+
+        def inner(key, queries, rows):
+            if len(queries) > 64:
+                most.add(1)
+            return work(key, queries, rows)
+
+        return inner
+
+    monkeypatch.setattr(ann, "QUERY_ROWS", 16, raising=False)
+    monkeypatch.setattr(ann, "SLICE_ROWS", 200)
+    monkeypatch.setattr(ann, "_task", watched)
+    assert order(ann.search(table, is_query, 5).collect()) == expected
+    assert most.value == 0
