@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import ann, automaton, licenses, maxent, packing, pii, quality, simhash, topk, toxicity
+from faultline.llm import ann, automaton, licenses, maxent, packing, pii, prefixes, quality, rules, simhash, topk, toxicity, variants
 from faultline.llm.common import in_fold, table, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,61 @@ def op7_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_adaptive_scan")
 def op3_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def _crc32(text: str) -> str:
+    """DuckDB SQL for the CRC-32 of an ASCII text: eight steps of the reflected polynomial for each byte."""
+    eight = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    read = f"list_transform(string_split({text}, ''), lambda s: cast(ascii(s) as bigint))"
+    return f"xor(4294967295, list_reduce(list_concat([4294967295], {read}), lambda c, b: {eight}))"
+
+
+@query(
+    "op11_prefix_trie",
+    f"""with t as (select conv_id, row_number() over (partition by conv_id order by turn nulls first) as p,
+        {{'r': coalesce(role, ''), 't': coalesce(text, '')}} as u from conversations where conv_id is not null),
+    c as (select distinct conv_id, {_crc32("cast(conv_id as varchar)")} % 4 as h from t),
+    s as (select c.conv_id, 0 as part, b.p, b.u from c join t b on b.conv_id = c.conv_id - c.conv_id % 20 and b.p <= c.h
+      union all select c.conv_id, 1, t.p, t.u from c join t on t.conv_id = c.conv_id and t.p > c.h),
+    l as (select conv_id, list(u order by part, p) as path from s group by conv_id),
+    f as (select c.conv_id, coalesce(l.path, []) as path from c left join l using (conv_id)),
+    m as (select conv_id, len(path) as n, d, path[1:d] as node from f, unnest(range(0, len(path) + 1)) as x(d)),
+    g as (select d, node, min(conv_id) as conv_id, count(*) as n_convs,
+        coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where n = d), '') as ids from m group by d, node),
+    k as (select g.*, p.conv_id as parent_conv_id, (select count(*) from g y where y.d = g.d + 1 and y.node[1:g.d] = g.node) as n_children,
+        case when g.d = 0 then 0 else (g.n_convs - 1) * len(regexp_extract_all(g.node[g.d].t, '[^\\x20\\x09-\\x0D]+')) end as saved
+      from g left join g p on p.d = g.d - 1 and p.node = g.node[1:g.d - 1])
+    select a.conv_id, cast(a.d as bigint) as depth, any_value(a.parent_conv_id) as parent_conv_id, any_value(a.n_convs) as n_convs, any_value(a.n_children) as n_children,
+      count(*) filter (where b.n_children = 0) as n_leaves, cast(sum(b.saved) as bigint) as saved_tokens, sha256(any_value(a.ids)) as ends_sha256
+    from k a join k b on b.d >= a.d and b.node[1:a.d] = a.node group by a.conv_id, a.d, a.node""",
+)
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.trie(table(spark, folder, "conversations"))
+
+
+@query(
+    "op12_spelling_variants",
+    f"""with r as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) as run from documents),
+    w as (select coalesce(cast(doc_id as varchar), '') || ':' as id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from r where length(run) >= 6),
+    d as (select id, run, count(*) as n, {_crc32("id || run").replace("string_split(id || run, '')", "regexp_extract_all(hex(encode(id || run)), '..')").replace("cast(ascii(s) as bigint)", "cast('0x' || s as bigint)")} as h from w group by id, run),
+    o as (select case when h % 199 = 0 then run[1:h % length(run)] || run[h % length(run) + 2:] else run end as word, n from d),
+    v as (select word, cast(sum(n) as bigint) as n from o where length(word) >= 6 group by word having sum(n) >= 5),
+    x as (select word, n, i, word[1:i - 1] as a, word[i + 1:] as b from v, unnest(range(1, length(word) + 1)) as y(i)),
+    p as (select x.word, z.word as other, z.n as m from x join x z on x.i = z.i and x.a = z.a and x.b = z.b and x.word <> z.word
+      union select x.word, v.word, v.n from x join v on v.word = x.a || x.b
+      union select v.word, x.word, x.n from x join v on v.word = x.a || x.b),
+    q as (select word, count(*) as n_near, max(m) as m from p group by word),
+    best as (select q.word, q.n_near, q.m, min(p.other) as other from q join p on p.word = q.word and p.m = q.m group by q.word, q.n_near, q.m),
+    f as (select v.word, v.n, coalesce(best.n_near, 0) as n_near, case when m >= 5 * v.n then other end as form, case when m >= 5 * v.n then m end as form_n
+      from v left join best using (word)),
+    c as (with recursive s(word, tip) as (select word, word from f union all select s.word, f.form from s join f on f.word = s.tip where f.form is not null)
+      select s.word, s.tip as root from s join f on f.word = s.tip where f.form is null)
+    select f.word, f.form, c.root, f.n, f.n_near, f.form_n from f join c using (word)""",
+)
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variants(variants.vocabulary(table(spark, folder, "documents"), noise=199))
+
+
+@query("op13_quality_rules")
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"), "quality", "lang")
