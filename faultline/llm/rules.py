@@ -6,8 +6,9 @@ base rule: a rule's grid is walked from its mildest cutoff, and a cutoff holds w
 probability of so few rejected good documents, if the true share were `risk` / rules, is at most
 `doubt` / (strata * rules). The walk ends at the first cutoff that fails (fixed-sequence testing), so no
 correction within a grid is needed; Bonferroni corrects for rules and strata. With probability 1 - `doubt` all
-strata at once lose at most a share `risk` of good documents to the rules together. A proven rule
-that rejects no larger share of bad documents than of good ones is not used. Counts cover all labelled
+strata at once lose at most a share `risk` of good documents to the rules together. Whichever proven
+cutoff is taken, that holds; it is the one where the share of bad documents rejected exceeds that of
+good ones by most (of equal ones the mildest), and none where there is no excess. Counts cover all labelled
 documents; only a histogram of bounded size reaches the driver.
 
 Strata are the values of a column. The `most` values with the most labelled documents are strata of their own
@@ -128,10 +129,10 @@ def rejected_at_most(k: int, n: int, share: float) -> float:
 
 
 def proven(values: dict[int, list[int]], grid: tuple[int, ...], share: float, level: float) -> int | None:
-    """The last cutoff that is proven, from counts (good, bad) by value; None if there is none worth using."""
+    """Of the proven cutoffs the one that gains most, from counts (good, bad) by value; None if none gains."""
     good, bad = (sum(c[y] for c in values.values()) for y in (0, 1))
     at = sorted(values, reverse=True)
-    best, lost, caught, reached = None, 0, 0, 0
+    best, most, lost, caught, reached = None, 0, 0, 0, 0
     # more rejections than this can never be proven, and need no sum
     hopeless = share * good
     for cutoff in grid:
@@ -140,7 +141,9 @@ def proven(values: dict[int, list[int]], grid: tuple[int, ...], share: float, le
             reached += 1
         if lost > hopeless or rejected_at_most(lost, good, share) > level:
             break
-        best = cutoff if caught * good > lost * bad else best
+        gain = caught * good - lost * bad  # the share of the bad less that of the good, in whole numbers
+        if gain > most:
+            best, most = cutoff, gain
     return best
 
 
