@@ -27,8 +27,6 @@ from faultline.config import (
 from faultline.functions import columns as C
 from faultline.schemas import curated_types
 
-# Rows read to rule columns out before the exact check.
-
 
 def _present(df: DataFrame, fields: Iterable[str]) -> list[str]:
     return [name for name in fields if name in df.columns]

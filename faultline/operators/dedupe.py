@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from faultline.schemas import PROVENANCE
+
 RECORD_KEY = ("record_id", "make", "model", "year")
-LOAD_TIMES = ("scraped_at", "etl_timestamp")
+#: Columns that tell when and whence a record was loaded, not what it says.
+LOAD_TIMES = ("scraped_at", "etl_timestamp", *PROVENANCE)
 
 # Identifiers of records whose source had none.
 EMPTY_IDS = ("complaint_", "recall_", "complaint_None", "recall_None")
@@ -23,12 +26,18 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return first
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
+def drop_exact_duplicates(df: DataFrame, origin: Iterable[str] = PROVENANCE) -> DataFrame:
     """Keep one of each set of equal rows (nulls equal).
 
-    Copies collapse before the shuffle, so a row repeated very often costs no task more.
+    Copies collapse before the shuffle, so a row repeated very often costs no task more. Columns that
+    tell where a record was read do not make it another one; of copies the first origin stays.
     """
-    return df.dropDuplicates()
+    where = [name for name in origin if name in df.columns]
+    if not where:
+        return df.dropDuplicates()
+    rest = [name for name in df.columns if name not in where]
+    first = F.min(F.struct(*where)).alias("_origin")
+    return df.groupBy(*rest).agg(first).select(*rest, "_origin.*").select(*df.columns)
 
 
 def row_digest(df: DataFrame) -> Column:
@@ -49,27 +58,28 @@ def row_digest(df: DataFrame) -> Column:
     return F.coalesce(F.unhex(F.sha2(F.concat(*parts), 256)), F.lit(b""))
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
+def duplicate_rows(df: DataFrame, digest: str | None = None) -> DataFrame:
     """One row: total rows and rows beyond the first of each set of equal rows.
 
-    Only digests are shuffled, never the rows.
+    Only digests are shuffled, never the rows. `digest` names a column that holds them already.
     """
-    groups = df.select(row_digest(df).alias("digest")).groupBy("digest").count()
+    own = row_digest(df) if digest is None else F.col(digest)
+    groups = df.select(own.alias("digest")).groupBy("digest").count()
     return groups.agg(
         F.coalesce(F.sum("count"), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicate_rows"),
     )
 
 
-def duplicate_samples(df: DataFrame, limit: int = 10) -> DataFrame:
+def duplicate_samples(df: DataFrame, limit: int = 10, digest: str | None = None) -> DataFrame:
     """The first rows, in digest order, of those that occur more than once.
 
     At most `limit` digests are sent back to the rows, and each task keeps at most
     `limit` rows, whatever the number of copies.
     """
-    digest = row_digest(df).alias("digest")
+    own = (row_digest(df) if digest is None else F.col(digest)).alias("digest")
     repeated = (
-        df.select(digest)
+        df.select(own)
         .groupBy("digest")
         .count()
         .where("count > 1")
@@ -77,8 +87,8 @@ def duplicate_samples(df: DataFrame, limit: int = 10) -> DataFrame:
         .orderBy("digest")
         .limit(limit)
     )
-    members = df.select("*", digest).join(F.broadcast(repeated), "digest", "left_semi")
-    return members.orderBy("digest").limit(limit).select(*df.columns)
+    members = df.select("*", own).join(F.broadcast(repeated), "digest", "left_semi")
+    return members.orderBy("digest").limit(limit).select(*[n for n in df.columns if n != digest])
 
 
 def dedupe_by_key(

@@ -22,6 +22,8 @@ from faultline.functions import columns as C
 # Longer values are grouped by digest (32 bytes), so a long text is never shuffled.
 _LONGEST_KEY = 32
 _SAMPLE_CHARS = 120
+#: Logarithm of a sketch's registers.
+SKETCH_PRECISION = 14
 
 
 def _severity(missing_pct: Column) -> Column:
@@ -32,20 +34,26 @@ def _blanks(nulls: Column, blanks: Column, compat: bool) -> Column:
     return F.greatest(blanks - nulls, F.lit(0).cast("bigint")) if compat else blanks
 
 
-def _long(df: DataFrame, fields: list[str]) -> DataFrame:
-    """(field, value) rows, values as text."""
-    texts = df.select([F.col(name).cast("string").alias(name) for name in fields])
-    return texts.unpivot([], fields, "field", "value")
+def _long(df: DataFrame, fields: list[str], by: Iterable[str] = ()) -> DataFrame:
+    """(field, value) rows, values as text, behind the columns `by`."""
+    texts = df.select(*by, *[F.col(name).cast("string").alias(name) for name in fields])
+    return texts.unpivot(list(by), fields, "field", "value")
 
 
-def field_profile(df: DataFrame, compat: bool = False, approximate: bool = False) -> DataFrame:
+def field_profile(
+    df: DataFrame, compat: bool = False, approximate: bool = False, by: str | None = None
+) -> DataFrame:
     """Per column: total, nulls, blanks, missing %, repeated values, type and severity.
 
     Exact: equal values are counted in each task, then across tasks, then per field; two
     shuffles whatever the number of columns. `approximate` estimates the distinct values
-    instead, in one pass without shuffling values.
+    instead, in one pass without shuffling values. `by` names a column (a snapshot, say) for each value
+    of which there is a profile of the other columns, from the same pass.
     """
-    counted = _approximate_counts(df) if approximate else _exact_counts(df)
+    keys = [] if by is None else [by]
+    if approximate and by is not None:
+        raise ValueError("profiles by a column are exact; sketches give mergeable estimates")
+    counted = _approximate_counts(df) if approximate else _exact_counts(df, keys)
     order = {name: place for place, name in enumerate(df.columns)}
     types = {column.name: column.dataType.simpleString() for column in df.schema}
     details = F.create_map(*[F.lit(part) for pair in types.items() for part in pair])
@@ -55,20 +63,69 @@ def field_profile(df: DataFrame, compat: bool = False, approximate: bool = False
         .withColumn("missing", F.col("nulls") + F.col("blanks"))
         .withColumn("missing_pct", C.report_percent(F.col("missing"), F.col("total")))
         .select(
-            "field", "total", "nulls", "blanks", "missing", "missing_pct", "duplicates",
+            *keys, "field", "total", "nulls", "blanks", "missing", "missing_pct", "duplicates",
             details[F.col("field")].alias("dtype"),
             _severity(F.col("missing_pct")).alias("severity"),
         )
-        .orderBy(places[F.col("field")])
+        .orderBy(*keys, places[F.col("field")])
     )
 
 
-def _exact_counts(df: DataFrame) -> DataFrame:
+def profile_drift(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What changed between two field profiles: one row per field of either.
+
+    Percentages change in points. A field that only one of them has is `added` or `removed`.
+    """
+    kept = ["total", "missing", "missing_pct", "duplicates", "dtype"]
+    old = before.select(F.col("field").alias("a"), *[F.col(n).alias(f"{n}_before") for n in kept])
+    new = after.select(F.col("field").alias("b"), *[F.col(n).alias(f"{n}_after") for n in kept])
+    both = old.join(new, F.col("a").eqNullSafe(F.col("b")), "full_outer")
+    repeated = [C.report_percent(F.col(f"duplicates_{w}"), F.col(f"total_{w}")) for w in ("before", "after")]
+    same = F.lit(True)
+    for name in kept:
+        same = same & F.col(f"{name}_before").eqNullSafe(F.col(f"{name}_after"))
+    change = (
+        F.when(F.col("total_before").isNull(), "added")
+        .when(F.col("total_after").isNull(), "removed")
+        .when(same, "same")
+        .otherwise("changed")
+    )
+    return both.select(
+        F.coalesce("a", "b").alias("field"),
+        change.alias("change"),
+        *[F.col(f"{name}_{when}") for name in ("total", "missing", "duplicates") for when in ("before", "after")],
+        F.bround(F.col("missing_pct_after") - F.col("missing_pct_before"), 1).alias("missing_points"),
+        F.bround(repeated[1] - repeated[0], 1).alias("repeated_points"),
+    )
+
+
+def distinct_sketches(df: DataFrame, by: str, precision: int = SKETCH_PRECISION) -> DataFrame:
+    """by, field, sketch: a HyperLogLog sketch of each column's values for each value of `by`.
+
+    Sketches of several snapshots unite without the snapshots being read again.
+    """
+    fields = [name for name in df.columns if name != by]
+    rows = df.groupBy(by).agg(*[F.hll_sketch_agg(F.col(n).cast("string"), F.lit(precision)).alias(n) for n in fields])
+    return rows.unpivot(by, fields, "field", "sketch")
+
+
+def distinct_estimates(sketches: DataFrame) -> DataFrame:
+    """field, distinct_values: an estimate over all the sketches given.
+
+    Its standard error is about 1.04 / sqrt(2 ** precision), 0.8 % by default; nulls do not count.
+    """
+    united = F.hll_union_agg("sketch", F.lit(False))
+    return sketches.groupBy("field").agg(F.hll_sketch_estimate(united).alias("distinct_values"))
+
+
+def _exact_counts(df: DataFrame, by: list[str]) -> DataFrame:
     value = F.col("value")
     kind = F.when(value.isNull(), "null").when(C.is_blank(value), "blank").otherwise("value")
     # The kind keeps a digest apart from a short value that looks like one.
     short = F.octet_length(value) <= _LONGEST_KEY
-    keyed = _long(df, df.columns).select(
+    fields = [name for name in df.columns if name not in by]
+    keyed = _long(df, fields, by).select(
+        *by,
         "field",
         F.concat(kind, F.when(short, "").otherwise("+digest")).alias("kind"),
         F.when(short, value.cast("binary"))
@@ -78,9 +135,9 @@ def _exact_counts(df: DataFrame) -> DataFrame:
     kind = F.col("kind")
     n = F.col("n")
     return (
-        keyed.groupBy("field", "kind", "key")
+        keyed.groupBy(*by, "field", "kind", "key")
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("field")
+        .groupBy(*by, "field")
         .agg(
             F.sum(n).alias("total"),
             F.sum(F.when(kind.startswith("null"), n).otherwise(0)).alias("nulls"),

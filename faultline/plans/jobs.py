@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from faultline import schemas
 from faultline.config import (
     DIM_SENTIMENT,
     FIRST_YEAR,
@@ -22,6 +23,7 @@ from faultline.operators import clean, dedupe, makes, quality, sentiment
 from faultline.plans import analytics
 from faultline.session import fresh_path
 from faultline.sinks import writers
+from faultline.sources.snapshots import snapshot_of
 
 
 def transform(
@@ -36,14 +38,25 @@ def transform(
     `empty_columns` names the columns to drop, as `quality.null_fields` reads them from
     a stored profile; without it they are found in the data.
     """
-    if profile.with_sentiment and lexicon is None:
-        raise ValueError("this profile scores texts: pass a lexicon")
+    _ask_for_lexicon(profile, lexicon)
+    _refuse_corrupt(raw)
     # Copies do not change which columns are empty, so the check reads the raw records.
     doomed = clean.null_columns(raw) if empty_columns is None else list(empty_columns)
     df = dedupe.drop_exact_duplicates(raw)
     return standardise(clean.drop_null_columns(df, doomed), profile, lexicon, modifiers)
 
 
+def _ask_for_lexicon(profile: Profile, lexicon) -> None:
+    if profile.with_sentiment and lexicon is None:
+        raise ValueError("this profile scores texts: pass a lexicon")
+
+
+def _refuse_corrupt(raw: DataFrame) -> None:
+    """Records kept as corrupt text are no facts."""
+    if schemas.CORRUPT in raw.columns:
+        raise ValueError("split the unreadable records off first: snapshots.split_corrupt")
+
+
 def standardise(
     df: DataFrame,
     profile: Profile,
@@ -51,6 +64,8 @@ def standardise(
     modifiers: bool = False,
 ) -> DataFrame:
     """The row-wise part of the transform: clean, map makes, score or date, type."""
+    _ask_for_lexicon(profile, lexicon)
+    _refuse_corrupt(df)
     df = clean.clean_numeric(df)
     df = clean.clean_text(df, clean.text_placeholders(profile))
     df = clean.clean_dates(df, profile.date_formats)
@@ -59,7 +74,7 @@ def standardise(
         df = clean.add_event_date(df)
     df = clean.clean_booleans(df)
     df = makes.normalise_make(df, profile.make_keywords)
-    if profile.with_sentiment and lexicon is not None:
+    if profile.with_sentiment:
         df = sentiment.score_columns(df, lexicon, PROSE_FIELDS, modifiers)
     if profile.with_etl_timestamp:
         df = clean.add_etl_timestamp(df)
@@ -77,6 +92,16 @@ class RunSummary:
     makes: dict[str, int]
     body_sentiment: dict[str, int]
 
+    def figures(self) -> dict[str, int]:
+        """All figures by name, for a table or a log."""
+        return {
+            "rows_read": self.rows_read,
+            "rows_written": self.rows_written,
+            "columns": self.columns,
+            **{f"make:{make}": n for make, n in self.makes.items()},
+            **{f"body_sentiment:{label}": n for label, n in self.body_sentiment.items()},
+        }
+
 
 def run_transform(
     raw: DataFrame,
@@ -128,11 +153,16 @@ def run_validate(
 ) -> str:
     """Write the quality tables of the snapshots below one folder; returns its path.
 
-    The raw records are read once per kind of aggregation, not once per check: all plain
-    counts share a pass, the frequency tables come from one table of counts, and samples
-    are looked for only where a count says there are any.
+    The raw records are read once: they land as columns in the shared folder, with a digest of each row.
+    From there all plain counts share a pass, the frequency tables come from one table of counts, and
+    samples are looked for only where a count says there are any. With a column `source_file` (provenance)
+    the table field_profiles beside the reports gets a partition per snapshot.
     """
     path = f"{folder.rstrip('/')}/{writers.report_name(snapshots)}"
+    raw, by_snapshot = _landed(raw), None
+    if "source_file" in raw.columns:
+        by_snapshot = raw.withColumn("snapshot", snapshot_of()).drop(*schemas.PROVENANCE, "_digest")
+    raw, whole = raw.drop(*schemas.PROVENANCE, "_digest"), raw.drop(*schemas.PROVENANCE)
 
     def keep(name: str, table: DataFrame) -> DataFrame:
         return writers.write_profile(table, path, name)
@@ -150,15 +180,25 @@ def run_validate(
     keep("make_variant_total", quality.make_variant_total(counts))
     keep("record_count_summary", quality.record_count_summary(counts, counted=True))
 
-    duplicates = keep("duplicate_rows", dedupe.duplicate_rows(raw))
+    duplicates = keep("duplicate_rows", dedupe.duplicate_rows(whole, "_digest"))
     if duplicates.first()["duplicate_rows"]:
-        keep("duplicate_samples", dedupe.duplicate_samples(raw))
+        keep("duplicate_samples", dedupe.duplicate_samples(whole, digest="_digest"))
+    if by_snapshot is not None:
+        writers.write_snapshot_profiles(quality.field_profile(by_snapshot, compat, by="snapshot"), folder)
     anomalies = quality.from_figures(figures).get("numeric_anomalies")
     if anomalies is not None and not anomalies.where("type_errors > 0").isEmpty():
         keep("bad_numeric_values", quality.bad_numeric_values(raw))
     return path
 
 
+def _landed(raw: DataFrame) -> DataFrame:
+    """The raw records as columns, with a digest of each row; where it was read does not count."""
+    said = raw.drop(*schemas.PROVENANCE)
+    path = fresh_path(raw.sparkSession, "raw")
+    raw.withColumn("_digest", dedupe.row_digest(said)).write.parquet(path)
+    return raw.sparkSession.read.schema(raw.schema.add("_digest", "binary")).parquet(path)
+
+
 def run_analysis(
     facts: DataFrame,
     folder: str,

@@ -1076,14 +1076,17 @@ def _(spark, folder):
 def _(spark, folder):
     result = A.model_scorecard(B.facts(spark, folder))
     (path,) = writers.write_results({"scorecard": result}, fresh_path(spark, "results"))
-    return spark.read.schema(result.schema).option("header", True).csv(path)
+    return writers.read_results(spark, path, result.schema)
 
 
 @query("catalog_table", FACTS + "select make, count(*) as record_count from f group by make")
 def _(spark, folder):
     name = f"facts_{uuid4().hex}"
     writers.save_facts_table(B.facts(spark, folder), name)
-    return quality.group_counts(fact_source.scan_table(spark, name), "make")
+    counts = quality.group_counts(fact_source.scan_table(spark, name), "make")
+    found = writers.write_profile(counts, fresh_path(spark, "counts"), "makes")
+    spark.sql(f"drop table {name}")  # the answer is written, nothing stays behind
+    return found
 
 
 @query(
@@ -1097,27 +1100,13 @@ def _(spark, folder):
     return snapshots.read_snapshot(spark, latest.path, "lines").select("record_id", "component")
 
 
-# The report's counts of the raw records; their makes are as raw as in the snapshots.
-@query(
-    "validation_report",
-    f"""with raw as ({B.raw_sql()})
-    select make as value, count(*) as record_count from raw group by make""",
-)
-def _(spark, folder):
-    raw = B.raw(spark, folder)
-    path = jobs.run_validate(raw, fresh_path(spark, "report"), ["nhtsa_1.json"])
-    variants = spark.read.parquet(f"{path}/make_variants")
-    return variants.withColumnRenamed("make", "value")
-
-
 def _cloud_analysis(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A saved result of the cloud report, read back with the types of its question."""
     facts = B.facts(spark, folder, "Unknown")
     question = A.report_questions(CLOUD)[name]
     target = fresh_path(spark, "analysis")
     jobs.run_analysis(facts, target, 1996, 2000, CLOUD)
-    reader = spark.read.schema(question(facts).schema).option("header", True)
-    return reader.csv(f"{target}/{name}.csv")
+    return writers.read_results(spark, f"{target}/{name}.csv", question(facts).schema)
 
 
 @query("analysis_cloud", ORACLES["component_recall_gap"])
@@ -1154,17 +1143,6 @@ def _(spark, folder):
     return rows.select("record_id", "make", "model", "year", "component", "injuries", "source")
 
 
-@query(
-    "run_summary",
-    f"""with raw as ({B.raw_sql()}) select count(*) as rows_read from raw""",
-)
-def _(spark, folder):
-    """Figures of the transform, as they come out of its own write."""
-    raw = B.raw(spark, folder)
-    summary = jobs.run_transform(raw, fresh_path(spark, "facts"), "run", _TEST_PROFILE, B.LEXICON)
-    return spark.createDataFrame([(summary.rows_read,)], "rows_read long")
-
-
 # ---------------------------------------------------------------- whole transform
 
 _TEST_PROFILE = Profile(**{**vars(LOCAL), "make_keywords": B.FACT_KEYWORDS})
@@ -1245,3 +1223,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     return A.partition_point_lookup(_curated(spark, folder), "RING", 1998, "positive")
+
+
+# Queries that load, report and stream; they build on the ones above.
+from faultline.plans import registry_loads  # noqa: E402, F401

@@ -17,6 +17,14 @@ RAW = T.StructType([T.StructField(name, T.StringType()) for name in RAW_FIELDS])
 
 CORRUPT = "_corrupt_record"
 
+#: Where a record was read: column -> (field of Spark's file metadata, type).
+PROVENANCE = {
+    "source_file": ("file_path", "string"),
+    "source_block": ("file_block_start", "bigint"),
+    "source_modified": ("file_modification_time", "timestamp"),
+}
+QUARANTINE = "raw string, reason string, " + ", ".join(f"{name} {kind}" for name, (_, kind) in PROVENANCE.items())
+
 DIM_MAKE = "make_id bigint, make string, make_label string"
 DIM_SENTIMENT = "sentiment_id bigint, sentiment_label string, threshold string"
 
@@ -50,7 +58,11 @@ def curated_types(profile: Profile) -> dict[str, str]:
     return types
 
 
-def curated(profile: Profile) -> T.StructType:
-    return T.StructType.fromDDL(
-        ", ".join(f"{name} {kind}" for name, kind in curated_types(profile).items())
-    )
+def curated(profile: Profile, provenance: bool = False) -> T.StructType:
+    types = curated_types(profile)
+    if provenance:
+        # before the partition columns, which stay last
+        read_from = {name: kind for name, (_, kind) in PROVENANCE.items()}
+        parts = {name: types.pop(name) for name in ("make", "year")}
+        types = {**types, **read_from, **parts}
+    return T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in types.items()))

@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faultline.operators.dims import dim_make, dim_sentiment
 from faultline.sources.facts import FACTS_PREFIX
@@ -64,6 +65,22 @@ def save_facts_table(facts: DataFrame, table: str) -> None:
     )
 
 
+def save_snapshot_table(records: DataFrame, database: str, snapshot: str) -> None:
+    """A snapshot as a catalog table of its own, with statistics of its columns for the optimizer."""
+    spark = records.sparkSession
+    records.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.`{snapshot}`")
+    spark.sql(f"analyze table {database}.`{snapshot}` compute statistics for all columns")
+
+
+def latest_snapshot_view(spark: SparkSession, database: str, view: str = "latest") -> str:
+    """Make the view show the snapshot table with the greatest name; returns that name."""
+    found = [table.name for table in spark.catalog.listTables(database) if table.tableType != "VIEW"]
+    if not found:
+        raise FileNotFoundError(f"no snapshot table in {database}")
+    spark.sql(f"create or replace view {database}.`{view}` as select * from {database}.`{max(found)}`")
+    return max(found)
+
+
 def write_dims(spark: SparkSession, base: str, with_sentiment: bool = True) -> None:
     """The dimensions; a handful of rows, hence one file each."""
     dims = {"dim_make": dim_make(spark)}
@@ -74,16 +91,35 @@ def write_dims(spark: SparkSession, base: str, with_sentiment: bool = True) -> N
 
 
 def write_results(results: dict[str, DataFrame | None], folder: str) -> list[str]:
-    """Each result as a CSV folder with header, in the result's order; others are skipped."""
+    """Each result as a CSV folder with header, in the result's order; others are skipped.
+
+    The files follow RFC 4180, so any reader of that takes them: fields with separators, quotes or line
+    ends are quoted, quotes inside are doubled, blanks around a text stay. A null is an empty field
+    and an empty text a quoted one. `read_results` reads them back with the types of the result.
+    """
     written = []
     for name, result in results.items():
         if isinstance(result, DataFrame):
             path = f"{folder.rstrip('/')}/{name}.csv"
-            result.write.mode("overwrite").option("header", True).csv(path)
+            result.write.mode("overwrite").options(**_CSV).csv(path)
             written.append(path)
     return written
 
 
+#: Quotes are doubled, as RFC 4180 has it, not escaped by a backslash.
+_CSV = {
+    "header": True, "quote": '"', "escape": '"', "charToEscapeQuoteEscaping": "\0",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""', "nullValue": "",
+}
+
+
+def read_results(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A result written by `write_results`; texts may hold line ends, an empty text is no null."""
+    # no value is a NUL sign, so only a field without quotes is read as null
+    reading = {**_CSV, "emptyValue": "", "nullValue": "\0", "multiLine": True}
+    return spark.read.schema(schema).options(**reading).csv(path)
+
+
 def report_name(snapshots: list[str]) -> str:
     """Named after the one snapshot, or combined with the time."""
     if len(snapshots) == 1:
@@ -98,6 +134,32 @@ def write_profile(profile: DataFrame, report: str, name: str) -> DataFrame:
     return profile.sparkSession.read.schema(profile.schema).parquet(path)
 
 
+def write_batch(rows: DataFrame, path: str, part: str) -> None:
+    """Replace the partitions of `part` that the rows have, and no others."""
+    replaced = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    replaced.partitionBy(part).parquet(path)
+
+
+def write_snapshot_profiles(profiles: DataFrame, folder: str, name: str = "field_profiles") -> str:
+    """Profiles with a column `snapshot`, into one table of all snapshots; returns its path.
+
+    Only the partitions of the snapshots given are replaced, so a repeated run adds nothing.
+    """
+    path = f"{folder.rstrip('/')}/{name}"
+    write_batch(profiles, path, "snapshot")
+    return path
+
+
+def write_quarantine(records: DataFrame, folder: str) -> str:
+    """Unreadable records for inspection, added to those of other runs by file; returns the path.
+
+    A repeated run replaces the records of the files it read.
+    """
+    path = f"{folder.rstrip('/')}/quarantine"
+    write_batch(records, path, "source_file")
+    return path
+
+
 def write_lines(lines: DataFrame, report: str, name: str) -> None:
     """The rendered text of a report."""
     lines.write.mode("overwrite").text(f"{report}/{name}")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import warnings
 from collections.abc import Collection
 from dataclasses import dataclass
+from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _DONE = "_SUCCESS"
@@ -65,3 +68,56 @@ def folders(spark: SparkSession, pattern: str) -> list[Entry]:
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless one is there; of several writers exactly one succeeds.
+
+    The whole file is written beside its place and then moved there by a rename that refuses to
+    replace. HDFS and other file systems with such a rename decide in their name service; on a local
+    disk a hard link does. A store whose rename is a copy decides nothing and needs a single writer.
+    """
+    target, fs = _open(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{uuid4().hex}")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            os.link(beside.toUri().getPath(), target.toUri().getPath())
+        else:
+            rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+            flags = spark.sparkContext._gateway.new_array(rename, 1)
+            flags[0] = rename.NONE
+            context = spark._jvm.org.apache.hadoop.fs.FileContext
+            context.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(beside, target, flags)
+    except FileExistsError:
+        return False
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        fs.delete(beside, False)
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, whole."""
+    target, fs = _open(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all it holds, if it is there."""
+    target, fs = _open(spark, path)
+    fs.delete(target, True)
+
+
+def _open(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())

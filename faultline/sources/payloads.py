@@ -48,8 +48,9 @@ def unreadable_payloads(payloads: DataFrame) -> DataFrame:
 
 def _pick(item: Column, key: str, default: str) -> Column:
     """The value of a key; the default only if the key is absent, so null stays null."""
-    known = F.map_contains_key(item, key)
-    return F.when(known, F.try_element_at(item, F.lit(key))).otherwise(F.lit(default))
+    # whether the key is there is looked up only where it has no value
+    absent = F.when(~F.map_contains_key(item, key), F.lit(default))
+    return F.coalesce(F.try_element_at(item, F.lit(key)), absent)
 
 
 def _flatten(
@@ -58,6 +59,7 @@ def _flatten(
     parsed = F.from_json("payload", _RESULTS)["results"]
     items = payloads.select("make", "model", "year", "fetched_at", F.explode(parsed).alias("item"))
     item = F.col("item")
+    items = items.where(item.isNotNull())  # a null among the results is no record
     # A null id prints as None behind the prefix.
     identifier = F.coalesce(_pick(item, id_key, ""), F.lit("None"))
     return items.select(
