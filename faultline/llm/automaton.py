@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from faultline.llm.common import CACHED_CHARS, Kept, map_batches, texts
+from faultline.llm.common import CACHED_CHARS, Kept, held, map_batches, texts
 
 
 #: Chunks that are normalised together.
@@ -238,15 +238,9 @@ class Encoder:
         return b"".join([a for a, _ in found]), b" ".join([b for _, b in found])
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(parts: Callable[[], tuple], key: str) -> Encoder:
     """One encoder for a worker process, also over several tasks."""
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(*parts())
-    return _encoders[key]
+    return held("automaton", key, lambda: Encoder(*parts()))
 
 
 def encode_documents(docs: DataFrame, path: str, digest: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 
 from faultline.session import fresh_path
 
+T_ = TypeVar("T_")
+
 #: Most entries of one generation of a per-worker word cache; results do not depend on it.
 CACHE_ENTRIES = 200_000
 #: Longer pieces are worked out each time instead of being kept.
@@ -21,18 +24,22 @@ CACHED_CHARS = 48
 class Kept(dict):
     """A cache in two generations: when the young one is full it becomes the old one, which is let go."""
 
-    def __init__(self, make: Callable, entries: int = CACHE_ENTRIES):
+    def __init__(self, make: Callable, entries: int = CACHE_ENTRIES, size: Callable = len):
         super().__init__()
-        self.make, self.entries, self.old = make, entries, {}
+        self.make, self.entries, self.old, self.size = make, entries, {}, size
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(key) <= CACHED_CHARS:
+        if self.size(key) <= CACHED_CHARS:
             self[key] = value
         return value
 
+    def empty(self) -> None:
+        self.clear()
+        self.old = {}
+
     def __setitem__(self, key, value):
         if len(self) >= self.entries:
             self.old = dict(self)
@@ -40,6 +47,21 @@ class Kept(dict):
         super().__setitem__(key, value)
 
 
+_held: dict[str, tuple] = {}
+
+
+def held(owner: str, key, make: Callable[[], T_]) -> T_:
+    """What a worker keeps from one task to the next: one owner's thing at a time.
+
+    A worker serves all stages of a job after each other; what an earlier stage kept is let go first, so
+    that memory does not add up.
+    """
+    if owner not in _held or _held[owner][0] != key:
+        _held.clear()
+        _held[owner] = (key, make())
+    return _held[owner][1]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -97,13 +119,14 @@ def extend(df: DataFrame, column: str, kind: T.DataType, make: Callable[[], Call
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, training, limit: int) -> DataFrame:
-    """doc_id, text, y of at most `limit` labelled documents of the training fold.
+    """doc_id, text, y of at most `limit` labelled rows of the training fold.
 
     The documents are those with the smallest hashes of doc_id, so that the choice does not depend
     on order. Labels without doc_id or value do not count; of several labels of a document the
-    largest counts.
+    largest counts. Documents that repeat are taken with all their rows; where a document's rows no longer
+    fit below the limit it is left out, and the next ones are looked at.
     """
-    known = (
+    chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
         .where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & training)
         .groupBy("doc_id")
@@ -111,7 +134,18 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, training, limit: in
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(limit)
     )
-    # limit rows of two numbers: a bound that the data cannot move
+    # at most `limit` rows of two numbers, here and in the broadcast
+    first = chosen.collect()
+    spark = docs.sparkSession
+    asked = spark.createDataFrame([(r["doc_id"],) for r in first], "doc_id long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(F.broadcast(asked), "doc_id")
+    copies = {r["doc_id"]: r["count"] for r in rows.groupBy("doc_id").count().collect()}
+    taken, kept = 0, []
+    for r in first:
+        if taken + copies.get(r["doc_id"], 0) <= limit:
+            taken += copies.get(r["doc_id"], 0)
+            kept.append((r["doc_id"], r["y"]))
+    known = spark.createDataFrame(kept, "doc_id long, y int")
     return texts(docs).join(F.broadcast(known), "doc_id")
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from faultline.llm.common import CACHED_CHARS, map_batches, materialise, texts
+from faultline.llm.common import CACHED_CHARS, held, map_batches, materialise, texts
 
 #: Pieces in one generation of a worker's cache, and pieces encoded together.
 KEPT_PIECES = 800_000
@@ -93,9 +93,6 @@ class Tokens:
         return ids
 
 
-_tokens: dict[str, Tokens] = {}
-
-
 def pieces(docs: DataFrame, path: str, width: int, end: int = 0, with_ids: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens (and ids): full pieces and one rest of each document."""
     with open(path, encoding="utf-8") as f:
@@ -105,10 +102,7 @@ def pieces(docs: DataFrame, path: str, width: int, end: int = 0, with_ids: bool
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _tokens:
-            _tokens.clear()
-            _tokens[key] = Tokens(shared.value, end)
-        tokens = _tokens[key]
+        tokens = held("packing", key, lambda: Tokens(shared.value, end))
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -7,7 +7,7 @@ is valid too, keeps its separators, can be undone with the key, and equal values
 in all documents, however they are grouped.
 
 Defined results: a null text counts as empty and comes back empty; texts without values come back as they
-are. Rows repeat, null doc_ids stay. Whole texts are read. Where two shapes begin at one place the longer
+are. Rows repeat, null doc_ids stay. Whole texts are read, values of any length too. Where two shapes begin at one place the longer
 match wins, of equal ones the first kind listed, and a card only where nothing else is valid. Numbers may
 follow a value: an IBAN ends at the length of its country, a card at the first end of a group where its
 check digit holds. The permutations keep which shorter ends hold, so pseudonyms end where their values did.
@@ -28,6 +28,9 @@ from pyspark.sql import types as T
 from faultline.llm.common import Kept
 
 ROUNDS = 8
+#: Signs of an address's name or of a secret that are permuted together.
+BLOCK = 256
+_FORMAT = re.compile("([0-9])|([a-z])|([A-Z])")
 #: Dates are permuted among these years.
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
@@ -242,9 +245,26 @@ def _date(text: str, feistel: Feistel, undo: bool) -> str | None:
 
 
 def _classed(text: str, kind: str, feistel: Feistel, undo: bool) -> str | None:
-    """Digits stay digits, small and capital ASCII letters such letters; other signs stay."""
+    """Digits stay digits, small and capital ASCII letters such letters; other signs stay.
+
+    Longer values are permuted in blocks, each with its place and the format of the whole in its key, so that
+    the work grows with the length alone.
+    """
+    if len(text) > BLOCK:
+        if not any(c.isascii() and c.isalnum() for c in text):
+            return None
+        hexed = re.fullmatch(r"[0-9a-f]*", text) is not None
+        # what the permutation keeps: the place of each class of signs, or the length alone
+        shape = f"{len(text)}" if hexed else _FORMAT.sub(lambda m: "0aA"[m.lastindex - 1], text)
+        whole = hashlib.blake2b(shape.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+        blocks = (text[i : i + BLOCK] for i in range(0, len(text), BLOCK))
+        return "".join(_classed_block(part, f"{kind}{whole}:{n}:", feistel, undo, hexed) or part for n, part in enumerate(blocks))
+    return _classed_block(text, kind, feistel, undo, re.fullmatch(r"[0-9a-f]{16,}", text) is not None)
+
+
+def _classed_block(text: str, kind: str, feistel: Feistel, undo: bool, hexed: bool) -> str | None:
     sets = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-    if re.fullmatch(r"[0-9a-f]{16,}", text):
+    if hexed:
         sets = ("0123456789abcdef",)
     kinds = [next((i for i, letters in enumerate(sets) if c in letters), -1) for c in text]
     symbols = [(sets[k].index(c), len(sets[k])) for c, k in zip(text, kinds) if k >= 0]
@@ -278,7 +298,7 @@ class Pseudonyms:
 
     def __init__(self, key: bytes, undo: bool = False):
         feistel = Feistel(key)
-        self.known = Kept(lambda k: _MAKERS[k[0]](k[1], feistel, undo) or "", 50_000)
+        self.known = Kept(lambda k: _MAKERS[k[0]](k[1], feistel, undo) or "", 50_000, size=lambda k: len(k[1]))
 
     def _addresses(self, text: str) -> Iterator[tuple[int, int, str, str]]:
         at = text.find("@")

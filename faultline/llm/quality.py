@@ -6,8 +6,8 @@ distance, at unit length. A document is the mean and the spread of its words' ve
 neighbours agree. Two dense layers in numpy give a logit; a temperature fitted on held-back training
 documents turns it into a probability.
 
-The network and the vectors are fitted on at most `sample` labelled documents; every document is scored
-over its whole text.
+The vectors are counted over all texts given, as they need no label; the network is fitted on at most
+`sample` labelled rows. Every document is scored over its whole text.
 
 Defined results: a null text counts as empty; a text without words has a vector of zeros and is scored
 like any other. Rows repeat, and null doc_ids stay, outside all folds. Without labels of both classes
@@ -21,6 +21,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import Kept, extend, labelled, map_batches, materialise, sigmoid
+from faultline.llm.common import Kept, extend, held, labelled, map_batches, materialise, sigmoid, texts
 
-#: Labelled documents that the classifier is fitted on at most.
+#: Labelled rows that the network is fitted on at most.
 SAMPLE = 12_000
 BUCKETS = 16_384
 DIMENSIONS = 64
@@ -54,14 +55,9 @@ def _chunk(chunk: str) -> tuple[int, ...]:
     return tuple(zlib.crc32(t.encode()) % BUCKETS for t in _TOKEN.findall(chunk.lower()))
 
 
-_chunks = Kept(_chunk)
-
-
 def tokens(text: str | None) -> np.ndarray:
-    ids: list[int] = []
-    for found in map(_chunks.__getitem__, (text or "").split()):
-        ids += found
-    return np.array(ids, dtype=np.int32)
+    chunks = held("quality", "chunks", lambda: Kept(_chunk))
+    return np.fromiter(chain.from_iterable(map(chunks.__getitem__, (text or "").split())), dtype=np.int32)
 
 
 @functools.cache
@@ -74,21 +70,31 @@ def index_vectors() -> np.ndarray:
     return vectors
 
 
+@functools.cache
+def rolled_vectors() -> dict[int, np.ndarray]:
+    """Index vectors turned by each distance; the last row, of no word, is zero."""
+    padded = np.vstack([index_vectors(), np.zeros((1, DIMENSIONS), dtype=np.float32)])
+    return {d: np.roll(padded, d, axis=1) for d in range(-WINDOW, WINDOW + 1) if d}
+
+
 def add_contexts(ids: np.ndarray, sums: np.ndarray) -> None:
-    """Add to each word's row the index vectors around it, rolled by their distance."""
-    index = index_vectors()
+    """Add to each word's row the index vectors around it, rolled by their distance.
+
+    BUCKETS stands for no word; texts that follow each other have WINDOW of it between them.
+    """
+    rolled = rolled_vectors()
+    padded = np.concatenate([np.full(WINDOW, BUCKETS), ids, np.full(WINDOW, BUCKETS)])
     for start in range(0, len(ids), BLOCK):
         part = ids[start : start + BLOCK]
+        begin = start + WINDOW
         context = np.zeros((len(part), DIMENSIONS), dtype=np.float32)
-        for distance in range(1, WINDOW + 1):
-            for sign in (-distance, distance):
-                at = np.arange(start, start + len(part)) + sign
-                inside = (at >= 0) & (at < len(ids))
-                context[inside] += np.roll(index[ids[at[inside]]], sign, axis=1)
+        for distance, index in rolled.items():
+            context += index[padded[begin + distance : begin + distance + len(part)]]
         order = np.argsort(part, kind="stable")
         words, first = np.unique(part[order], return_index=True)
-        if len(words):
-            sums[words] += np.add.reduceat(context[order], first, axis=0)
+        added = np.add.reduceat(context[order], first, axis=0)
+        real = words < BUCKETS
+        sums[words[real]] += added[real]
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
@@ -97,9 +103,17 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((BUCKETS, DIMENSIONS), dtype=np.float32)
+        between = np.full(WINDOW, BUCKETS, dtype=np.int32)
+        waiting, size = [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                add_contexts(tokens(text), sums)
+                waiting += [tokens(text), between]
+                size += len(waiting[-2])
+                if size >= BLOCK:
+                    add_contexts(np.concatenate(waiting), sums)
+                    waiting, size = [], 0
+        if waiting:
+            add_contexts(np.concatenate(waiting), sums)
         for k in range(0, BUCKETS, rows_each):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k]), pa.array([sums[k : k + rows_each].tobytes()], pa.binary())], names=["part", "sums"]
@@ -205,7 +219,7 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, label: str, training, sample: int = SAMPLE) -> Model:
     """A model from the labelled documents for which training (a condition on doc_id) holds."""
     chosen = materialise(labelled(docs, labels, label, training, sample), "quality-sample")
-    vectors = word_vectors(chosen)
+    vectors = word_vectors(texts(docs))
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, training, sample: int =
             )
 
     # at most `sample` rows of fixed width, in an order that does not depend on the run
-    rows = map_batches(chosen.select("doc_id", "text", "y"), work, "doc_id long, y int, x array<double>").orderBy("doc_id", "y").collect()
+    rows = sorted(map_batches(chosen.select("doc_id", "text", "y"), work, "doc_id long, y int, x array<double>").collect())
     x = np.array([r["x"] for r in rows]).reshape(len(rows), 2 * DIMENSIONS + 4)
     return Model(vectors, fit_network(x, np.array([min(1, max(0, r["y"])) for r in rows], dtype=np.float64)))
 
@@ -226,12 +240,12 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed size
 
     def make() -> Callable[[list], pa.Array]:
-        held = shared.value
+        model = shared.value
 
         def scores(batch: list) -> pa.Array:
             if not batch:
                 return pa.array([], pa.float64())
-            return pa.array(held.network.probability(np.stack([pooled(t, held.vectors) for t in batch])), pa.float64())
+            return pa.array(model.network.probability(np.stack([pooled(t, model.vectors) for t in batch])), pa.float64())
 
         return scores
 

@@ -2,17 +2,20 @@
 
 Words spelt with digits or signs, with letters repeated, or letter by letter are read through a lattice:
 each character may stand for itself, for the letters it resembles, for one of a repetition, or for
-nothing (a separator). A Viterbi search finds the best path under a character trigram model of the
-training texts. Words without such signs and without doubled letters have a lattice of one path and stay as
-they are. Neighbouring chunks of up to three characters are read together, at any length of their run.
+nothing (a separator). A Viterbi search finds the best path under a character trigram model of all
+texts given. Words without such signs and without doubled letters have a lattice of one path and stay as
+they are. Chunks of up to three characters are read together with their neighbours, at any length of their
+run; up to six characters are taken as a neighbour. Common words (of up to six letters, with a share of all
+words that bounds their number) are no parts by themselves: a run is read where a part of up to three
+characters is no common word, a doubled letter where the word is none.
 
 A feature (a word, its first letters, or five letters in a row) weighs as much as it is commoner in toxic
 training documents, shrunk towards no weight. A word is as toxic as its weightiest feature; a document
 is judged by logistic regression on its most toxic words. The regression sees each training document with
 its own counts taken out.
 
-Model and weights are fitted on at most `sample` labelled documents; every document is scored over its
-whole text.
+The character model and the common words need no label and are counted over all texts given; weights and
+regression are fitted on at most `sample` labelled rows. Every document is scored over its whole text.
 
 Defined results: a null text counts as empty; a text without words is scored like any other. Rows repeat,
 and null doc_ids stay, outside all folds. Without labels of both classes the score is the smoothed
@@ -27,17 +30,17 @@ from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain, groupby
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import Kept, extend, labelled, logistic, map_batches, materialise, sigmoid
+from faultline.llm.common import CACHED_CHARS, Kept, extend, held, labelled, logistic, map_batches, materialise, sigmoid, texts
 
-#: Labelled documents that the classifier is fitted on at most.
+#: Labelled rows that weights and regression are fitted on at most.
 SAMPLE = 12_000
 #: A feature needs so many toxic documents of the sample to get a weight.
 LEAST_POSITIVE = 3
@@ -48,8 +51,12 @@ LEAST_WEIGHT = 0.3
 #: A word above this counts as a toxic one.
 TOXIC_WORD = 1.0
 WINDOW = 5
-#: Chunks and words that a task keeps with their weights, each, in one generation.
-CACHED = 250_000
+#: Chunks that a worker keeps with what is known of them, and runs, each in one generation.
+CACHED, CACHED_RUNS = 250_000, 50_000
+#: Distinct chunks that a task counts before it hands them on.
+COUNTED = 300_000
+#: Share of all words from which on a word is common, and a single letter.
+COMMON_WORD, COMMON_LETTER = 1e-4, 1e-3
 PREFIXES = (4, 6)
 
 # Letters that a digit or sign resembles.
@@ -65,8 +72,10 @@ SIGN, SEPARATOR, SHORTENED, GAP = -1.0, -0.3, -0.3, -0.3
 _EDGE = re.compile(r"^[^\w@$!|+(€£¡]+|[^\w$@]+$")
 _ODD = re.compile(r"[\W\d_]|(.)\1")
 _LETTERS = re.compile(r"[^\W\d_]+")
-#: Chunks of so many characters at most may be parts of a word.
-SHORT = 3
+#: Chunks of so many characters at most may be parts of a word, and beside such parts.
+SHORT, BESIDE = 3, 6
+#: So many parts on each side of a rare one are read with it.
+NEAR = 2
 #: Runs of so many characters at most are kept with their words.
 KEPT_RUN = 64
 
@@ -78,24 +87,41 @@ class Characters:
     counts: dict[str, int] = field(default_factory=dict)
 
     @staticmethod
-    def count(words: Iterable[tuple[str, int]]) -> Counter:
-        found: Counter = Counter()
-        for word, n in words:
-            w = f"  {word} "
-            for i in range(2, len(w)):
-                found[w[i]] += n
-                found[w[i - 1 : i + 1]] += n
-                found[w[i - 2 : i + 1]] += n
-        return found
+    def count(words: Iterable[tuple[str, int]]) -> dict[str, int]:
+        """Trigrams of words with their counts, two spaces before a word and one behind."""
+        names, counts = zip(*words) if (words := list(words)) else ((), ())
+        if not names:
+            return {}
+        signs = np.frombuffer("".join(f"  {w} " for w in names).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        sizes = np.array([len(w) for w in names]) + 3
+        first = np.cumsum(sizes) - sizes
+        third = np.ones(len(signs), dtype=bool)
+        third[first] = third[first + 1] = False
+        at = np.nonzero(third)[0]
+        packed = signs[at - 2] << 42 | signs[at - 1] << 21 | signs[at]
+        grams, place = np.unique(packed, return_inverse=True)
+        total = np.zeros(len(grams), dtype=np.int64)
+        np.add.at(total, place, np.repeat(np.array(counts, dtype=np.int64), sizes)[at])
+        mask = (1 << 21) - 1
+        return {chr(g >> 42) + chr(g >> 21 & mask) + chr(g & mask): n for g, n in zip(grams.tolist(), total.tolist())}
 
     def __post_init__(self):
+        # shorter histories follow from the trigrams, each letter being the third of one
+        shorter: Counter = Counter()
+        for gram, n in self.counts.items():
+            shorter[gram[1:]] += n
+            shorter[gram[2:]] += n
+        self.counts = {**self.counts, **shorter}
         history: Counter = Counter()
         for gram, n in self.counts.items():
             history[gram[:-1]] += n
         self.history = history
         self.letters = max(1, sum(len(g) == 1 for g in self.counts))
+        #: Log probability of the third letter of a string after its first two; asked for over and over.
+        self.logs = Kept(self._log)
 
-    def log(self, before: str, letter: str) -> float:
+    def _log(self, gram: str) -> float:
+        before, letter = gram[:2], gram[2]
         p = 1.0 / (self.letters + 1)
         for size in (0, 1, 2):
             context = before[2 - size :]
@@ -104,41 +130,57 @@ class Characters:
         return math.log(p)
 
 
-def _lattice(spelt: str) -> Iterator[list[tuple[str, float]]]:
-    """For each run of one character the strings it may stand for, with their channel costs."""
-    for c, run in groupby(spelt):
-        n = len(list(run))
-        if c == " ":
-            yield [("", GAP), (" ", 0.0)]
-            continue
-        letters = [(c, 0.0)] if c.isalpha() else [(x, SIGN) for x in RESEMBLES.get(c, "")]
-        ways = []
-        for x, cost in letters:
-            if n == 1:
-                ways.append((x, cost))
-            elif n == 2:
-                ways += [(x + x, cost), (x, cost + 4 * SHORTENED)]
-            else:
-                ways += [(x, cost + SHORTENED), (x + x, cost + 2 * SHORTENED)]
-        if not letters or c in MARKS:
-            ways.append(("", SEPARATOR if not letters else SEPARATOR + 3 * SIGN))
-        yield ways
+def _ways(run: str) -> tuple[tuple[str, float], ...]:
+    """The strings that a run of one character may stand for, with their channel costs."""
+    c, n = run[0], len(run)
+    if c == " ":
+        return (("", GAP), (" ", 0.0))
+    letters = [(c, 0.0)] if c.isalpha() else [(x, SIGN) for x in RESEMBLES.get(c, "")]
+    ways = []
+    for x, cost in letters:
+        if n == 1:
+            ways.append((x, cost))
+        elif n == 2:
+            ways += [(x + x, cost), (x, cost + 4 * SHORTENED)]
+        else:
+            ways += [(x, cost + SHORTENED), (x + x, cost + 2 * SHORTENED)]
+    if not letters or c in MARKS:
+        ways.append(("", SEPARATOR if not letters else SEPARATOR + 3 * SIGN))
+    return tuple(ways)
+
+
+_RUN = re.compile(r"(.)\1*", re.DOTALL)
+_known_ways = Kept(_ways, 20_000)
 
 
 def restore(spelt: str, model: Characters) -> str:
     """The best reading of a lower-case string; spaces in it may vanish or stay."""
+    logs = model.logs
     paths: dict[str, tuple[float, tuple]] = {"  ": (0.0, ())}
-    for ways in chain(_lattice(spelt), [[(" ", 0.0)]]):
+    for run in (*(m.group() for m in _RUN.finditer(spelt)), ""):
+        ways = _known_ways[run] if run else ((" ", 0.0),)
         onward: dict[str, tuple[float, tuple]] = {}
+        if len(ways) == 1 and len(letters := ways[0][0]) == 1 and letters != " ":
+            # one letter that can only be itself
+            cost = ways[0][1]
+            for before, (so_far, trail) in paths.items():
+                gram = before + letters
+                total, last = so_far + cost + logs[gram], gram[1:]
+                best = onward.get(last)
+                if best is None or total > best[0]:
+                    onward[last] = (total, (trail, letters))
+            paths = onward
+            continue
         for before, (so_far, trail) in paths.items():
             for letters, cost in ways:
                 total, last = so_far + cost, before
                 for x in letters:
                     if x != " " or last[1] != " ":
-                        total += model.log(last, x)
-                        last = last[1] + x
-                held = onward.get(last)
-                if held is None or total > held[0]:
+                        gram = last + x
+                        total += logs[gram]
+                        last = gram[1:]
+                best = onward.get(last)
+                if best is None or total > best[0]:
                     onward[last] = (total, (trail, letters))
         paths = onward
     _, trail = max(paths.values(), key=lambda p: p[0])
@@ -149,36 +191,61 @@ def restore(spelt: str, model: Characters) -> str:
     return "".join(reversed(parts)).strip()
 
 
-def _part(chunk: str) -> str:
-    """The chunk without the signs around it if it may be a part of a word, else nothing."""
-    plain = chunk if len(chunk) == 1 else _EDGE.sub("", chunk)
-    return plain if len(plain) <= SHORT else ""
+def _joins(part: tuple[str, bool]) -> bool:
+    return part[0] != ""
+
+
+def _kept_run(joined: str) -> int:
+    return 0 if len(joined) <= KEPT_RUN else CACHED_CHARS + 1
 
 
 class Reader:
     """The distinct words of a text as they stand and as restored."""
 
-    def __init__(self, model: Characters):
-        self.model = model
-        self.parts = Kept(_part, CACHED)
-        self.runs = Kept(self._read, CACHED)
+    def __init__(self, model: Characters, common: frozenset[str] = frozenset()):
+        self.model, self.common = model, common
+        self.parts = Kept(self.part, CACHED)
+        self.runs = Kept(self._read, CACHED_RUNS, size=_kept_run)
+
+    def part(self, chunk: str) -> tuple[str, bool]:
+        """The chunk without the signs around it if it may be a part of a word, else nothing; whether it makes a run."""
+        plain = chunk if len(chunk) == 1 else _EDGE.sub("", chunk)
+        rare = plain not in self.common
+        if len(plain) <= SHORT:
+            return plain, rare and plain != ""
+        return (plain, False) if rare and len(plain) <= BESIDE else ("", False)
 
     def chunk(self, chunk: str) -> set[str]:
         """Words of lower-case text without white space."""
         plain = _EDGE.sub("", chunk)
         found = set(_LETTERS.findall(plain))
-        if plain and _ODD.search(plain):
+        if plain and plain not in self.common and _ODD.search(plain):
             found.update(restore(plain, self.model).split())
         return found
 
+    def segments(self, chunks: list[str]) -> Iterator[str]:
+        """Parts that may be words together: those near a rare short one, longer ones right beside it."""
+        for joins, run in groupby(map(self.parts.__getitem__, chunks), _joins):
+            if not joins or len(parts := list(run)) < 2:
+                continue
+            rare = [i for i, (_, makes) in enumerate(parts) if makes]
+            kept: set[int] = set()
+            for i in rare:
+                kept.update(k for k in range(max(0, i - NEAR), min(len(parts), i + NEAR + 1)) if abs(k - i) == 1 or len(parts[k][0]) <= SHORT)
+            segment: list[str] = []
+            for i, (plain, _) in enumerate(parts):
+                if i in kept:
+                    segment.append(plain)
+                    continue
+                if len(segment) > 1:
+                    yield " ".join(segment)
+                segment = []
+            if len(segment) > 1:
+                yield " ".join(segment)
+
     def spelt(self, chunks: list[str]) -> set[str]:
         """Words spelt over several short chunks."""
-        found: set[str] = set()
-        for short, run in groupby(map(self.parts.__getitem__, chunks), bool):
-            if short and len(parts := list(run)) > 1:
-                joined = " ".join(parts)
-                found.update(self.runs[joined] if len(joined) <= KEPT_RUN else self._read(joined))
-        return found
+        return set(chain.from_iterable(map(self.runs.__getitem__, self.segments(chunks))))
 
     def _read(self, joined: str) -> tuple[str, ...]:
         return tuple(restore(joined, self.model).split())
@@ -188,12 +255,10 @@ class Reader:
         return self.spelt(chunks).union(*map(self.chunk, set(chunks)))
 
 
-def features(word: str) -> list[int]:
-    """Hashes of the word, its first letters and its windows, all with the word's bounds."""
+def features(word: str) -> list[str]:
+    """The word, its first letters and its windows, all with the word's bounds; some may be equal."""
     bound = f"^{word}$"
-    found = {bound, *(bound[: n + 1] for n in PREFIXES if len(word) > n)}
-    found.update(bound[i : i + WINDOW] for i in range(len(bound) - WINDOW + 1))
-    return [xxhash.xxh3_64_intdigest(f) >> 1 for f in found]
+    return [bound, *[bound[: n + 1] for n in PREFIXES if len(word) > n], *[bound[i : i + WINDOW] for i in range(len(bound) - WINDOW + 1)]]
 
 
 def summary(weights: list[float], n: int) -> list[float]:
@@ -204,17 +269,40 @@ def summary(weights: list[float], n: int) -> list[float]:
 
 
 @dataclass
-class Model:
+class Language:
+    """What is counted over all texts: letters in a row, and the common words."""
+
     characters: dict[str, int]
-    weights: dict[int, float]
+    common: frozenset[str]
+
+    def reader(self) -> Reader:
+        return Reader(Characters(self.characters), self.common)
+
+
+@dataclass
+class Model:
+    language: Language
+    weights: dict[str, float]
     regression: np.ndarray
 
     def scorer(self) -> Callable[[list], np.ndarray]:
-        reader = Reader(Characters(self.characters))
-        weight = Kept(lambda w: max((self.weights.get(f, 0.0) for f in features(w)), default=0.0), CACHED)
-        weighed = lambda words: tuple((w, weight[w]) for w in words if weight[w] > 0.0)
-        # most chunks hold no word of any weight and share the empty tuple
-        chunks = Kept(lambda c: weighed(reader.chunk(c)), CACHED)
+        reader, weights = self.language.reader(), self.weights
+
+        def weighed(words: Iterable[str]) -> tuple[tuple[str, float], ...]:
+            found = []
+            for w in words:
+                held = [weights[f] for f in features(w) if f in weights]
+                if held and (heaviest := max(held)) > 0.0:
+                    found.append((w, heaviest))
+            return tuple(found)
+
+        def known(chunk: str) -> tuple:
+            """Words of weight, and whether the chunk makes a run; most chunks share the empty tuple."""
+            heavy, rare = weighed(reader.chunk(chunk)), reader.part(chunk)[1]
+            return (heavy, rare) if heavy or rare else ()
+
+        chunks = Kept(known, CACHED)
+        runs = Kept(lambda joined: weighed(set(reader.runs.make(joined))), CACHED_RUNS, size=_kept_run)
         w = self.regression
 
         def scores(batch: list) -> np.ndarray:
@@ -222,9 +310,14 @@ class Model:
             for text in batch:
                 own = (text or "").lower().split()
                 distinct = set(own)
-                heavy = dict(weighed(reader.spelt(own)))
-                for found in filter(None, map(chunks.__getitem__, distinct)):
+                heavy: dict[str, float] = {}
+                spelt = False
+                for found, rare in filter(None, map(chunks.__getitem__, distinct)):
                     heavy.update(found)
+                    spelt |= rare
+                if spelt:
+                    for found in map(runs.__getitem__, reader.segments(own)):
+                        heavy.update(found)
                 x.append(summary(list(heavy.values()), len(distinct)))
             return sigmoid(np.array(x).reshape(len(x), 4) @ w[:-1] + w[-1])
 
@@ -235,19 +328,39 @@ def _weight(positive, negative, p: float):
     return np.log((positive + SHRINK * p) / (negative + SHRINK * (1 - p))) - math.log(p / (1 - p))
 
 
-def _character_counts(sample: DataFrame) -> dict[str, int]:
-    """Trigrams of the plain words of the sample; the alphabet bounds their number."""
+def language(docs: DataFrame) -> Language:
+    """Letters and common words of all texts; the alphabet and the least share bound what the driver gets."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
+        chunks: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            words: Counter = Counter()
+            for chunk, n in chunks.items():
+                for w in _LETTERS.findall(chunk):
+                    words[w] += n
+            chunks.clear()
+            grams = Characters.count(words.items())
+            short = {w: n for w, n in words.items() if len(w) <= BESIDE}
+            total = sum(words.values())
+            kinds = [0] * len(grams) + [1] * len(short) + [2]
+            names, counts = [*grams, *short, ""], [*grams.values(), *short.values(), total]
+            return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(names, pa.string()), pa.array(counts, pa.int64())], names=["kind", "name", "n"])
+
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words.update(_LETTERS.findall(text.lower()))
-        grams = Characters.count(words.items())
-        yield pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], names=["gram", "n"])
+                chunks.update(text.lower().split())
+                if len(chunks) >= COUNTED:
+                    yield flush()
+        yield flush()
 
-    counted = map_batches(sample.select("text"), work, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {r["gram"]: r["n"] for r in counted.orderBy("gram").collect()}
+    counted = map_batches(texts(docs).select("text"), work, "kind int, name string, n long").groupBy("kind", "name").agg(F.sum("n").alias("n"))
+    counted = materialise(counted, "toxicity-language")
+    total = counted.where("kind = 2").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    least = F.when(F.length("name") > 1, COMMON_WORD).otherwise(COMMON_LETTER) * total
+    common = counted.where((F.col("kind") == 1) & (F.col("n") >= least)).select("name").collect()
+    grams = counted.where("kind = 0").orderBy("name").collect()
+    return Language({r["name"]: r["n"] for r in grams}, frozenset(r["name"] for r in common))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, training, sample: int = SAMPLE) -> Model:
@@ -257,31 +370,31 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, training, sample: int =
     totals = chosen.agg(F.count("*").alias("n"), F.count_if(F.col("y") > 0).alias("positive")).first()
     n, positive = totals["n"], totals["positive"]
     if not 0 < positive < n:
-        return Model({}, {}, np.array([0.0, 0.0, 0.0, 0.0, math.log((positive + 0.5) / (n - positive + 0.5))]))
-    letters = _character_counts(chosen)
-    model = context.broadcast(letters)
+        return Model(Language({}, frozenset()), {}, np.array([0.0, 0.0, 0.0, 0.0, math.log((positive + 0.5) / (n - positive + 0.5))]))
+    counted = language(docs)
+    model, turn = context.broadcast(counted), uuid4().hex
 
     def found_in(chosen_features) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         """The features of each document's words (of those chosen, if any), with its id and label."""
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             chosen = None if chosen_features is None else chosen_features.value
-            reader = Reader(Characters(model.value))
-            hashed = Kept(lambda w: [f for f in features(w) if chosen is None or f in chosen], 50_000)
+            reader = held("toxicity", turn, lambda: model.value.reader())
+            known = Kept(lambda w: [f for f in features(w) if chosen is None or f in chosen], 50_000)
             for batch in batches:
                 lists, words = [], []
                 for text in batch.column(1).to_pylist():
-                    own = [hashed[w] for w in sorted(reader.words(text))]
+                    own = [known[w] for w in sorted(reader.words(text))]
                     words.append(len(set(text.lower().split())))
                     lists.append([v for v in own if v] if chosen is not None else [list({f for v in own for f in v})])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), pa.array(words, pa.int64()), pa.array(lists, pa.list_(pa.list_(pa.int64())))],
+                    [batch.column(0), batch.column(2), pa.array(words, pa.int64()), pa.array(lists, pa.list_(pa.list_(pa.string())))],
                     names=["doc_id", "y", "words", "features"],
                 )
 
         return work
 
-    schema = "doc_id long, y int, words long, features array<array<long>>"
+    schema = "doc_id long, y int, words long, features array<array<string>>"
     rows = chosen.select("doc_id", "text", "y")
     toxic = map_batches(rows.where("y > 0"), found_in(None), schema).select(F.explode(F.col("features")[0]).alias("f"))
     frequent = toxic.groupBy("f").count().where(F.col("count") >= LEAST_POSITIVE).select("f")
@@ -310,17 +423,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, training, sample: int =
                 x.append(summary([w for w in heavy if w > 0.0], words))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
-    fitted = map_batches(seen, summaries, "doc_id long, y int, x array<double>").orderBy("doc_id", "y").collect()
+    fitted = map_batches(seen, summaries, "doc_id long, y int, x array<double>").collect()
+    fitted.sort()  # an order that does not depend on the run
     x = np.array([r["x"] for r in fitted]).reshape(len(fitted), 4)
-    return Model(letters, weights, logistic(x, np.array([float(r["y"] > 0) for r in fitted])))
+    return Model(counted, weights, logistic(x, np.array([float(r["y"] > 0) for r in fitted])))
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """docs with the probability of label 1 in one more column."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
+    shared, turn = docs.sparkSession.sparkContext.broadcast(model), uuid4().hex  # bounded by sample and alphabet
 
     def make() -> Callable[[list], pa.Array]:
-        scores = shared.value.scorer()
+        scores = held("toxicity", turn, lambda: shared.value.scorer())
         return lambda batch: pa.array(scores(batch), pa.float64())
 
     return extend(docs, column, T.DoubleType(), make)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import random
 from collections import Counter
 
 import numpy as np
@@ -9,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultline.llm import quality, queries, toxicity
-from faultline.llm.common import logistic, sigmoid
+from faultline.llm.common import labelled, logistic, sigmoid
 from tests.llm.fixtures import AWKWARD, documents, empty_documents, labels
 
 LABELS = [(1, 1, 0), (2, 0, 1), (2, 1, 1), (3, None, None), (None, 1, 1), (6, 1, 0), (99, 0, 1), (7, 0, 1), (9, 0, 0)]
@@ -113,3 +115,86 @@ def test_reader_finds_doubled_letters_and_split_words(letters, text, word):
 def test_reader_reads_a_long_run_as_a_whole(letters):
     for shift in range(45):
         assert "idiot" in toxicity.Reader(letters).words("y o u " * shift + "i d i o t " + "y o u " * 40)
+
+
+def test_common_words_do_not_hide_split_ones(letters):
+    """The gate against full decoding: common words alone are left, rare parts are read with what is near."""
+    common = frozenset({"the", "you", "and", "cool", "is", "on"})
+    gated = toxicity.Reader(letters, common)
+    for text, word in [
+        ("the and the and the", None), ("you i d i o t and the", "idiot"), ("the id iot is on", "idiot"), ("and st u pid the", "stupid"),
+        ("idio t", "idiot"), ("you tra sh", "trash"), ("the s c u m is", "scum"), ("iddiot the", "idiot"),
+    ]:
+        if word is None:
+            assert list(gated.segments(text.split())) == [] and gated.words(text) == set(text.split())
+        else:
+            assert word in gated.words(text)
+            assert word in toxicity.Reader(letters).words(text)
+
+
+def enumerated(spelt, model):
+    """The best reading among all of them, by brute force."""
+    runs = [m.group() for m in toxicity._RUN.finditer(spelt)]
+    best, reached = None, {}
+    for ways in itertools.product(*map(toxicity._ways, runs), [(" ", 0.0)]):
+        total, last = 0.0, "  "
+        for letters, cost in ways:
+            total += cost
+            for x in letters:
+                if x != " " or last[1] != " ":
+                    total += model.logs[last + x]
+                    last = last[1] + x
+        read = "".join(letters for letters, _ in ways).strip()
+        reached[read] = max(total, reached.get(read, total))
+        best = total if best is None else max(best, total)
+    ties = {read for read, total in reached.items() if total > best - 1e-9}
+    return best, max(reached, key=reached.get), ties
+
+
+def test_viterbi_finds_the_best_of_all_readings(letters):
+    rng = random.Random(12)
+    for _ in range(400):
+        spelt = "".join(rng.choice("idotsh1035 @.!lru") for _ in range(rng.randint(1, 7)))
+        best = enumerated(spelt, letters)
+        found = toxicity.restore(spelt, letters)
+        assert found == best[1] or found in best[2]
+
+
+def test_trigrams_equal_a_plain_count():
+    words = Counter({"idiot": 3, "a": 2, "éà": 5, "漢字": 1, "😀x": 4})
+    plain = Counter()
+    for word, n in words.items():
+        w = f"  {word} "
+        for i in range(2, len(w)):
+            plain[w[i - 2 : i + 1]] += n
+    assert toxicity.Characters.count(words.items()) == dict(plain)
+    assert toxicity.Characters.count({}.items()) == {}
+
+
+def test_corpus_statistics_cover_texts_without_labels(spark):
+    rows = [(i, "plain words here") for i in range(40)] + [(100 + i, "zyxwv uvzzyx") for i in range(5)] + [(None, "qqzq qqzq"), (7, None)]
+    held = labels(spark, [(i, i % 2, i % 2) for i in range(40)])
+    docs = documents(spark, rows)
+    counted = toxicity.fit(docs, held, "toxic", F.lit(True)).language
+    assert counted.characters["zyx"] == 10 and counted.characters["qzq"] == 2
+    assert {"plain", "words", "here"} <= counted.common
+    vectors = quality.fit(docs, held, "quality", F.lit(True)).vectors
+    for word in ("zyxwv", "qqzq"):
+        assert np.linalg.norm(vectors[quality._chunk(word)[0]]) > 0.99
+
+
+def test_sample_is_bounded_by_rows(spark):
+    rows = [(i, f"text {i}") for i in range(30)] + [(3, f"copy {k}") for k in range(50)]
+    held = labels(spark, [(i, 1, 0) for i in range(30)])
+    chosen = labelled(documents(spark, rows), held, "quality", F.lit(True), 20).collect()
+    assert len(chosen) <= 20 and not any(r["doc_id"] == 3 for r in chosen)
+    assert len(labelled(documents(spark, rows), held, "quality", F.lit(True), 200).collect()) == 80
+
+
+def test_batched_contexts_equal_those_of_each_text(spark):
+    texts = ["a b c", "", "d", "a b c d e f g " * 40, "x"]
+    alone = np.zeros((quality.BUCKETS, quality.DIMENSIONS), dtype=np.float32)
+    for text in texts:
+        quality.add_contexts(quality.tokens(text), alone)
+    unit = alone / np.maximum(np.linalg.norm(alone, axis=1, keepdims=True), 1e-9)
+    assert np.allclose(unit, quality.word_vectors(documents(spark, list(enumerate(texts)))), atol=1e-4)

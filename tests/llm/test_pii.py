@@ -114,3 +114,24 @@ def test_round_trip_of_cards_before_other_numbers(forward, backward):
         made, spans = forward.replace(text)
         assert spans and backward.replace(made)[0] == text
         assert length > 16 or digits != grouped or spans[0][2] == length
+
+
+@pytest.mark.parametrize("size", [200, 257, 6_500, 8_192, 100_000, 1_000_000])
+@pytest.mark.parametrize("letters", ["abcXYZ019+/_-", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "01"])
+def test_secrets_of_any_length(forward, backward, size, letters):
+    rng = random.Random(size)
+    value = "".join(rng.choices(letters, k=size))
+    made, spans = forward.replace(f"token={value} end token={value}")
+    assert [s[0] for s in spans] == ["secret"] * 2
+    new = made[6 : 6 + size]
+    assert new != value and made == f"token={new} end token={new}"  # equal values stay linked
+    if set(letters) <= set("0123456789abcdef"):
+        assert set(new) <= set("0123456789abcdef")
+    else:
+        assert all((a.isdigit(), a.islower(), a.isupper(), a if not a.isalnum() else "") == (b.isdigit(), b.islower(), b.isupper(), b if not b.isalnum() else "") for a, b in zip(value, new))
+    assert backward.replace(made)[0] == f"token={value} end token={value}"
+
+
+def test_long_secrets_are_not_kept(forward):
+    forward.replace("token=" + "a1" * 50_000)
+    assert all(len(k[1]) < 1_000 for k in forward.known)
