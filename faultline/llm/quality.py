@@ -46,6 +46,8 @@ EPOCHS = 60
 HELD_BACK = 0.2
 #: Tokens that are pooled together.
 BLOCK = 65_536
+#: Tokens whose contexts are added together; their vectors fit into a core's cache.
+CONTEXTS = 1_024
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 
@@ -84,8 +86,8 @@ def add_contexts(ids: np.ndarray, sums: np.ndarray) -> None:
     """
     rolled = rolled_vectors()
     padded = np.concatenate([np.full(WINDOW, BUCKETS), ids, np.full(WINDOW, BUCKETS)])
-    for start in range(0, len(ids), BLOCK):
-        part = ids[start : start + BLOCK]
+    for start in range(0, len(ids), CONTEXTS):
+        part = ids[start : start + CONTEXTS]
         begin = start + WINDOW
         context = np.zeros((len(part), DIMENSIONS), dtype=np.float32)
         for distance, index in rolled.items():

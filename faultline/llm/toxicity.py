@@ -29,7 +29,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain, groupby
+from itertools import chain
 from uuid import uuid4
 
 import numpy as np
@@ -71,6 +71,9 @@ SIGN, SEPARATOR, SHORTENED, GAP = -1.0, -0.3, -0.3, -0.3
 
 _EDGE = re.compile(r"^[^\w@$!|+(€£¡]+|[^\w$@]+$")
 _ODD = re.compile(r"[\W\d_]|(.)\1")
+_DOUBLE, _TRIPLE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
+#: With more readings or parts than this a word or run is decoded without looking at them first.
+MOST_READINGS = 8
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Chunks of so many characters at most may be parts of a word, and beside such parts.
 SHORT, BESIDE = 3, 6
@@ -108,10 +111,11 @@ class Characters:
     def __post_init__(self):
         # shorter histories follow from the trigrams, each letter being the third of one
         shorter: Counter = Counter()
-        for gram, n in self.counts.items():
+        trigrams = {gram: n for gram, n in self.counts.items() if len(gram) == 3}
+        for gram, n in trigrams.items():
             shorter[gram[1:]] += n
             shorter[gram[2:]] += n
-        self.counts = {**self.counts, **shorter}
+        self.counts = {**trigrams, **shorter}
         history: Counter = Counter()
         for gram, n in self.counts.items():
             history[gram[:-1]] += n
@@ -191,10 +195,6 @@ def restore(spelt: str, model: Characters) -> str:
     return "".join(reversed(parts)).strip()
 
 
-def _joins(part: tuple[str, bool]) -> bool:
-    return part[0] != ""
-
-
 def _kept_run(joined: str) -> int:
     return 0 if len(joined) <= KEPT_RUN else CACHED_CHARS + 1
 
@@ -225,23 +225,26 @@ class Reader:
 
     def segments(self, chunks: list[str]) -> Iterator[str]:
         """Parts that may be words together: those near a rare short one, longer ones right beside it."""
-        for joins, run in groupby(map(self.parts.__getitem__, chunks), _joins):
-            if not joins or len(parts := list(run)) < 2:
-                continue
-            rare = [i for i, (_, makes) in enumerate(parts) if makes]
-            kept: set[int] = set()
-            for i in rare:
-                kept.update(k for k in range(max(0, i - NEAR), min(len(parts), i + NEAR + 1)) if abs(k - i) == 1 or len(parts[k][0]) <= SHORT)
-            segment: list[str] = []
-            for i, (plain, _) in enumerate(parts):
-                if i in kept:
-                    segment.append(plain)
-                    continue
+        parts = list(map(self.parts.__getitem__, chunks))
+        kept: set[int] = set()
+        for i in [i for i, (_, makes) in enumerate(parts) if makes]:
+            kept.add(i)
+            for step in (-1, 1):
+                for k in range(i + step, i + step * (NEAR + 1), step):
+                    if not 0 <= k < len(parts) or not (plain := parts[k][0]):
+                        break
+                    if k == i + step or len(plain) <= SHORT:
+                        kept.add(k)
+        segment, before = [], -2
+        for i in sorted(kept):
+            if i != before + 1:
                 if len(segment) > 1:
                     yield " ".join(segment)
                 segment = []
-            if len(segment) > 1:
-                yield " ".join(segment)
+            segment.append(parts[i][0])
+            before = i
+        if len(segment) > 1:
+            yield " ".join(segment)
 
     def spelt(self, chunks: list[str]) -> set[str]:
         """Words spelt over several short chunks."""
@@ -268,6 +271,27 @@ def summary(weights: list[float], n: int) -> list[float]:
     return [top[0], sum(top[:3]) / 3, math.log1p(toxic), math.log1p(n)]
 
 
+def _undoubled(word: str) -> list[str] | None:
+    """All that the decoder may read in letters of which some are doubled; None for anything else."""
+    if not word.isalpha() or _TRIPLE.search(word):
+        return None
+    readings = [""]
+    for m in _RUN.finditer(word):
+        ways = [m.group()] if len(m.group()) == 1 else [m.group(), m.group()[0]]
+        readings = [r + w for r in readings for w in ways]
+        if len(readings) > MOST_READINGS:
+            return None
+    return readings
+
+
+def _joined(run: str) -> list[str] | None:
+    """All words that the decoder may read over several parts of plain letters; None for anything else."""
+    parts = run.split(" ")
+    if len(parts) > MOST_READINGS or any(not p.isalpha() or _DOUBLE.search(p) for p in parts):
+        return None
+    return ["".join(parts[i:j]) for i in range(len(parts)) for j in range(i + 2, len(parts) + 1)]
+
+
 @dataclass
 class Language:
     """What is counted over all texts: letters in a row, and the common words."""
@@ -296,13 +320,24 @@ class Model:
                     found.append((w, heaviest))
             return tuple(found)
 
+        def hopeless(readings: Iterable[str] | None) -> bool:
+            """Whether all readings are known and none of them has a feature of weight."""
+            return readings is not None and not any(f in weights for w in readings for f in features(w))
+
         def known(chunk: str) -> tuple:
             """Words of weight, and whether the chunk makes a run; most chunks share the empty tuple."""
-            heavy, rare = weighed(reader.chunk(chunk)), reader.part(chunk)[1]
+            plain = chunk if chunk.isalpha() else _EDGE.sub("", chunk)
+            words = [plain] if plain.isalpha() else _LETTERS.findall(plain)
+            if plain and plain not in reader.common and _ODD.search(plain) and not hopeless(_undoubled(plain)):
+                words = reader.chunk(chunk)
+            heavy, rare = weighed(words), len(plain) <= SHORT and reader.part(chunk)[1]
             return (heavy, rare) if heavy or rare else ()
 
+        def run(joined: str) -> tuple:
+            return () if hopeless(_joined(joined)) else weighed(set(reader.runs.make(joined)))
+
         chunks = Kept(known, CACHED)
-        runs = Kept(lambda joined: weighed(set(reader.runs.make(joined))), CACHED_RUNS, size=_kept_run)
+        runs = Kept(run, CACHED_RUNS, size=_kept_run)
         w = self.regression
 
         def scores(batch: list) -> np.ndarray:
@@ -378,9 +413,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, training, sample: int =
         """The features of each document's words (of those chosen, if any), with its id and label."""
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            chosen = None if chosen_features is None else chosen_features.value
+            chosen = None if chosen_features is None else chosen_features.value  # feature -> number
             reader = held("toxicity", turn, lambda: model.value.reader())
-            known = Kept(lambda w: [f for f in features(w) if chosen is None or f in chosen], 50_000)
+            known = Kept(lambda w: list({f if chosen is None else chosen[f] for f in features(w) if chosen is None or f in chosen}), 50_000)
+            kind = pa.string() if chosen is None else pa.int32()
             for batch in batches:
                 lists, words = [], []
                 for text in batch.column(1).to_pylist():
@@ -388,39 +424,49 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, training, sample: int =
                     words.append(len(set(text.lower().split())))
                     lists.append([v for v in own if v] if chosen is not None else [list({f for v in own for f in v})])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), pa.array(words, pa.int64()), pa.array(lists, pa.list_(pa.list_(pa.string())))],
+                    [batch.column(0), batch.column(2), pa.array(words, pa.int64()), pa.array(lists, pa.list_(pa.list_(kind)))],
                     names=["doc_id", "y", "words", "features"],
                 )
 
         return work
 
-    schema = "doc_id long, y int, words long, features array<array<string>>"
+    schema = "doc_id long, y int, words long, features array<array<{}>>"
     rows = chosen.select("doc_id", "text", "y")
-    toxic = map_batches(rows.where("y > 0"), found_in(None), schema).select(F.explode(F.col("features")[0]).alias("f"))
+    toxic = map_batches(rows.where("y > 0"), found_in(None), schema.format("string")).select(F.explode(F.col("features")[0]).alias("f"))
     frequent = toxic.groupBy("f").count().where(F.col("count") >= LEAST_POSITIVE).select("f")
     # bounded by the sample: each of its toxic documents has so many features
-    keep = context.broadcast({r["f"] for r in frequent.collect()})
-    seen = materialise(map_batches(rows, found_in(keep), schema), "toxicity-features")
+    names = sorted(r["f"] for r in frequent.collect())
+    keep = context.broadcast({f: k for k, f in enumerate(names)})
+    seen = materialise(map_batches(rows, found_in(keep), schema.format("int")), "toxicity-features")
     once = seen.select("y", F.explode(F.array_distinct(F.flatten("features"))).alias("f"))
     counts = once.groupBy("f").agg(F.count_if(F.col("y") > 0).alias("p"), F.count_if(F.col("y") <= 0).alias("q"))
     tally = counts.orderBy("f").toPandas()  # as many rows as chosen features
     share = positive / n
     p, q = tally["p"].to_numpy(), tally["q"].to_numpy()
     full = _weight(p, q, share)
+    chosen_rows = tally["f"].to_numpy()
+    weights = {names[f]: w for f, w in zip(chosen_rows.tolist(), full.tolist()) if w >= LEAST_WEIGHT}
+    # what a training document of either label sees: the weights without its own part in the counts
+    without = np.zeros((2, len(names)))
     heavy = full >= LEAST_WEIGHT
-    kept = tally["f"].to_numpy()[heavy].tolist()
-    weights = dict(zip(kept, full[heavy].tolist()))
-    # what a training document sees: the weights without its own part in the counts
-    without = zip(_weight(p, np.maximum(q - 1, 0), share)[heavy].tolist(), _weight(p - 1, q, share)[heavy].tolist())
-    left_out = context.broadcast(dict(zip(kept, without)))
+    without[0, chosen_rows[heavy]] = _weight(p, np.maximum(q - 1, 0), share)[heavy]
+    without[1, chosen_rows[heavy]] = _weight(p - 1, q, share)[heavy]
+    left_out = context.broadcast(without)
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, neither = left_out.value, (0.0, 0.0)
+        table = left_out.value
         for batch in batches:
             x = []
-            for y, words, lists in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                heavy = [max(table.get(f, neither)[y > 0] for f in found) for found in lists]
-                x.append(summary([w for w in heavy if w > 0.0], words))
+            column = batch.column(3)
+            for i, (y, words) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                own = column[i].values  # a list of features for each word that has any
+                if own is None or not len(own):
+                    x.append(summary([], words))
+                    continue
+                found = table[int(y > 0)][own.flatten().to_numpy(zero_copy_only=False)]
+                sizes = np.diff(own.offsets.to_numpy(zero_copy_only=False))
+                heaviest = np.maximum.reduceat(found, np.cumsum(sizes) - sizes)
+                x.append(summary(heaviest[heaviest > 0.0].tolist(), words))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
     fitted = map_batches(seen, summaries, "doc_id long, y int, x array<double>").collect()

@@ -97,6 +97,7 @@ def test_pooling_in_blocks_equals_pooling_at_once(monkeypatch):
     sums = np.zeros((quality.BUCKETS, quality.DIMENSIONS), dtype=np.float32)
     quality.add_contexts(quality.tokens(text), sums)
     monkeypatch.setattr(quality, "BLOCK", 7)
+    monkeypatch.setattr(quality, "CONTEXTS", 7)
     assert np.allclose(whole, quality.pooled(text, vectors), atol=1e-5)
     again = np.zeros_like(sums)
     quality.add_contexts(quality.tokens(text), again)
@@ -198,3 +199,20 @@ def test_batched_contexts_equal_those_of_each_text(spark):
         quality.add_contexts(quality.tokens(text), alone)
     unit = alone / np.maximum(np.linalg.norm(alone, axis=1, keepdims=True), 1e-9)
     assert np.allclose(unit, quality.word_vectors(documents(spark, list(enumerate(texts)))), atol=1e-4)
+
+
+def test_hopeless_readings_do_not_change_scores(letters):
+    """Scores equal those of decoding every odd word and every run."""
+    rng = random.Random(3)
+    weights = {f: 2.0 for w in ("idiot", "trash", "moron") for f in toxicity.features(w)}
+    language = toxicity.Language(letters.counts, frozenset({"the", "on", "cool"}))
+    model = toxicity.Model(language, weights, np.array([1.0, 0.5, 1.0, 0.1, -2.0]))
+    bits = ["the", "on", "cool", "iddiot", "id", "iot", "mor", "t r a s h", "tr@sh", "hello", "llama", "m0ron", "morron", "x", "tra", "sh", "good", "aaa", "1d", "10t", "idio", "t"]
+    texts = [" ".join(rng.choices(bits, k=rng.randint(0, 12))) for _ in range(400)]
+    reader = language.reader()
+    expected = []
+    for text in texts:
+        heavy = {w: max((weights.get(f, 0.0) for f in toxicity.features(w)), default=0.0) for w in reader.words(text)}
+        x = toxicity.summary([v for v in heavy.values() if v > 0], len(set(text.split())))
+        expected.append(float(sigmoid(np.array(x) @ model.regression[:-1] + model.regression[-1])))
+    assert np.allclose(model.scorer()(texts), expected)
