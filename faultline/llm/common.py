@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from typing import TypeVar
 
@@ -58,6 +59,8 @@ def held(owner: str, key, make: Callable[[], T_]) -> T_:
     """
     if owner not in _held or _held[owner][0] != key:
         _held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _held[owner] = (key, make())
     return _held[owner][1]
 

@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from faultline.llm.common import CACHED_CHARS, held, map_batches, materialise, texts
 
 #: Pieces in one generation of a worker's cache, and pieces encoded together.
-KEPT_PIECES = 800_000
+KEPT_PIECES = 500_000
 LEARNT = 10_000
 #: A single space before something that is no white space always begins a pre-token.
 _CUT = re.compile(r"(?= \S)")

@@ -52,7 +52,7 @@ LEAST_WEIGHT = 0.3
 TOXIC_WORD = 1.0
 WINDOW = 5
 #: Chunks that a worker keeps with what is known of them, and runs, each in one generation.
-CACHED, CACHED_RUNS = 250_000, 50_000
+CACHED, CACHED_RUNS = 120_000, 30_000
 #: Distinct chunks that a task counts before it hands them on.
 COUNTED = 300_000
 #: Share of all words from which on a word is common, and a single letter.
