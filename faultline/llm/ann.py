@@ -129,7 +129,8 @@ def scan(query: np.ndarray, own: int, original: np.ndarray, lists: list[tuple[np
                     break
         if not len(alive):
             continue
-        scores = np.concatenate([best_scores, vectors[alive] @ original])
+        # row by row in one order of summation, so that equal vectors have equal scores wherever they stand
+        scores = np.concatenate([best_scores, (vectors[alive] * original).sum(axis=1)])
         found = np.concatenate([best_ids, ids[alive]])
         if len(scores) > 4 * k:
             edge = np.partition(scores, len(scores) - k)[len(scores) - k]

@@ -91,7 +91,8 @@ def test_run_gives_the_last_stage(spark, sf_dir, results):
 
 def test_the_registry_works_without_the_subpackage(tmp_path):
     shutil.copytree(ROOT / "faultline", tmp_path / "faultline", ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        shutil.copy(ROOT / name, tmp_path)
     (tmp_path / "faultline/llm/__pycache__").mkdir(parents=True)  # as a deletion may leave it
     code = "import __spark_entry__ as e; print(len(e.queries()), any(k.startswith('op') or k == 'pipeline' for k in e.queries()))"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={"PATH": os.environ["PATH"]})

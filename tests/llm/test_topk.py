@@ -86,6 +86,19 @@ def test_adaptive_scan_reaches_its_recall(spark, sf_dir):
         assert [r for r, _, _ in own] == list(range(1, 21)) and own == sorted(own, key=lambda x: (x[1], x[2]))
 
 
+def test_equal_vectors_come_in_the_order_of_their_ids(spark):
+    """Hundreds of copies among others, far apart in the table: equal scores, ties to the smaller id."""
+    rng = np.random.default_rng(4)
+    one = rng.normal(size=61).tolist()
+    rows = [(i, one if i % 3 == 0 else rng.normal(size=61).tolist()) for i in range(900)]
+    found = ann.search(vectors(spark, rows), F.col("vec_id") % 20 == 0, 20).collect()
+    copies = [i for i, v in rows if v is one]
+    for q in (q for q in copies if q % 20 == 0):
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q)
+        assert len({s for _, _, s in own}) == 1
+        assert [i for _, i, _ in own] == [i for i in copies if i != q][:20]
+
+
 def test_queries_of_a_group_are_dealt_in_blocks(spark, sf_dir, monkeypatch):
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     is_query = F.col("vec_id") % 4 == 0
