@@ -17,6 +17,7 @@ places.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import zlib
 from collections import Counter
@@ -28,13 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from faultline.llm.common import CACHED_CHARS, held, map_batches, materialise, texts
+from faultline.llm.common import held, map_batches, materialise, texts
 
-#: Pieces in one generation of a worker's cache, and pieces encoded together.
-KEPT_PIECES = 500_000
-LEARNT = 10_000
-#: A single space before something that is no white space always begins a pre-token.
-_CUT = re.compile(r"(?= \S)")
+# Fixed value: what byte-level files cut texts into.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space that the look-ahead above would take too many steps back in.
+_LONG_SPACE = re.compile(r"\s{1000}")
 #: Tokens in a step of size: a finer grid pads less and makes a larger linear program.
 GRID = 8
 #: Pieces of one size that are ranked in one group.
@@ -45,10 +45,44 @@ COLUMNS = 48
 GAP = 2e-4
 
 
+def byte_ranks(spec: str, rules) -> dict[bytes, int] | None:
+    """Ids by bytes, where they alone tell the merges; None for other files.
+
+    That holds for a plain byte-level file whose ids follow its merges and whose every entry comes out of its
+    own symbols: a pair that makes an entry then only ever stands beside each other as the listed merge.
+    """
+    read = json.loads(spec)
+    model, split = read["model"], read.get("pre_tokenizer") or {}
+    wanted = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    if model["type"] != "BPE" or read.get("normalizer") or any(split.get(k) != v for k, v in wanted.items()):
+        return None
+    if any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "byte_fallback")):
+        return None
+    # how byte-level files print bytes: visible Latin-1 signs as they are, the others from U+0100 on
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    hidden = [b for b in range(256) if b not in shown]
+    byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+    added = {t["content"] for t in read["added_tokens"]}
+    entries = {t: i for t, i in model["vocab"].items() if t not in added}
+    if not all(c in byte for t in entries for c in t) or not all(c in entries for c in byte):
+        return None
+    made = [entries.get("".join(m if isinstance(m, list) else m.split(" ")), -1) for m in model["merges"]]
+    if made != sorted(set(made)) or len(made) + 256 != len(entries):
+        return None
+    if any([x.id for x in rules.model.tokenize(t)] != [i] for t, i in entries.items()):
+        return None
+    return {bytes(byte[c] for c in t): i for t, i in entries.items()}
+
+
 class Tokens:
-    """Ids of whole texts; pieces between spaces are kept while there is room."""
+    """Ids of whole texts, as the tokenizer file gives them.
+
+    Files that byte_ranks can read are encoded by their ranks, which is faster and gives the same ids; texts
+    with an added token or a very long run of white space, and other files, by the file's own library.
+    """
 
     def __init__(self, spec: str, end: int):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.rules = Tokenizer.from_str(spec)
@@ -56,41 +90,17 @@ class Tokens:
         self.rules.no_truncation()
         self.added = [t.content for t in self.rules.get_added_tokens_decoder().values()]
         self.end = np.array([end], dtype="<u4").tobytes()
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.rules.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ranks = byte_ranks(spec, self.rules)
+        self.fast = ranks and tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-    def _learn(self, parts: list[str]) -> None:
-        """Encode new pieces, which all begin with a space, in one text, and take its ids apart again."""
-        found = self.rules.encode("".join(parts), add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4").tobytes()
-        begin = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
-        ends = (4 * np.searchsorted(begin, np.cumsum([len(p) for p in parts]), side="left")).tolist()
-        self.young.update(zip(parts, [ids[a:b] for a, b in zip([0, *ends], ends)]))
+    def _ids(self, text: str) -> list[int]:
+        if self.fast is None or any(t in text for t in self.added) or _LONG_SPACE.search(text):
+            return self.rules.encode(text, add_special_tokens=False).ids
+        return self.fast(text)
 
     def encode(self, text: str) -> bytes:
         """Ids with the end token, as little-endian 32-bit integers."""
-        if any(t in text for t in self.added):
-            return self._ids(text) + self.end
-        if len(self.young) > KEPT_PIECES:
-            self.old, self.young = self.young, {}
-        first, *parts = text.replace(" ", "\0 ").split("\0")
-        fresh = set(parts).difference(self.young)
-        if "\0" in text or any(p == " " or p[1].isspace() for p in fresh):
-            first, *parts = _CUT.split(text)
-            fresh = set(parts).difference(self.young)
-        kept = {p: self.old[p] for p in fresh if p in self.old}
-        self.young.update(kept)
-        missing = list(fresh.difference(kept))
-        for start in range(0, len(missing), LEARNT):
-            self._learn(missing[start : start + LEARNT])
-        ids = self._ids(first) + b"".join(map(self.young.__getitem__, parts)) + self.end
-        for p in missing:
-            if len(p) > CACHED_CHARS:
-                del self.young[p]
-        return ids
+        return np.array(self._ids(text), dtype="<u4").tobytes() + self.end
 
 
 def pieces(docs: DataFrame, path: str, width: int, end: int = 0, with_ids: bool = False) -> DataFrame:

@@ -84,3 +84,31 @@ def test_small_and_skewed_histograms(histogram):
 
 def test_empty_table(spark):
     assert packing.pack(empty_documents(spark), PATH).collect() == []
+
+
+def test_texts_and_files_that_ranks_do_not_cover(library):
+    """Long white space and an added token go through the library; so do files whose ids do not follow their merges."""
+    import json
+
+    with open(PATH, encoding="utf-8") as f:
+        spec = f.read()
+    tokens = packing.Tokens(spec, 0)
+    assert tokens.fast is not None
+    for text in ["a" + " " * 999 + "b", " \n" * 300_000 + "c", "x" * 200_000, "d" + "\t" * 1_000, "<|endoftext|>" + " " * 2_000 + "é"]:
+        assert np.frombuffer(tokens.encode(text), "<u4").tolist() == [*library.encode(text, add_special_tokens=False).ids, 0]
+    read = json.loads(spec)
+    read["model"]["merges"][:2] = read["model"]["merges"][1::-1]
+    other = json.dumps(read)
+    slow = packing.Tokens(other, 0)
+    assert slow.fast is None
+    text = "the other then there"
+    assert np.frombuffer(slow.encode(text), "<u4").tolist() == [*Tokenizer.from_str(other).encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_every_character_is_cut_alike(library):
+    """Both libraries see the same letters, numbers and white space below U+3000 and among the emoji."""
+    with open(PATH, encoding="utf-8") as f:
+        tokens = packing.Tokens(f.read(), 0)
+    made = [f"a{c}b {c}1{c}{c} .{c}. {c}\n{c}{c} x's{c}" for c in map(chr, [*range(0x3000), *range(0x1F000, 0x1FB00)])]
+    for text, found in zip(made, library.encode_batch_fast(made, add_special_tokens=False)):
+        assert tokens.fast(text) == found.ids, repr(text)
