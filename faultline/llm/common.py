@@ -34,7 +34,10 @@ class Kept(dict):
         if value is None:
             value = self.make(key)
         if self.size(key) <= CACHED_CHARS:
-            self[key] = value
+            if len(self) >= self.entries:
+                self[key] = value
+            else:
+                dict.__setitem__(self, key, value)
         return value
 
     def empty(self) -> None:

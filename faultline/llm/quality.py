@@ -46,15 +46,18 @@ EPOCHS = 60
 HELD_BACK = 0.2
 #: Tokens that are pooled together.
 BLOCK = 65_536
-#: Tokens whose contexts are added together; their vectors fit into a core's cache.
-CONTEXTS = 1_024
+#: Tokens whose contexts are counted together.
+CONTEXTS = 131_072
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 
 
 def _chunk(chunk: str) -> tuple[int, ...]:
     """Buckets of the words, numbers and runs of signs of text without white space."""
-    return tuple(zlib.crc32(t.encode()) % BUCKETS for t in _TOKEN.findall(chunk.lower()))
+    lowered = chunk.lower()
+    if lowered.isalpha():
+        return (zlib.crc32(lowered.encode()) % BUCKETS,)
+    return tuple([zlib.crc32(t.encode()) % BUCKETS for t in _TOKEN.findall(lowered)])
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -63,20 +66,17 @@ def tokens(text: str | None) -> np.ndarray:
 
 
 @functools.cache
-def index_vectors() -> np.ndarray:
-    """A sparse ternary vector for each bucket, the same everywhere."""
-    rng = np.random.default_rng(20_240)
-    vectors = np.zeros((BUCKETS, DIMENSIONS), dtype=np.float32)
-    for row in vectors:
-        row[rng.choice(DIMENSIONS, ONES, replace=False)] = rng.choice([-1.0, 1.0], ONES)
-    return vectors
-
+def index_vectors() -> tuple[np.ndarray, np.ndarray]:
+    """A sparse ternary vector for each bucket, the same everywhere: its places and their signs.
 
-@functools.cache
-def rolled_vectors() -> dict[int, np.ndarray]:
-    """Index vectors turned by each distance; the last row, of no word, is zero."""
-    padded = np.vstack([index_vectors(), np.zeros((1, DIMENSIONS), dtype=np.float32)])
-    return {d: np.roll(padded, d, axis=1) for d in range(-WINDOW, WINDOW + 1) if d}
+    The last row, of no word, is all zeros.
+    """
+    rng = np.random.default_rng(20_240)
+    places, signs = np.zeros((BUCKETS + 1, ONES), dtype=np.int64), np.zeros((BUCKETS + 1, ONES))
+    for k in range(BUCKETS):
+        signs[k] = rng.choice([-1.0, 1.0], ONES)
+        places[k] = rng.choice(DIMENSIONS, ONES, replace=False)
+    return places, signs
 
 
 def add_contexts(ids: np.ndarray, sums: np.ndarray) -> None:
@@ -84,19 +84,18 @@ def add_contexts(ids: np.ndarray, sums: np.ndarray) -> None:
 
     BUCKETS stands for no word; texts that follow each other have WINDOW of it between them.
     """
-    rolled = rolled_vectors()
+    places, signs = index_vectors()
     padded = np.concatenate([np.full(WINDOW, BUCKETS), ids, np.full(WINDOW, BUCKETS)])
     for start in range(0, len(ids), CONTEXTS):
         part = ids[start : start + CONTEXTS]
-        begin = start + WINDOW
-        context = np.zeros((len(part), DIMENSIONS), dtype=np.float32)
-        for distance, index in rolled.items():
-            context += index[padded[begin + distance : begin + distance + len(part)]]
-        order = np.argsort(part, kind="stable")
-        words, first = np.unique(part[order], return_index=True)
-        added = np.add.reduceat(context[order], first, axis=0)
-        real = words < BUCKETS
-        sums[words[real]] += added[real]
+        row = DIMENSIONS * part.astype(np.int64)[:, None]
+        added = np.zeros((BUCKETS + 1) * DIMENSIONS)
+        for distance in range(-WINDOW, WINDOW + 1):
+            if distance:
+                around = padded[start + WINDOW + distance :][: len(part)]
+                at = row + (places.take(around, axis=0) + distance) % DIMENSIONS
+                added += np.bincount(at.ravel(), signs.take(around, axis=0).ravel(), len(added))
+        sums += added.reshape(-1, DIMENSIONS)[:BUCKETS]
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
@@ -111,7 +110,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
             for text in batch.column(0).to_pylist():
                 waiting += [tokens(text), between]
                 size += len(waiting[-2])
-                if size >= BLOCK:
+                if size >= CONTEXTS:
                     add_contexts(np.concatenate(waiting), sums)
                     waiting, size = [], 0
         if waiting:
@@ -141,7 +140,7 @@ def pooled(text: str | None, vectors: np.ndarray) -> np.ndarray:
         return np.zeros(2 * DIMENSIONS + 4)
     total, squares, agreement, equal = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS), 0.0, 0
     for start in range(0, n, BLOCK):
-        part = vectors[ids[start : start + BLOCK + 1]]  # one more, for the last pair
+        part = vectors.take(ids[start : start + BLOCK + 1], axis=0)  # one more, for the last pair
         own = part[: min(BLOCK, n - start)]
         total += own.sum(axis=0, dtype=np.float64)
         squares += np.einsum("ij,ij->j", own, own, dtype=np.float64)
