@@ -48,11 +48,13 @@ class Automaton:
         used = [(s, i) for i, s in enumerate(labels) if target[i] >= 0]
         self.inner = {s: i for s, i in used if not (suffix and s.endswith(suffix))}
         self.final = {s.removesuffix(suffix): i for s, i in used if not suffix or s.endswith(suffix)}
-        self.begun: dict[str, int] = {}  # all beginnings of labels, -1 where that is no label
-        for s in self.inner:
-            for n in range(1, len(s)):
-                self.begun.setdefault(s[:n], -1)
-            self.begun[s] = self.inner[s]
+        # labels letter by letter: a dictionary for each beginning, with the label that ends there under ""
+        self.begun: dict = {}
+        for s, i in self.inner.items():
+            node = self.begun
+            for c in s:
+                node = node.setdefault(c, {"": -1})
+            node[""] = i
         self.longest = max(map(len, self.final), default=0)
 
     def encode(self, word: str) -> list[int]:
@@ -64,16 +66,20 @@ class Automaton:
         """Labels of the one path over the whole word; None if a symbol has no label."""
         arcs, stride, target, begun = self.arcs, self.stride, self.target, self.begun
         end = len(word)
+        last = end - 1
         state, start, by = [0] + [-1] * end, [0] * (end + 1), [0] * (end + 1)
         for i in range(end):
             here = state[i]
             if here < 0:
                 return None
             byte, bit = here >> 3, here & 7
-            for j in range(i + 1, end):
-                label = begun.get(word[i:j])
-                if label is None:
+            node, j = begun, i
+            for c in word[i:last]:
+                if c not in node:
                     break
+                node = node[c]
+                j += 1
+                label = node[""]
                 if label >= 0 and arcs[label * stride + byte] >> bit & 1:
                     state[j], start[j], by[j] = target[label], i, label
             if end - i <= self.longest and (label := final.get(word[i:])) is not None:
@@ -208,34 +214,31 @@ class Encoder:
                 word, (start, _) = next(words, ("", (len(normal) + 1, 0)))
             self.chunks[chunk] = self.made(own)
 
-    def plain(self, text: str) -> Iterator[tuple[bytes, bytes]]:
+    def plain(self, text: str) -> list[tuple[bytes, bytes]]:
         """White space only separates words in this family of files, so texts are taken apart there."""
         chunks = text.split(" ") if _ODD_SPACE.search(text) else text.split()
-        known = self.chunks
-        missing = [c for c in set(chunks) if c not in known and c not in known.old and len(c) <= CACHED_CHARS and c.split() == [c]]
+        known, old = self.chunks, self.chunks.old
+        missing = [c for c in set(chunks) if c not in known and c not in old and len(c) <= CACHED_CHARS and c.split() == [c]]
         for start in range(0, len(missing), LEARNT):
             self.learn(missing[start : start + LEARNT])
-        for chunk in chunks:
-            found = known[chunk]
-            if found[0]:
-                yield found
+        return list(map(known.__getitem__, chunks))
 
-    def parts(self, text: str) -> Iterator[tuple[bytes, bytes]]:
+    def parts(self, text: str) -> list[tuple[bytes, bytes]]:
         if self.cut is None or not self.cut.search(text):
-            yield from self.plain(text)
-            return
-        at = 0
+            return self.plain(text)
+        found, at = [], 0
         for m in self.cut.finditer(text):
-            yield from self.plain(text[at : m.start()])
+            found += self.plain(text[at : m.start()])
             token = m.group()
-            yield np.array([self.added[token]], dtype="<u4").tobytes(), token.encode()
+            found.append((np.array([self.added[token]], dtype="<u4").tobytes(), token.encode()))
             at = m.end()
-        yield from self.plain(text[at:])
+        return found + self.plain(text[at:])
 
     def encode(self, text: str) -> tuple[bytes, bytes]:
         """Ids as little-endian 32-bit integers, and the decoded text in UTF-8."""
-        found = list(self.parts(text))
-        return b"".join([a for a, _ in found]), b" ".join([b for _, b in found])
+        found = self.parts(text)
+        # whatever has no ids has no labels either
+        return b"".join([a for a, _ in found]), b" ".join([b for a, b in found if a])
 
 
 def encoder(parts: Callable[[], tuple], key: str) -> Encoder:
