@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from faultline.llm import licenses
 from tests.helpers import plan
@@ -30,17 +33,42 @@ def files(spark, rows=None):
     return spark.createDataFrame(wide, "doc_id long, path string, text string, license string, score double, directory string")
 
 
-def plain_scores(rows, text):
-    cut = lambda t: {w for w in re.split("[^a-z0-9]+", t.lower()) if w}
-    held = [cut(t or "") for _, _, t in rows]
-    weight = lambda w, known=True: (math.log((1 + len(held)) / (1 + (sum(w in h for h in held) if known else 0))) + 1) ** 2
-    terms = {w for texts in TEMPLATES.values() for t in texts for w in cut(t)}
-    own = cut(text)
-    norm = math.sqrt(sum(weight(w, w in terms) for w in own))
+def cut(text):
+    return licenses.template_words(text or "")
+
+
+def cosine(left, right, df, n):
+    """TF-IDF cosine of two lists of terms, with true counts."""
+    a, b = Counter(left), Counter(right)
+    idf = lambda t: math.log((1 + n) / (1 + df[t])) + 1
+    length = lambda c: math.sqrt(sum((c[t] * idf(t)) ** 2 for t in c))
+    return sum(a[t] * b[t] * idf(t) ** 2 for t in a) / length(a) / length(b) if a and b else 0.0
+
+
+def brute_force(rows, templates, bodies, threshold, whole):
+    """By (doc_id, path, text) the best header and whole match: every line, every window laid by a heavy term, the whole text."""
+    texts = [t or "" for _, _, t in rows]
+    df, n = Counter(t for x in texts for t in set(cut(x))), len(rows)
     out = {}
-    for name, texts in TEMPLATES.items():
-        sides = [cut(t) for t in texts]
-        out[name] = max((sum(weight(w) for w in own & s) / norm / math.sqrt(sum(map(weight, s))) if own else 0.0) for s in sides)
+    for doc, path, text in rows:
+        terms = cut(text)
+        parts = [cut(x) for x in re.split("\r\n|[\n\r]", text or "")]
+        header, entire = (0.0, ""), (0.0, "")
+        for name, sides in templates.items():
+            for side in map(cut, sides):
+                heavy = licenses.heavy_terms({t: (c * (math.log((1 + n) / (1 + df[t])) + 1)) ** 2 for t, c in Counter(side).items()}, threshold)
+                fits = lambda i: any(t in heavy and 0 <= i + j < len(terms) and terms[i + j] == t for j, t in enumerate(side))
+                laid = [terms[max(i, 0) : i + len(side)] for i in range(-len(side) + 1, len(terms)) if fits(i)]
+                score = round(max((cosine(x, side, df, n) for x in parts + laid), default=0.0), 6)
+                header = min(header, (-score, name))
+        for group in (templates, bodies):
+            for name, sides in group.items():
+                for side in map(cut, sides):
+                    entire = min(entire, (-round(cosine(terms, side, df, n), 6), name))
+        out[doc, path, text] = (
+            (-header[0], header[1]) if -header[0] >= threshold else None,
+            (-entire[0], entire[1]) if -entire[0] >= whole else None,
+        )
     return out
 
 
@@ -60,19 +88,17 @@ def test_scan(spark):
         (8, "a/q"): ("A", "inherited", "a/LICENSE"),
         (9, "x/y.py"): (None, None, None),
     }
-    expected = plain_scores(FILES, "released under the alpha license")
-    assert abs(found[3, "z.py"]["score"] - expected["A"]) < 1e-5
+    expected = brute_force(FILES, TEMPLATES, {}, 0.6, 0.9)
+    assert abs(found[3, "z.py"]["score"] - expected[FILES[2]][0][0]) < 1e-5
 
 
 def test_passing_lines_over_is_exact():
     """Texts without a heavy term stay below the threshold with every template."""
-    weight = {w: float(i + 1) for i, w in enumerate(sorted({w for t in TEMPLATES.values() for x in t for w in licenses.template_words(x)}))}
-    heavy = set(licenses.heavy_terms(TEMPLATES, weight, 0.6))
     for texts in TEMPLATES.values():
         for text in texts:
-            own = licenses.template_words(text)
-            light = sum(weight[w] for w in own if w not in heavy)
-            assert light < 0.36 * sum(weight[w] for w in own)
+            square = {w: n * n * float(i + 1) for i, (w, n) in enumerate(sorted(Counter(cut(text)).items()))}
+            heavy = licenses.heavy_terms(square, 0.6)
+            assert sum(v for w, v in square.items() if w not in heavy) < 0.36 * sum(square.values())
 
 
 def test_scan_runs_no_python_and_an_empty_table_gives_no_rows(spark):
@@ -96,24 +122,61 @@ def test_query_finds_the_licence_lines(spark, sf_dir):
     assert set(named) == {d for d, found in expected.items() if found}
 
 
-def unicode_scores(rows, text):
-    """plain_scores with the terms that texts in any script have."""
-    cut = lambda t: {w for w in re.split(r"[^\w.-]+|[.-]+(?=$|[^\w])", t.lower()) if w}
-    held = [cut(t or "") for _, _, t in rows]
-    weight = lambda w, known=True: (math.log((1 + len(held)) / (1 + (sum(w in h for h in held) if known else 0))) + 1) ** 2
-    terms = {w for texts in TEMPLATES.values() for t in texts for w in cut(t)}
-    own = cut(text)
-    norm = math.sqrt(sum(weight(w, w in terms) for w in own))
-    side = lambda s: sum(weight(w) for w in own & s) / norm / math.sqrt(sum(map(weight, s)))
-    return {name: max(side(cut(t)) for t in texts) for name, texts in TEMPLATES.items()}
-
-
-def test_terms_of_any_script_and_with_inner_dots_count(spark):
-    texts = ["这个 项目 在 许可 之下 发布 Released under the Alpha License", "été à la forêt, released under the Alpha License", "Beta License, version 2.0", "Beta License, version 2 or 0"]
-    rows = [(i, f"{i}.py", t) for i, t in enumerate(texts)]
-    found = {r["doc_id"]: r for r in licenses.scan(files(spark, rows), TEMPLATES, threshold=0.1).collect()}
-    for i, text in enumerate(texts):
-        expected = unicode_scores(rows, text)
-        assert abs(found[i]["score"] - max(expected.values())) < 1e-5
-    assert found[0]["score"] < 0.99 and found[1]["score"] < 0.99 and found[3]["score"] < found[2]["score"]
-    assert licenses.template_words("CC BY-NC 4.0, 3-Clause.") == ["3-clause", "4.0", "by-nc", "cc"]
+MIT_BODY = licenses.BODIES["MIT"][0]
+APACHE = "\n    Apache License\n  Version 2.0, January 2004\n http://www.apache.org/licenses/\n\nTERMS AND CONDITIONS FOR USE\n\n1. Definitions.\n" + LONG
+REAL = [
+    (1, "a/one.c", "// Copyright (c) 2020 Acme Inc. All rights reserved. Licensed under the Apache License, Version 2.0.\nint x;"),
+    (2, "b/two.py", "This file is released under the MIT License, see the LICENSE file for details."),
+    (3, "c/LICENSE", APACHE),
+    (4, "c/d/three.py", "import os"),
+    (5, "e/TERMS", "The MIT License\n\nCopyright 2021 Some One\n\n" + MIT_BODY),
+    (6, "e/f/four.py", "x = 1"),
+    (7, "g/five.py", "# Copyright 2020 The Foo Authors. Released under\n# the MIT License."),
+    (8, "g/six.py", "the version of this license is not said here, nor is it released"),
+    (9, "h/seven.py", "Licensed under the terms of the Apache License, Version 2.0"),
+    (10, "h/eight.py", LONG),
+]
+
+
+def test_real_headers_and_licence_files(spark):
+    rows = {r["doc_id"]: (r["license"], r["origin"], r["license_path"]) for r in licenses.scan(files(spark, REAL)).collect()}
+    assert rows == {
+        1: ("Apache-2.0", "header", "a/one.c"),
+        2: ("MIT", "header", "b/two.py"),
+        3: ("Apache-2.0", "file", "c/LICENSE"),
+        4: ("Apache-2.0", "inherited", "c/LICENSE"),
+        5: ("MIT", "file", "e/TERMS"),
+        6: ("MIT", "inherited", "e/TERMS"),
+        7: ("MIT", "header", "g/five.py"),
+        8: (None, None, None),
+        9: ("Apache-2.0", "header", "h/seven.py"),
+        10: (None, None, None),
+    }
+
+
+def test_scores_equal_brute_force_over_all_windows(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "CHUNK", 7)
+    texts = ["这个 项目 在 许可 之下 发布 Released under the Alpha License", "été à la forêt, released under the Alpha License", "Beta License, version 2.0",
+             "Beta License, version 2 or 0", "beta beta beta license", "a version 2.0 of some kind\nPermission", "Released\nunder an alpha\nlicense", "permission " * 40]
+    rows = [(i, f"{i}.py", t) for i, t in enumerate(texts)] + [r for r in FILES if r[2] != LONG]
+    rows = [(d, p or "", t) for d, p, t in rows]
+    templates = {**TEMPLATES, "C": ["Лицензия Гамма 1.0", "..."]}
+    rows.append((77, "u.py", "лицензия гамма 1.0 и другое"))
+    for threshold in (0.3, 0.6):
+        expected = brute_force(rows, templates, {"B": ["permission permission"]}, threshold, 0.9)
+        got = licenses.scan(files(spark, rows), templates, threshold, 0.9, {"B": ["permission permission"]}).collect()
+        own = {(r["doc_id"], r["path"]): r for r in got if r["origin"] in ("header", "file")}
+        for (doc, path, _), (header, entire) in expected.items():
+            match = header or entire
+            if match is None:
+                assert (doc, path) not in own
+            else:
+                assert (own[doc, path]["license"], round(own[doc, path]["score"], 5)) == (match[1], round(match[0], 5)), (doc, path)
+
+
+def test_terms_are_the_same_on_both_sides(spark):
+    texts = ["CC BY-NC 4.0, 3-Clause.", "Лицензия №5 -- ÉTÉ_x ..a.. 許可", "İI ΣΑΣ 1.0.", "a\u0301b"]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    for r in table.select("i", licenses.pieces(F.col("text")).alias("terms")).collect():
+        assert r["terms"] == licenses.template_words(texts[r["i"]])
+    assert licenses.template_words(texts[0]) == ["cc", "by-nc", "4.0", "3-clause"]
