@@ -6,9 +6,9 @@ counted over all files. Compared with the header templates are every line, and e
 length that has one of the template's heaviest terms where the template has it, across line ends too. The whole text is
 compared with the header templates and with the licence bodies.
 
-Two steps leave out only what cannot reach its threshold: a text without any of a template's heaviest terms (the set is
-chosen so that this is exact), and a line, window or text whose terms outside all templates, at the least
-weight a term can have, already weigh too much. What is left is scored once for each distinct sequence of terms, so a
+The steps before leave out only what cannot reach its threshold: a text without any of a template's heaviest terms (the
+set is chosen so that this is exact), a line or text that holds too little of a template's square, and what has
+terms outside all templates that weigh too much even at the least weight a term can have. What is left is scored once for each distinct sequence of terms, so a
 header that stands in a third of all files is one item.
 
 A file whose text as a whole is a licence, or that is named like one and bears a header, is a licence file. It holds for
@@ -102,6 +102,11 @@ def document_frequencies(files: DataFrame) -> DataFrame:
     return files.select(F.explode(F.array_distinct(pieces(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), with the value worked out once, also where use looks at it inside a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 class Side:
     """A template as a vector: its terms in order, and count times squared inverse document frequency by term."""
 
@@ -109,9 +114,10 @@ class Side:
         self.license, self.terms = license, terms
         counts = Counter(terms)
         self.vector = {t: n * weight[t] for t, n in counts.items()}
-        square = {t: n * n * weight[t] for t, n in counts.items()}
-        self.norm = math.sqrt(sum(square.values()))
-        self.heavy = heavy_terms(square, threshold)
+        self.square = {t: n * n * weight[t] for t, n in counts.items()}
+        self.norm = math.sqrt(sum(self.square.values()))
+        self.least = threshold**2 * sum(self.square.values()) * (1 - 1e-9)
+        self.heavy = heavy_terms(self.square, threshold)
 
 
 def heavy_terms(square: dict[str, float], threshold: float) -> set[str]:
@@ -145,9 +151,8 @@ class Scale:
 
     def plausible(self, terms: Column, threshold: float) -> Column:
         """False only where no template can reach the threshold: other terms weigh at least 1 each."""
-        own = F.filter(terms, lambda t: t.isin(self.terms))
-        square = self.square(self.counts(own))
-        return square >= F.lit(threshold**2 * (1 - 1e-9)) * (square + F.size(terms) - F.size(own))
+        enough = lambda own, square: square >= F.lit(threshold**2 * (1 - 1e-9)) * (square + F.size(terms) - F.size(own))
+        return bound(F.filter(terms, lambda t: t.isin(self.terms)), lambda own: bound(self.square(self.counts(own)), lambda q: enough(own, q)))
 
 
 def directories(path: Column) -> Column:
@@ -168,15 +173,14 @@ def windows(held: DataFrame, sides: list[Side]) -> DataFrame:
     lead = lambda s: F.least(s, F.lit(reach))
     part = lambda s: F.slice(F.col("terms"), s - lead(s) + 1, lead(s) + CHUNK + reach)
     chunks = held.select("digest", F.explode(F.transform(starts, lambda s: F.struct(lead(s).alias("lead"), part(s).alias("part")))).alias("c"))
-    numbered = F.transform(F.col("c.part"), lambda t, i: F.struct(t.alias("t"), i.alias("i")))
-    cue = F.filter(numbered, lambda x: x["t"].isin(cues) & (x["i"] >= F.col("c.lead")) & (x["i"] < F.col("c.lead") + CHUNK))
+    at = F.filter(F.transform(F.col("c.part"), lambda t, i: F.when(t.isin(cues), i)), lambda i: (i >= F.col("c.lead")) & (i < F.col("c.lead") + CHUNK))
     # what lies around a cue: `at` terms before it, then the cue
-    around = lambda x: F.struct(
-        x["t"].alias("t"),
-        F.least(x["i"], F.lit(reach)).alias("at"),
-        F.slice(F.col("c.part"), x["i"] - F.least(x["i"], F.lit(reach)) + 1, F.lit(2 * reach)).alias("near"),
+    around = lambda i: F.struct(
+        F.element_at("c.part", i + 1).alias("t"),
+        F.least(i, F.lit(reach)).alias("at"),
+        F.slice(F.col("c.part"), i - F.least(i, F.lit(reach)) + 1, F.lit(2 * reach)).alias("near"),
     )
-    near = chunks.select("digest", F.explode(F.array_distinct(F.transform(cue, around))).alias("a"))
+    near = chunks.select("digest", F.explode(F.array_distinct(F.transform(at, around))).alias("a"))
     places = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(k).alias("side"), F.lit(j).alias("j"), F.lit(n).alias("n")) for t, k, j, n in placed])
     laid = near.select("digest", "a", F.explode(F.filter(places, lambda p: p["t"] == F.col("a.t"))).alias("p"))
     first = F.col("a.at") - F.col("p.j")
@@ -184,20 +188,30 @@ def windows(held: DataFrame, sides: list[Side]) -> DataFrame:
     return laid.select("digest", F.col("p.side").alias("side"), cut.alias("terms"))
 
 
-def _against(rows: DataFrame, sides: list[Side]) -> DataFrame:
-    """rows (with terms) once for each side of which they hold a heavy term."""
-    listed = F.array(*[F.struct(F.lit(k).alias("side"), F.array(*map(F.lit, sorted(s.heavy))).alias("heavy")) for k, s in enumerate(sides, 1)])
-    return rows.select("*", F.explode(F.filter(listed, lambda s: F.arrays_overlap(s["heavy"], F.col("terms")))["side"]).alias("side"))
+def near_sides(terms: Column, sides: list[Side], scale: Scale) -> Column:
+    """Numbers of the sides of whose square the terms hold as much as the side's threshold asks for."""
+    listed = F.array(
+        *[
+            F.struct(F.lit(k).alias("side"), F.lit(s.least).alias("least"), F.create_map(*[F.lit(x) for t, v in sorted(s.square.items()) for x in (t, v)]).alias("square"))
+            for k, s in enumerate(sides, 1)
+        ]
+    )
+    holds = lambda own, s: F.aggregate(own, F.lit(0.0), lambda a, t: a + F.coalesce(F.element_at(s["square"], t), F.lit(0.0))) >= s["least"]
+    own = F.array_intersect(terms, F.array(*map(F.lit, scale.terms)))
+    return bound(own, lambda o: F.transform(F.filter(listed, lambda s: holds(o, s)), lambda s: s["side"]))
 
 
-def rate(items: DataFrame, sides: list[Side], scale: Scale, frequencies: DataFrame, files: int) -> DataFrame:
-    """key, side, score of distinct items (key, side, terms)."""
+def rate(items: DataFrame, sides: list[Side], scale: Scale, frequencies: DataFrame, files: int, threshold: float) -> DataFrame:
+    """key, score, license of items (key, side, c: structs of term t and number n); those below the threshold may be missing."""
     vectors = F.array(*[F.create_map(*[F.lit(x) for t, v in sorted(s.vector.items()) for x in (t, v)]) for s in sides])
-    counted = items.select("key", "side", scale.counts(F.col("terms")).alias("c"))
     own = F.filter("c", lambda c: c["t"].isin(scale.terms))
     rest = F.filter("c", lambda c: ~c["t"].isin(scale.terms))
-    dot = F.aggregate(own, F.lit(0.0), lambda s, c: s + c["n"] * F.coalesce(F.element_at(F.element_at(vectors, F.col("side")), c["t"]), F.lit(0.0)))
-    parted = materialise(counted.select("key", "side", dot.alias("dot"), scale.square(own).alias("square"), rest.alias("rest")), "license_items")
+    split = items.select("key", "side", own.alias("own"), rest.alias("rest"))
+    dot = F.aggregate("own", F.lit(0.0), lambda s, c: s + c["n"] * F.coalesce(F.element_at(F.element_at(vectors, F.col("side")), c["t"]), F.lit(0.0)))
+    least = F.aggregate("rest", F.lit(0.0), lambda s, c: s + c["n"] * c["n"])
+    weighed = split.select("key", "side", "rest", dot.alias("dot"), scale.square(F.col("own")).alias("square"), least.alias("least"))
+    norm = F.element_at(F.array(*[F.lit(s.norm) for s in sides]), F.col("side"))
+    parted = materialise(weighed.where(F.col("dot") >= F.lit(threshold * (1 - 1e-5)) * norm * F.sqrt(F.col("square") + F.col("least"))), "license_items")
     # a frequent term stands in many items: its weight is copied, the items are spread over the copies
     salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")
     foreign = parted.select("key", salt.alias("salt"), F.explode("rest").alias("c")).select("key", "salt", F.col("c.t").alias("term"), F.col("c.n").alias("n"))
@@ -206,8 +220,9 @@ def rate(items: DataFrame, sides: list[Side], scale: Scale, frequencies: DataFra
         foreign.select("term").distinct().join(frequencies, "term").select("term", (idf * idf).alias("w"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
     added = foreign.join(copies, ["term", "salt"]).groupBy("key").agg(F.sum(F.col("n") * F.col("n") * F.col("w")).alias("added"))
-    norm = F.sqrt(F.col("square") + F.coalesce("added", F.lit(0.0))) * F.element_at(F.array(*[F.lit(s.norm) for s in sides]), F.col("side"))
-    return parted.join(added, "key", "left").select("key", "side", F.round(F.col("dot") / norm, 6).alias("score"))
+    score = F.round(F.col("dot") / (F.sqrt(F.col("square") + F.coalesce("added", F.lit(0.0))) * norm), 6)
+    name = F.element_at(F.array(*[F.lit(s.license) for s in sides]), F.col("side"))
+    return parted.join(added, "key", "left").select("key", score.alias("score"), name.alias("license"))
 
 
 def scan(
@@ -239,23 +254,32 @@ def scan(
     cues = sorted({t for s in sides for t in s.heavy})
     # a term is a part of its text: without any heavy one there, nothing has to be split into terms
     may_hold = lambda text: reduce(or_, (F.contains(F.lower(text), F.lit(t)) for t in cues), F.lit(False))
-    kept = F.when(may_hold(F.col("text")), F.col("text"))
+    kept = F.when(may_hold(F.col("text")), F.when(F.arrays_overlap(pieces(F.col("text")), F.array(*map(F.lit, cues))), F.col("text")))
     base = materialise(rows.select("doc_id", "path", kept.alias("text")).withColumn("digest", F.sha2("text", 256)), "license_texts")
     held = base.where("text is not null").select("digest", "text")
     cut = held.select("digest", pieces(F.col("text")).alias("terms"))
     line = held.select("digest", F.explode(F.filter(F.split("text", "\r\n|[\n\r]"), may_hold)).alias("line")).select("digest", pieces(F.col("line")).alias("terms"))
-    kinds = [
-        windows(cut, headers).where(scale.plausible(F.col("terms"), threshold)).select("digest", F.lit("header").alias("kind"), "side", "terms"),
-        _against(cut.where(scale.plausible(F.col("terms"), whole)), sides).select("digest", F.lit("whole").alias("kind"), "side", "terms"),
+    key = F.concat_ws("-", F.sha2(F.concat_ws(" ", "terms"), 256), F.col("side").cast("string"))
+    laid = windows(cut, headers).where(scale.plausible(F.col("terms"), threshold)).select("digest", F.lit("header").alias("kind"), key.alias("key"), "side", "terms")
+    laid = materialise(laid, "license_windows")
+    parts = [
+        rows_of.select("digest", F.lit(kind).alias("kind"), "terms", near_sides(F.col("terms"), own, scale).alias("sides")).where(F.size("sides") > 0)
+        for rows_of, kind, own in ((line, "header", headers), (cut, "whole", sides))
+        if own
     ]
-    if headers:
-        kinds.append(_against(line.where(scale.plausible(F.col("terms"), threshold)), headers).select("digest", F.lit("header").alias("kind"), "side", "terms"))
-    keyed = reduce(DataFrame.unionAll, kinds).withColumn("key", F.sha2(F.concat_ws(" ", F.col("side").cast("string"), "terms"), 256))
-    candidates = materialise(keyed.groupBy("digest", "kind", "key").agg(F.first("side").alias("side"), F.first("terms").alias("terms")), "license_candidates")
-    items = candidates.groupBy("key").agg(F.first("side").alias("side"), F.first("terms").alias("terms"))
-    rated = materialise(rate(items, sides, scale, frequencies, n), "license_scores")
-    name = F.element_at(F.array(*[F.lit(s.license) for s in sides]), F.col("side"))
-    good = rated.withColumn("license", name).select("key", F.struct("score", "license").alias("match")).where(F.col("match.score") >= min(threshold, whole))
+    parts = materialise(reduce(DataFrame.unionAll, parts).withColumn("part", F.sha2(F.concat_ws(" ", "terms"), 256)), "license_parts")
+    # lines and texts may be long: their terms are counted by groups, each distinct sequence once
+    counted = parts.groupBy("part").agg(F.first("terms").alias("terms")).select("part", F.explode("terms").alias("t")).groupBy("part", "t").agg(F.count("*").alias("n"))
+    counts = counted.groupBy("part").agg(F.collect_list(F.struct("t", F.col("n").cast("int").alias("n"))).alias("c"))
+    sided = parts.select("digest", "kind", "part", F.explode("sides").alias("side")).withColumn("key", F.concat_ws("-", "part", F.col("side").cast("string")))
+    of_windows = laid.groupBy("key").agg(F.first("side").alias("side"), F.first("terms").alias("terms")).select("key", "side", scale.counts(F.col("terms")).alias("c"))
+    of_parts = sided.select("part", "key", "side").distinct().join(counts, "part").select("key", "side", "c")
+    candidates = laid.select("digest", "kind", "key").unionAll(sided.select("digest", "kind", "key")).distinct()
+    # a window may be a line as well: the two have the same score
+    rated = materialise(rate(of_windows, sides, scale, frequencies, n, min(threshold, whole)), "license_scores").unionAll(
+        materialise(rate(of_parts, sides, scale, frequencies, n, min(threshold, whole)), "license_scores")
+    )
+    good = rated.distinct().select("key", F.struct("score", "license").alias("match")).where(F.col("match.score") >= min(threshold, whole))
     # a header may stand in any share of the texts, and a text in any share of the files: both are spread over copies
     spread = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = lambda df, *by: df.withColumn("salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
