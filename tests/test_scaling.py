@@ -1,0 +1,60 @@
+"""How often work is done, and how many rows one task holds."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from faultline import schemas
+from faultline.config import CLOUD, LOCAL
+from faultline.functions import lexicon as L
+from faultline.functions.lexicon import Lexicon
+from faultline.operators import clean
+from faultline.plans import jobs
+from faultline.sinks import versions, writers
+from faultline.sources import facts as fact_source
+from faultline.streaming import landing
+from tests.helpers import COMPLAINT, RECALL
+
+LEXICON = Lexicon({"good": 1.9, "bad": -2.5})
+
+
+@pytest.fixture
+def raw(spark):
+    rows = [{name: None if row.get(name) is None else str(row[name]) for name in schemas.RAW_FIELDS} for row in (COMPLAINT, COMPLAINT, RECALL)]
+    return spark.createDataFrame(rows, schemas.RAW)
+
+
+def counted(spark, df, column):
+    """The rows, and an accumulator of how many of them have been worked out."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        seen.add(1)
+        return value
+
+    return df.withColumn(column, F.udf(count, "string").asNondeterministic()(column)), seen
+
+
+@pytest.mark.parametrize("profile", [LOCAL, CLOUD])
+def test_a_transform_reads_the_raw_records_once(spark, raw, tmp_path, profile):
+    records, seen = counted(spark, raw, "body")
+    summary = jobs.run_transform(records, str(tmp_path), "run", profile, LEXICON)
+    assert (summary.rows_read, summary.rows_written) == (3, 2)
+    assert seen.value == 3
+    facts = spark.read.parquet(summary.path)
+    assert "remedy" not in facts.columns and "consequence" in facts.columns  # remedy is blank everywhere
+
+
+def test_all_columns_of_no_records_are_empty(raw):
+    assert clean.null_columns(raw.limit(0), 1000) == clean.null_columns(raw.limit(0)) == raw.columns
+
+
+def test_a_value_past_the_first_rows_fills_its_column(spark):
+    late = F.when(F.col("id") == 4999, "x").otherwise(" ")
+    df = spark.range(0, 5000, 1, 4).select(F.lit("a").alias("early"), late.alias("late"), F.lit(None).cast("string").alias("never"))
+    assert clean.null_columns(df, 10) == clean.null_columns(df) == ["never"]
