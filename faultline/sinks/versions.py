@@ -70,32 +70,43 @@ def replace_partitions(
     spark: SparkSession,
     path: str,
     chosen: Callable[[DataFrame | None], DataFrame],
-    made: Callable[[DataFrame | None], DataFrame],
+    made: Callable[[DataFrame | None, DataFrame | None], DataFrame],
 ) -> None:
     """Replace partitions and commit; tried again as long as other writers come first.
 
     `chosen` tells from the newest manifest (None without one) the partitions to replace, `made` their new
-    rows. Rows are made again only if a partition they came from has changed in the meantime.
+    rows, of all of them or of those given. After a lost race only the partitions that have changed in the
+    meantime are made again.
     """
+    keys = list(PARTITIONS)
     fresh = used = None
     for _ in range(ATTEMPTS):
         known = facts.manifests(spark, path)
         newest = known[-1] if known else None
         held = facts.read_manifest(spark, path, newest) if newest else None
         touched = chosen(held)
-        before = None if held is None else held.join(touched, list(PARTITIONS), "left_semi")
-        if fresh is None or _differ(used, before):
-            used, fresh = before, write_version(made(held), path)
-        entries = fresh if held is None else held.join(touched, list(PARTITIONS), "left_anti").unionByName(fresh)
+        before = None if held is None else held.join(touched, keys, "left_semi")
+        if fresh is None:
+            fresh = write_version(made(held, None), path)
+        elif before is not None:
+            changed = _changed(used, before)
+            # a first version made of a full refresh holds partitions that were not chosen
+            fresh = fresh.join(touched, keys, "left_semi")
+            if not changed.isEmpty():
+                again = write_version(made(held, changed), path)
+                fresh = fresh.join(changed, keys, "left_anti").unionByName(again)
+        used = before
+        entries = fresh if held is None else held.join(touched, keys, "left_anti").unionByName(fresh)
         if commit(entries, path, newest):
             return
     raise RuntimeError(f"{ATTEMPTS} other writers came first: {path}")
 
 
-def _differ(a: DataFrame | None, b: DataFrame | None) -> bool:
-    if a is None or b is None:
-        return a is not b
-    return not a.exceptAll(b).isEmpty() or not b.exceptAll(a).isEmpty()
+def _changed(used: DataFrame | None, now: DataFrame) -> DataFrame:
+    """Partitions that have another version now, or only now one, or none any more."""
+    if used is None:
+        return now.select(*PARTITIONS)
+    return used.exceptAll(now).unionByName(now.exceptAll(used)).select(*PARTITIONS).distinct()
 
 
 def compact_facts(spark: SparkSession, base: str, stem: str, profile: Profile, most: int = MOST_VERSIONS) -> bool:
@@ -112,9 +123,13 @@ def compact_facts(spark: SparkSession, base: str, stem: str, profile: Profile, m
     known = facts.manifests(spark, path)
     if not known or facts.read_manifest(spark, path, known[-1]).select("version").distinct().count() <= most:
         return False
-    replace_partitions(
-        spark, path, scattered, lambda held: facts.scan_versions(spark, path, profile, held.join(scattered(held), list(PARTITIONS), "left_semi"))
-    )
+
+    def together(held: DataFrame, changed: DataFrame | None) -> DataFrame:
+        rows = held.join(scattered(held), list(PARTITIONS), "left_semi")
+        rows = rows if changed is None else rows.join(changed, list(PARTITIONS), "left_semi")
+        return facts.scan_versions(spark, path, profile, rows)
+
+    replace_partitions(spark, path, scattered, together)
     return True
 
 

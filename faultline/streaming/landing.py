@@ -36,16 +36,17 @@ def merge_facts(new: DataFrame, base: str, stem: str, profile: Profile) -> str:
     path = versions.folder(base, stem)
     landed = fresh_path(spark, "landed")
     new.write.parquet(landed)
-    rows = spark.read.schema(new.schema).parquet(landed)
-    own = rows.select(*PARTITIONS).distinct()
+    landed_rows = spark.read.schema(new.schema).parquet(landed)
+    own = landed_rows.select(*PARTITIONS).distinct()
 
     def touched(_held: DataFrame | None) -> DataFrame:
         return own
 
-    def merged(held: DataFrame | None) -> DataFrame:
+    def merged(held: DataFrame | None, changed: DataFrame | None) -> DataFrame:
+        part, rows = (own, landed_rows) if changed is None else (changed, landed_rows.join(changed, list(PARTITIONS), "left_semi"))
         if held is not None:
             # by partition columns alone, so that only those partitions are read
-            old = facts.scan_versions(spark, path, profile, held.join(own, list(PARTITIONS), "left_semi"))
+            old = facts.scan_versions(spark, path, profile, held.join(part, list(PARTITIONS), "left_semi"))
         elif facts.plain_partitions(spark, path):
             old = facts.scan_entry(spark, path, profile, provenance=True)
         else:

@@ -58,3 +58,51 @@ def test_a_value_past_the_first_rows_fills_its_column(spark):
     late = F.when(F.col("id") == 4999, "x").otherwise(" ")
     df = spark.range(0, 5000, 1, 4).select(F.lit("a").alias("early"), late.alias("late"), F.lit(None).cast("string").alias("never"))
     assert clean.null_columns(df, 10) == clean.null_columns(df) == ["never"]
+
+
+def test_after_a_lost_race_only_changed_partitions_are_made_again(spark, raw, tmp_path, monkeypatch):
+    folder = str(tmp_path / "facts")
+    ford = jobs.standardise(raw.limit(1), CLOUD)
+    landing.merge_facts(ford, folder, "all", CLOUD)
+    at = lambda key, *years: ford.drop("year").withColumns(
+        {"record_id": F.lit(key), "year": F.explode(F.array(*[F.lit(y).cast("long") for y in years]))}
+    )
+    commit, tried = versions.commit, []
+
+    def late(entries, path, after):
+        tried.append(after.name)
+        if len(tried) == 1:  # another writer changes one of the partitions and adds one that is common too
+            with monkeypatch.context() as plain:
+                plain.setattr(versions, "commit", commit)
+                landing.merge_facts(at("other", 2015, 2017), folder, "all", CLOUD)
+        return commit(entries, path, after)
+
+    monkeypatch.setattr(versions, "commit", late)
+    path = landing.merge_facts(at("mine", 2015, 2016, 2017), folder, "all", CLOUD)
+    again = sorted(glob.glob(f"{path}/version=*"))[-1]
+    assert sorted(os.path.basename(p) for p in glob.glob(f"{again}/make=FORD/*")) == ["year=2015", "year=2017"]
+    found = sorted((r["record_id"], r["year"]) for r in fact_source.scan_facts(spark, folder, CLOUD).collect())
+    rest = [("complaint_1", 2015), ("mine", 2015), ("mine", 2016), ("mine", 2017), ("other", 2015), ("other", 2017)]
+    assert found == rest
+
+
+def test_two_first_merges_of_a_full_refresh(spark, raw, tmp_path, monkeypatch):
+    """The one that commits later takes from its own first version only the partitions it merges."""
+    folder = str(tmp_path / "facts")
+    facts = jobs.standardise(raw.dropDuplicates(), CLOUD)
+    writers.write_facts(facts, folder, "all")
+    named = lambda key, make: facts.where(F.col("make") == make).withColumn("record_id", F.lit(key))
+    commit, tried = versions.commit, []
+
+    def late(entries, path, after):
+        tried.append(after)
+        if len(tried) == 1:
+            with monkeypatch.context() as plain:
+                plain.setattr(versions, "commit", commit)
+                landing.merge_facts(named("other", "TESLA"), folder, "all", CLOUD)
+        return commit(entries, path, after)
+
+    monkeypatch.setattr(versions, "commit", late)
+    landing.merge_facts(named("mine", "FORD"), folder, "all", CLOUD)
+    found = sorted(r["record_id"] for r in fact_source.scan_facts(spark, folder, CLOUD).collect())
+    assert found == ["complaint_1", "mine", "other", "recall_1"]
