@@ -106,3 +106,13 @@ def test_two_first_merges_of_a_full_refresh(spark, raw, tmp_path, monkeypatch):
     landing.merge_facts(named("mine", "FORD"), folder, "all", CLOUD)
     found = sorted(r["record_id"] for r in fact_source.scan_facts(spark, folder, CLOUD).collect())
     assert found == ["complaint_1", "mine", "other", "recall_1"]
+
+
+def test_a_partitioned_write_does_not_sort_its_rows(spark, tmp_path):
+    name = f"parts_{os.path.basename(tmp_path).replace('-', '_')}"
+    spark.sql(f"create table {name} (x long, make string) using parquet partitioned by (make)")
+    try:
+        text = spark.sql(f"explain insert into {name} select id, cast(id % 3 as string) from range(9)").first()[0]
+        assert "InsertIntoHadoopFsRelationCommand" in text and "Sort" not in text
+    finally:
+        spark.sql(f"drop table {name}")
