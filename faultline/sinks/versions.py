@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.config import Profile
-from faultline.sinks.writers import PARTITIONS, spread
+from faultline.sinks.writers import PARTITIONS, ROWS_PER_FILE, spread
 from faultline.sources import facts, listing
 from faultline.sources.facts import FACTS_PREFIX, MANIFESTS
 
@@ -52,6 +52,7 @@ def write_version(rows: DataFrame, path: str) -> DataFrame:
     version = new_version(spark, path)
     target = f"{path}/version={version}"
     written = spread(rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    written = written.option("maxRecordsPerFile", ROWS_PER_FILE)
     written.partitionBy(*PARTITIONS).parquet(target)
     fresh = spark.read.schema(rows.schema).parquet(target).select(*PARTITIONS).distinct()
     return fresh.withColumn("version", F.lit(version).cast("long"))

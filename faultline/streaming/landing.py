@@ -35,7 +35,7 @@ def merge_facts(new: DataFrame, base: str, stem: str, profile: Profile) -> str:
     spark = new.sparkSession
     path = versions.folder(base, stem)
     landed = fresh_path(spark, "landed")
-    new.write.parquet(landed)
+    new.write.option("maxRecordsPerFile", writers.ROWS_PER_FILE).parquet(landed)
     landed_rows = spark.read.schema(new.schema).parquet(landed)
     own = landed_rows.select(*PARTITIONS).distinct()
 

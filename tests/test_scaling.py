@@ -116,3 +116,13 @@ def test_a_partitioned_write_does_not_sort_its_rows(spark, tmp_path):
         assert "InsertIntoHadoopFsRelationCommand" in text and "Sort" not in text
     finally:
         spark.sql(f"drop table {name}")
+
+
+def test_a_merge_writes_files_of_bounded_rows(spark, raw, tmp_path, monkeypatch):
+    for module in (writers, versions):
+        monkeypatch.setattr(module, "ROWS_PER_FILE", 10)
+    ford = jobs.standardise(raw.limit(1), CLOUD).drop("record_id")
+    rows = ford.crossJoin(spark.range(0, 35, 1, 1).select(F.col("id").cast("string").alias("record_id")))
+    path = landing.merge_facts(rows, str(tmp_path), "all", CLOUD)
+    sizes = [pq.ParquetFile(file).metadata.num_rows for file in glob.glob(f"{path}/version=1/*/*/*.parquet")]
+    assert sum(sizes) == 35 and max(sizes) <= 10
