@@ -126,3 +126,12 @@ def test_a_merge_writes_files_of_bounded_rows(spark, raw, tmp_path, monkeypatch)
     path = landing.merge_facts(rows, str(tmp_path), "all", CLOUD)
     sizes = [pq.ParquetFile(file).metadata.num_rows for file in glob.glob(f"{path}/version=1/*/*/*.parquet")]
     assert sum(sizes) == 35 and max(sizes) <= 10
+
+
+def test_a_large_lexicon_is_worked_out_once(spark):
+    n = L.MAX_CONSTANT_ENTRIES + 1
+    table, seen = counted(spark, spark.range(0, n, 1, 2).selectExpr("concat('w', id) as token", "1.0D as valence"), "token")
+    held = Lexicon.from_table(table)
+    assert held.table.count() == n
+    assert held.table.where("token = 'w5'").first()["v"] == L.MICRO
+    assert seen.value == n
