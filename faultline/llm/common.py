@@ -40,6 +40,13 @@ class Kept(dict):
                 dict.__setitem__(self, key, value)
         return value
 
+    def add(self, made: dict) -> None:
+        """Many at once, all of which may be kept."""
+        if len(self) + len(made) > self.entries:
+            self.old = dict(self)
+            self.clear()
+        self.update(made)
+
     def empty(self) -> None:
         self.clear()
         self.old = {}

@@ -29,7 +29,8 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from heapq import nlargest
+from itertools import accumulate, chain, repeat
 from uuid import uuid4
 
 import numpy as np
@@ -53,8 +54,12 @@ TOXIC_WORD = 1.0
 WINDOW = 5
 #: Chunks that a worker keeps with what is known of them, and runs, each in one generation.
 CACHED, CACHED_RUNS = 120_000, 30_000
+#: Chunks, repeats included, whose texts are looked up together.
+TOGETHER = 25_000
 #: Distinct chunks that a task counts before it hands them on.
 COUNTED = 300_000
+#: With more possible trigrams than this they are sorted instead of counted in a table.
+MOST_TRIGRAMS = 4_000_000
 #: Share of all words from which on a word is common, and a single letter.
 COMMON_WORD, COMMON_LETTER = 1e-4, 1e-3
 PREFIXES = (4, 6)
@@ -71,7 +76,7 @@ SIGN, SEPARATOR, SHORTENED, GAP = -1.0, -0.3, -0.3, -0.3
 
 _EDGE = re.compile(r"^[^\w@$!|+(€£¡]+|[^\w$@]+$")
 _ODD = re.compile(r"[\W\d_]|(.)\1")
-_DOUBLE, _TRIPLE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"(.)\1")
 #: With more readings or parts than this a word or run is decoded without looking at them first.
 MOST_READINGS = 8
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -101,12 +106,24 @@ class Characters:
         third = np.ones(len(signs), dtype=bool)
         third[first] = third[first + 1] = False
         at = np.nonzero(third)[0]
-        packed = signs[at - 2] << 42 | signs[at - 1] << 21 | signs[at]
-        grams, place = np.unique(packed, return_inverse=True)
-        total = np.zeros(len(grams), dtype=np.int64)
-        np.add.at(total, place, np.repeat(np.array(counts, dtype=np.int64), sizes)[at])
-        mask = (1 << 21) - 1
-        return {chr(g >> 42) + chr(g >> 21 & mask) + chr(g & mask): n for g, n in zip(grams.tolist(), total.tolist())}
+        times = np.repeat(np.array(counts, dtype=np.int64), sizes)[at]
+        # the alphabet by numbers without gaps, so that few enough trigrams are counted in one table
+        there = np.zeros(0x110000, dtype=bool)
+        there[signs] = True
+        alphabet = np.nonzero(there)[0]
+        size = len(alphabet)
+        signs = (np.cumsum(there) - 1)[signs]
+        packed = (signs[at - 2] * size + signs[at - 1]) * size + signs[at]
+        if size**3 <= MOST_TRIGRAMS and int(times.max()) < 2**53 // len(times):
+            table = np.bincount(packed, weights=times, minlength=size**3)  # sums below 2**53 are exact
+            grams = np.nonzero(table)[0]
+            total = table[grams].astype(np.int64)
+        else:
+            grams, place = np.unique(packed, return_inverse=True)
+            total = np.zeros(len(grams), dtype=np.int64)
+            np.add.at(total, place, times)
+        letters = list(map(chr, alphabet.tolist()))
+        return {letters[g // size // size] + letters[g // size % size] + letters[g % size]: n for g, n in zip(grams.tolist(), total.tolist())}
 
     def __post_init__(self):
         # shorter histories follow from the trigrams, each letter being the third of one
@@ -154,40 +171,53 @@ def _ways(run: str) -> tuple[tuple[str, float], ...]:
 
 
 _RUN = re.compile(r"(.)\1*", re.DOTALL)
-_known_ways = Kept(_ways, 20_000)
+def _told(run: str) -> tuple[str, float, tuple]:
+    """The letter and cost of a run that can only be itself, if it is one letter; the ways of any run."""
+    ways = _ways(run) if run else ((" ", 0.0),)
+    letters, cost = ways[0] if ways else ("", 0.0)
+    return (letters, cost, ways) if len(ways) == 1 and len(letters) == 1 and letters != " " else ("", 0.0, ways)
+
+
+_known_ways = Kept(_told, 20_000)
 
 
 def restore(spelt: str, model: Characters) -> str:
     """The best reading of a lower-case string; spaces in it may vanish or stay."""
     logs = model.logs
-    paths: dict[str, tuple[float, tuple]] = {"  ": (0.0, ())}
-    for run in (*(m.group() for m in _RUN.finditer(spelt)), ""):
-        ways = _known_ways[run] if run else ((" ", 0.0),)
+    before, so_far, trail = "  ", 0.0, ()  # the path, while there is only one
+    paths: dict[str, tuple[float, tuple]] = {}
+    for run in [*(m.group() for m in _RUN.finditer(spelt)), ""]:
+        letter, cost, ways = _known_ways[run]
+        if letter and not paths:
+            gram = before + letter
+            so_far, trail, before = so_far + cost + logs[gram], (trail, letter), gram[1:]
+            continue
         onward: dict[str, tuple[float, tuple]] = {}
-        if len(ways) == 1 and len(letters := ways[0][0]) == 1 and letters != " ":
-            # one letter that can only be itself
-            cost = ways[0][1]
+        if letter:
             for before, (so_far, trail) in paths.items():
-                gram = before + letters
+                gram = before + letter
                 total, last = so_far + cost + logs[gram], gram[1:]
                 best = onward.get(last)
                 if best is None or total > best[0]:
-                    onward[last] = (total, (trail, letters))
-            paths = onward
-            continue
-        for before, (so_far, trail) in paths.items():
-            for letters, cost in ways:
-                total, last = so_far + cost, before
-                for x in letters:
-                    if x != " " or last[1] != " ":
-                        gram = last + x
-                        total += logs[gram]
-                        last = gram[1:]
-                best = onward.get(last)
-                if best is None or total > best[0]:
-                    onward[last] = (total, (trail, letters))
+                    onward[last] = (total, (trail, letter))
+        else:
+            for before, (so_far, trail) in paths.items() if paths else [(before, (so_far, trail))]:
+                for letters, cost in ways:
+                    total, last = so_far + cost, before
+                    for x in letters:
+                        if x != " " or last[1] != " ":
+                            gram = last + x
+                            total += logs[gram]
+                            last = gram[1:]
+                    best = onward.get(last)
+                    if best is None or total > best[0]:
+                        onward[last] = (total, (trail, letters))
         paths = onward
-    _, trail = max(paths.values(), key=lambda p: p[0])
+        if len(onward) == 1:
+            ((before, (so_far, trail)),) = onward.items()
+            paths = {}
+    if paths:
+        _, trail = max(paths.values(), key=lambda p: p[0])
     parts: list[str] = []
     while trail:
         trail, letters = trail
@@ -209,7 +239,7 @@ class Reader:
 
     def part(self, chunk: str) -> tuple[str, bool]:
         """The chunk without the signs around it if it may be a part of a word, else nothing; whether it makes a run."""
-        plain = chunk if len(chunk) == 1 else _EDGE.sub("", chunk)
+        plain = chunk if len(chunk) == 1 or chunk.isalpha() else _EDGE.sub("", chunk)
         rare = plain not in self.common
         if len(plain) <= SHORT:
             return plain, rare and plain != ""
@@ -223,15 +253,20 @@ class Reader:
             found.update(restore(plain, self.model).split())
         return found
 
-    def segments(self, chunks: list[str]) -> Iterator[str]:
-        """Parts that may be words together: those near a rare short one, longer ones right beside it."""
-        parts = list(map(self.parts.__getitem__, chunks))
+    def segments(self, chunks: list[str], makes: set[str] | None = None) -> Iterator[str]:
+        """Parts that may be words together: those near a rare short one, longer ones right beside it.
+
+        `makes` are the chunks that make a run, where they are known.
+        """
+        parts = self.parts
+        if makes is None:
+            makes = {c for c in set(chunks) if parts[c][1]}
         kept: set[int] = set()
-        for i in [i for i, (_, makes) in enumerate(parts) if makes]:
+        for i in [i for i, c in enumerate(chunks) if c in makes]:
             kept.add(i)
             for step in (-1, 1):
                 for k in range(i + step, i + step * (NEAR + 1), step):
-                    if not 0 <= k < len(parts) or not (plain := parts[k][0]):
+                    if not 0 <= k < len(chunks) or not (plain := parts[chunks[k]][0]):
                         break
                     if k == i + step or len(plain) <= SHORT:
                         kept.add(k)
@@ -241,7 +276,7 @@ class Reader:
                 if len(segment) > 1:
                     yield " ".join(segment)
                 segment = []
-            segment.append(parts[i][0])
+            segment.append(parts[chunks[i]][0])
             before = i
         if len(segment) > 1:
             yield " ".join(segment)
@@ -271,25 +306,107 @@ def summary(weights: list[float], n: int) -> list[float]:
     return [top[0], sum(top[:3]) / 3, math.log1p(toxic), math.log1p(n)]
 
 
+def _repeats(words: list[str]) -> list[bool]:
+    """Whether a letter follows itself, for each of the words, none of which is empty."""
+    if not words:
+        return []
+    signs = np.frombuffer("\n".join(words).encode("utf-32-le", "surrogatepass") + b"\n\0\0\0", dtype="<u4")
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
+    again = np.append(signs[1:] == signs[:-1], False)
+    return np.logical_or.reduceat(again, np.cumsum(sizes) - sizes).tolist()
+
+
 def _undoubled(word: str) -> list[str] | None:
     """All that the decoder may read in letters of which some are doubled; None for anything else."""
-    if not word.isalpha() or _TRIPLE.search(word):
+    if not word.isalpha():
+        return None
+    # what stands between the doubled letters, and those letters
+    first, *rest = _DOUBLE.split(word)
+    if 2 ** (len(rest) // 2) > MOST_READINGS:
         return None
-    readings = [""]
-    for m in _RUN.finditer(word):
-        ways = [m.group()] if len(m.group()) == 1 else [m.group(), m.group()[0]]
-        readings = [r + w for r in readings for w in ways]
-        if len(readings) > MOST_READINGS:
-            return None
+    readings, last = [first], ""
+    for c, between in zip(rest[::2], rest[1::2]):
+        if c == last or between[:1] == c:
+            return None  # three in a row
+        readings = [r + w + between for r in readings for w in (c + c, c)]
+        last = "" if between else c
     return readings
 
 
 def _joined(run: str) -> list[str] | None:
-    """All words that the decoder may read over several parts of plain letters; None for anything else."""
+    """All features of words that the decoder may read over several parts of plain letters; None for anything else."""
     parts = run.split(" ")
-    if len(parts) > MOST_READINGS or any(not p.isalpha() or _DOUBLE.search(p) for p in parts):
+    if len(parts) > MOST_READINGS or any([not p.isalpha() or _DOUBLE.search(p) for p in parts]):
         return None
-    return ["".join(parts[i:j]) for i in range(len(parts)) for j in range(i + 2, len(parts) + 1)]
+    bound, ends = "".join(parts), list(accumulate(map(len, parts)))
+    # two parts at least; a window lies inside, at the beginning or at the end of some reading
+    found = [bound[i : i + WINDOW] for i in range(len(bound) - WINDOW + 1)]
+    starts = [0, *ends[:-2]]
+    for k, i in enumerate(starts):
+        found += [f"^{bound[i:j]}$" for j in ends[k + 1 :]]
+        found += [f"^{bound[i : i + n]}" for n in (WINDOW - 1, *PREFIXES)]
+    return found + [f"{bound[max(0, j - WINDOW + 1) : j]}$" for j in ends[1:]]
+
+
+class Heaviest:
+    """The greatest weight of a word's features (0 for none), for many words at once.
+
+    Windows are numbers of BITS for each sign, so that all of them are looked up together; the whole word and its
+    longer beginning are looked up one by one, the shorter beginning is the first window.
+    """
+
+    BITS = 12
+
+    def __init__(self, weights: dict[str, float]):
+        self.weights = weights
+        windows = sorted(f for f in weights if len(f) == WINDOW)
+        signs = sorted({c for f in windows for c in f})
+        #: Whether the signs fit; words are looked up one by one if not.
+        self.fits = len(signs) < 1 << self.BITS
+        if not self.fits:
+            return
+        self.number = np.zeros(0x110000, dtype=np.int64)  # 0 stands for signs that no window has
+        self.number[[ord(c) for c in signs]] = np.arange(1, len(signs) + 1)
+        keys = self._keys("".join(windows))[::WINDOW]
+        # by key, with a last one above all others, so that every place found is one
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.values = np.append(np.array([weights[f] for f in windows])[order], 0.0)
+        self.there = np.zeros(1 << 16, dtype=bool)
+        self.there[self._slots(keys)] = True
+        self.whole = {f[1:-1]: w for f, w in weights.items() if f[0] == "^" and f[-1] == "$"}
+        self.longer = {f[1:]: w for f, w in weights.items() if f[0] == "^" and f[-1] != "$" and len(f) > WINDOW}
+
+    @staticmethod
+    def _slots(keys: np.ndarray) -> np.ndarray:
+        return keys * 0x1E3779B97F4A7C15 >> 44 & 0xFFFF
+
+    def _keys(self, text: str) -> np.ndarray:
+        """The number of the window at each place, as far as there are whole ones."""
+        number = self.number[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+        n = max(0, len(number) - WINDOW + 1)
+        keys = number[:n].copy()
+        for k in range(1, WINDOW):
+            keys <<= self.BITS
+            keys |= number[k : k + n]
+        return keys
+
+    def of(self, words: list[str]) -> list[float]:
+        """Words consist of letters, so that no feature spans two of them."""
+        if not self.fits or not words:
+            return [max([self.weights.get(f, 0.0) for f in features(w)]) for w in words]
+        keys = self._keys("^" + "$^".join(words) + "$" + " " * (WINDOW - 1))
+        # few places can have a window at all; those are looked up
+        at = np.nonzero(self.there[self._slots(keys)])[0]
+        keys, found = keys[at], np.zeros(len(keys))
+        place = np.searchsorted(self.keys, keys)
+        found[at] = np.where(self.keys[place] == keys, self.values[place], 0.0)
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
+        heaviest = np.maximum.reduceat(found, np.cumsum(sizes) - sizes)
+        n, longer = PREFIXES[-1], self.longer
+        by_word = np.fromiter(map(self.whole.get, words, repeat(0.0)), dtype=np.float64, count=len(words))
+        begun = np.fromiter((longer.get(w[:n], 0.0) if len(w) > n else 0.0 for w in words), dtype=np.float64, count=len(words))
+        return np.maximum(np.maximum(heaviest, by_word), begun).tolist()
 
 
 @dataclass
@@ -325,35 +442,110 @@ class Model:
             return readings is not None and not any(f in weights for w in readings for f in features(w))
 
         def known(chunk: str) -> tuple:
-            """Words of weight, and whether the chunk makes a run; most chunks share the empty tuple."""
+            """Words of weight, whether the chunk makes a run, no bound, the chunk; most chunks share the empty tuple."""
             plain = chunk if chunk.isalpha() else _EDGE.sub("", chunk)
             words = [plain] if plain.isalpha() else _LETTERS.findall(plain)
             if plain and plain not in reader.common and _ODD.search(plain) and not hopeless(_undoubled(plain)):
                 words = reader.chunk(chunk)
             heavy, rare = weighed(words), len(plain) <= SHORT and reader.part(chunk)[1]
-            return (heavy, rare) if heavy or rare else ()
+            return (heavy, rare, 0.0, chunk) if heavy or rare else ()
 
         def run(joined: str) -> tuple:
-            return () if hopeless(_joined(joined)) else weighed(set(reader.runs.make(joined)))
+            named = _joined(joined)
+            return () if named is not None and not any(map(weights.__contains__, named)) else weighed(set(reader.runs.make(joined)))
 
         chunks = Kept(known, CACHED)
         runs = Kept(run, CACHED_RUNS, size=_kept_run)
+        heaviest = Heaviest(weights)
         w = self.regression
 
+        def learn(missing: set[str]) -> None:
+            """Keep what is to know of chunks; of those that are plain letters all at once.
+
+            Letters of which some are doubled stay unread: instead of their words there is a bound of their weight.
+            """
+            old, common = chunks.old, reader.common
+            names, plains = [], []
+            for chunk in missing:
+                if chunk not in old and len(chunk) <= CACHED_CHARS:
+                    plain = chunk if chunk.isalpha() else _EDGE.sub("", chunk)
+                    if plain.isalpha():
+                        names.append(chunk)
+                        plains.append(plain)
+            words, whole = [], []
+            for chunk, plain, repeats in zip(names, plains, _repeats(plains)):
+                n = 1
+                if repeats and plain not in common:
+                    if (readings := _undoubled(plain)) is None:
+                        continue
+                    words += readings
+                    n = len(readings)
+                else:
+                    words.append(plain)
+                whole.append((chunk, plain, n))
+            weighs = heaviest.of(words)
+            made, at = {}, 0
+            for chunk, plain, n in whole:
+                bound = weighs[at] if n == 1 else max(weighs[at : at + n])
+                rare = len(plain) <= SHORT and plain not in common
+                if bound > 0.0:
+                    made[chunk] = (((plain, bound),) if n == 1 else None, rare, bound, chunk)
+                else:
+                    made[chunk] = ((), True, 0.0, chunk) if rare else ()
+                at += n
+            chunks.add(made)
+
+        def read(chunk: str) -> tuple[tuple[str, float], ...]:
+            """Words of weight of a chunk that was kept unread."""
+            told = chunks.get(chunk)
+            if told is None or told and told[0] is None:
+                told = known(chunk)
+                chunks.add({chunk: told})
+            return told[0] if told else ()
+
+        def judged(own: list[str], n: int, found: Iterable[tuple]) -> list[float]:
+            """The summary; of the unread chunks those are read that may change it, by their bounds."""
+            heavy: dict[str, float] = {}
+            makes, waiting = set(), []
+            for words, rare, bound, chunk in found:
+                if words is not None:
+                    heavy.update(words)
+                elif bound < TOXIC_WORD:
+                    waiting.append((bound, chunk))
+                else:
+                    heavy.update(read(chunk))
+                if rare:
+                    makes.add(chunk)
+            if makes:
+                for found in map(runs.__getitem__, reader.segments(own, makes)):
+                    heavy.update(found)
+            if waiting:
+                top = nlargest(3, heavy.values())
+                for bound, chunk in sorted(waiting, reverse=True):
+                    if len(top) == 3 and bound <= top[2]:
+                        break
+                    if found := read(chunk):
+                        heavy.update(found)
+                        top = nlargest(3, heavy.values())
+            return summary(list(heavy.values()), n)
+
         def scores(batch: list) -> np.ndarray:
             x = []
-            for text in batch:
+            texts: list[tuple[list[str], int, list, list]] = []
+            missing: set[str] = set()
+            size = 0
+            for k, text in enumerate(batch):
                 own = (text or "").lower().split()
                 distinct = set(own)
-                heavy: dict[str, float] = {}
-                spelt = False
-                for found, rare in filter(None, map(chunks.__getitem__, distinct)):
-                    heavy.update(found)
-                    spelt |= rare
-                if spelt:
-                    for found in map(runs.__getitem__, reader.segments(own)):
-                        heavy.update(found)
-                x.append(summary(list(heavy.values()), len(distinct)))
+                lacking = [c for c in distinct if c not in chunks]
+                texts.append((own, len(distinct), list(filter(None, map(chunks.get, distinct))), lacking))
+                missing.update(lacking)
+                size += len(own)
+                if size >= TOGETHER or k == len(batch) - 1:
+                    learn(missing)
+                    for own, n, found, lacking in texts:
+                        x.append(judged(own, n, chain(found, filter(None, map(chunks.__getitem__, lacking)))))
+                    texts, missing, size = [], set(), 0
             return sigmoid(np.array(x).reshape(len(x), 4) @ w[:-1] + w[-1])
 
         return scores
@@ -370,10 +562,11 @@ def language(docs: DataFrame) -> Language:
         chunks: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
-            words: Counter = Counter()
+            words = {chunk: n for chunk, n in chunks.items() if chunk.isalpha()}
             for chunk, n in chunks.items():
-                for w in _LETTERS.findall(chunk):
-                    words[w] += n
+                if not chunk.isalpha():
+                    for w in _LETTERS.findall(chunk):
+                        words[w] = words.get(w, 0) + n
             chunks.clear()
             grams = Characters.count(words.items())
             short = {w: n for w, n in words.items() if len(w) <= BESIDE}

@@ -216,3 +216,29 @@ def test_hopeless_readings_do_not_change_scores(letters):
         x = toxicity.summary([v for v in heavy.values() if v > 0], len(set(text.split())))
         expected.append(float(sigmoid(np.array(x) @ model.regression[:-1] + model.regression[-1])))
     assert np.allclose(model.scorer()(texts), expected)
+
+
+def test_weak_doubled_letters_stay_unread_and_change_no_score(letters, monkeypatch):
+    """Of the doubled words only those are decoded that may be among the heaviest; scores are those of full decoding."""
+    weights = {"^idiot$": 2.0, "^idio": 1.6, "^scum$": 1.5, "trash": 1.2, "^moron$": 1.1, "^soft": 0.4, "ofter": 0.3, "^table": 0.35, "stupi": 1.0}
+    model = toxicity.Model(toxicity.Language(letters.counts, frozenset({"the"})), weights, np.array([1.0, 0.5, 0.3, -0.1, -2.0]))
+    rng = random.Random(5)
+    parts = ["idiot", "iddiot", "scum", "trash", "trassh", "moron", "mooron", "sofft", "softter", "tabble", "sofftterr", "the", "stuppid", "i d i o t", "$tupid", "aa", "x"]
+    texts = ["", None, "sofft", "idiot scum trash sofft tabble softter"] + [" ".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(300)]
+
+    def plainly(text):
+        reader = model.language.reader()
+        chunks = (text or "").lower().split()
+        heavy = {w: max((weights[f] for f in toxicity.features(w) if f in weights), default=0.0) for w in reader.words(text)}
+        return sigmoid(np.array(toxicity.summary([v for v in heavy.values() if v > 0.0], len(set(chunks)))) @ model.regression[:-1] + model.regression[-1])
+
+    for together in (1, 40, 10**6):
+        monkeypatch.setattr(toxicity, "TOGETHER", together, raising=False)
+        np.testing.assert_allclose(model.scorer()(texts), [plainly(t) for t in texts], rtol=1e-12)
+    read, plain = [], toxicity.restore
+    monkeypatch.setattr(toxicity, "restore", lambda spelt, m: read.append(spelt) or plain(spelt, m))
+    model.scorer()(["idiot scum trash sofft tabble softter"])
+    assert read == []
+    # an alphabet that does not fit is looked up word by word
+    monkeypatch.setattr(toxicity.Heaviest, "BITS", 2)
+    np.testing.assert_allclose(model.scorer()(texts), [plainly(t) for t in texts], rtol=1e-12)
