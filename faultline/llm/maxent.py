@@ -41,6 +41,8 @@ ROUNDS = 2
 #: Tokens of a gradient step, and of a scoring batch.
 STEP, BATCH = 4_096, 16_384
 RATE = 0.3
+#: Groups of so many rows at most are added up together.
+FEW = 8
 #: Bytes of text that share a dictionary.
 BLOCK_BYTES = 32 * 1024 * 1024
 
@@ -84,6 +86,31 @@ def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return logits
 
 
+def _sums(values: np.ndarray, order: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows of values, in the order given, from each of `first` to the next; and how many rows each has.
+
+    Most groups have few rows. Those are added up together, all second rows, all third ones and so on, in the order
+    in which `reduceat` adds them: the first row comes last.
+    """
+    sizes = np.diff(np.append(first, len(order)))
+    total = values[order[first]]
+    few = np.flatnonzero((sizes > 1) & (sizes <= FEW))
+    few = few[np.argsort(-sizes[few], kind="stable")]  # the largest first, so that each further row meets a beginning
+    if len(few):
+        at, left = first[few], sizes[few]
+        rest = values[order[at + 1]]
+        for k in range(2, int(left[0])):
+            n = int(np.count_nonzero(left > k))
+            rest[:n] += values[order[at[:n] + k]]
+        total[few] += rest
+    many = np.flatnonzero(sizes > FEW)
+    if len(many):
+        own = sizes[many]
+        taken = order[np.repeat(sizes > FEW, sizes)]
+        total[many] = np.add.reduceat(values[taken], np.cumsum(own) - own, axis=0)
+    return total, sizes
+
+
 class Learner:
     """Gradient steps with rates that fall as a row of weights gathers gradient."""
 
@@ -97,16 +124,24 @@ class Learner:
         error = _softmax(self.weights, rows)
         error[np.arange(n), target] -= 1.0
         for column in range(rows.shape[1]):
-            order = np.argsort(rows[:, column], kind="stable")
-            own, first = np.unique(rows[order, column], return_index=True)
-            self._move(own, np.add.reduceat(error[order], first, axis=0), np.diff(np.append(first, n)))
+            # numbers of 16 bits are sorted by counting
+            order = np.argsort(rows[:, column].astype(np.uint16), kind="stable")
+            place = rows[order, column]
+            first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+            self._move(place[first], *_sums(error, order, first))
         self._move(np.array([ROWS - 1]), error.sum(axis=0, keepdims=True), np.array([n]))
         self.tokens += n
 
     def _move(self, own: np.ndarray, gradient: np.ndarray, seen: np.ndarray) -> None:
-        gradient /= np.sqrt(seen)[:, None]  # a row's gradient by the root of its tokens, so that common rows do not leap
-        self.gathered[own] += (gradient * gradient).mean(axis=1)
-        self.weights[own] -= RATE * gradient / np.sqrt(self.gathered[own])[:, None] / np.sqrt(CLASSES)
+        # a row's gradient by the root of its tokens, so that common rows do not leap
+        several = np.flatnonzero(seen > 1)
+        gradient[several] = gradient[several] / np.sqrt(seen[several])[:, None]
+        gathered = self.gathered[own] + (gradient * gradient).mean(axis=1)
+        self.gathered[own] = gathered
+        gradient *= RATE
+        gradient /= np.sqrt(gathered)[:, None]
+        gradient /= CLASSES**0.5
+        self.weights[own] -= gradient
 
     def learn(self, codes: np.ndarray, starts: np.ndarray) -> None:
         rows, target = histories(codes, starts), codes // BUCKETS

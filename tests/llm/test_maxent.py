@@ -92,3 +92,36 @@ def test_blocks_do_not_change_scores(spark, monkeypatch):
     agree(maxent.score(documents(spark, docs).coalesce(1), F.col("doc_id") % 4 == 0).collect(), plain(docs, lambda d: d % 4 == 0))
     monkeypatch.setattr(maxent, "BLOCK_BYTES", 30)
     agree(maxent.score(documents(spark, docs).coalesce(1), F.col("doc_id") % 4 == 0).collect(), plain(docs, lambda d: d % 4 == 0))
+
+
+def test_few_and_many_rows_add_up_as_reduceat_has_them(monkeypatch):
+    """Bit by bit, and only the groups of many rows are left to reduceat, which takes its time for each."""
+    rng = np.random.default_rng(3)
+    key = np.sort(rng.zipf(1.6, 3_000) % 700)
+    order = rng.permutation(len(key))
+    values = rng.normal(0, 1, (len(key), maxent.CLASSES)).astype(np.float32)
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    assert {1, 2, 3} <= set(np.diff(first).tolist()) and np.diff(first).max() > maxent.FEW
+    expected = np.add.reduceat(values[order], first, axis=0)
+    total, sizes = maxent._sums(values, order, first)
+    assert (total == expected).all() and (sizes == np.diff(np.append(first, len(key)))).all()
+
+    class Counted:
+        rows = 0
+
+        @classmethod
+        def reduceat(cls, part, at, axis):
+            cls.rows += len(at)
+            return np.add.reduceat(part, at, axis=axis)
+
+    class Shadow:
+        add = Counted
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+    monkeypatch.setattr(maxent, "np", Shadow())
+    maxent._sums(values, order, first)
+    assert Counted.rows == (sizes > maxent.FEW).sum() < len(sizes) / 4
+    alone = maxent._sums(values, order[:4], np.arange(4))
+    assert (alone[0] == values[order[:4]]).all()
