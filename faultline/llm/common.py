@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import TypeVar
 
 import numpy as np
@@ -58,6 +59,18 @@ class Kept(dict):
         super().__setitem__(key, value)
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for cycles meanwhile; for work that makes many small objects and no cycles."""
+    active = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if active:
+            gc.enable()
+
+
 _held: dict[str, tuple] = {}
 
 

@@ -30,7 +30,7 @@ from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from heapq import nlargest
-from itertools import accumulate, chain, repeat
+from itertools import accumulate, chain, compress, repeat
 from uuid import uuid4
 
 import numpy as np
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import CACHED_CHARS, Kept, extend, held, labelled, logistic, map_batches, materialise, sigmoid, texts
+from faultline.llm.common import CACHED_CHARS, Kept, extend, held, labelled, logistic, map_batches, materialise, sigmoid, texts, uncollected
 
 #: Labelled rows that weights and regression are fitted on at most.
 SAMPLE = 12_000
@@ -77,8 +77,12 @@ SIGN, SEPARATOR, SHORTENED, GAP = -1.0, -0.3, -0.3, -0.3
 _EDGE = re.compile(r"^[^\w@$!|+(€£¡]+|[^\w$@]+$")
 _ODD = re.compile(r"[\W\d_]|(.)\1")
 _DOUBLE = re.compile(r"(.)\1")
-#: With more readings or parts than this a word or run is decoded without looking at them first.
+#: Signs that mostly stand behind a word; none of them is read as a letter.
+STOPS = ".,;:?"
+#: With more readings than this a word or part of a run is decoded without looking at them first.
 MOST_READINGS = 8
+#: With more beginnings of words than this in play a run is decoded at once.
+MOST_STATES = 40
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Chunks of so many characters at most may be parts of a word, and beside such parts.
 SHORT, BESIDE = 3, 6
@@ -348,6 +352,72 @@ def _joined(run: str) -> list[str] | None:
     return found + [f"{bound[max(0, j - WINDOW + 1) : j]}$" for j in ends[1:]]
 
 
+def _readings(part: str) -> tuple[str, ...] | None:
+    """All that the decoder may read in signs without white space; None if that is too much."""
+    if part.isalpha() and not _DOUBLE.search(part):
+        return (part,)
+    found = [""]
+    for run in _RUN.finditer(part):
+        ways = _known_ways[run.group()][2]
+        found = [before + letters for before in found for letters, _ in ways]
+        if len(found) > MOST_READINGS:
+            return None
+    return tuple(set(found))
+
+
+class Bound:
+    """The greatest weight of a feature that some reading of a run may have, without choosing a reading.
+
+    Of what was read before a part only that is kept which a feature may span: the last letters of a window, and a
+    word's beginning as long as some feature begins like it.
+    """
+
+    def __init__(self, weights: dict[str, float]):
+        self.weights = weights
+        self.begun = {f[:n] for f in weights if f[0] == "^" for n in range(1, len(f))}
+        self.parts = Kept(_readings, CACHED_RUNS)
+
+    def of(self, run: str) -> float | None:
+        """None for a run that has too many readings."""
+        weights = self.weights
+        if (found := _joined(run)) is None and (found := self._found(run)) is None:
+            return None
+        return max([weights[f] for f in found if f in weights], default=0.0)
+
+    def _found(self, run: str) -> list[str] | None:
+        """Everything in a reading that may be a feature."""
+        begun, parts, last, longer = self.begun, self.parts, WINDOW - 1, PREFIXES[-1]
+        found, states = [], {"^"}
+        for part in run.split(" "):
+            ways = parts[part]
+            if ways is None or len(states) > MOST_STATES:
+                return None
+            onward = {"^"}  # a word may begin after each part
+            for letters in ways:
+                m = len(letters)
+                if m >= last:
+                    found += [letters[i : i + WINDOW] for i in range(m - last)]
+                    end = letters[-last:]
+                    found.append(end + "$")
+                    onward.add(end)
+                for before in states:
+                    near = before[-last:] + letters[:last]
+                    found += [near[i : i + WINDOW] for i in range(len(near) - last)]
+                    if m < last:
+                        end = near[-last:]
+                        found.append(end + "$")
+                        onward.add(end)
+                    if before[0] == "^":
+                        word = before + letters
+                        if len(before) <= longer < len(word):
+                            found.append(word[: longer + 1])
+                        if word in begun:
+                            found.append(word + "$")
+                            onward.add(word)
+            states = onward
+        return found
+
+
 class Heaviest:
     """The greatest weight of a word's features (0 for none), for many words at once.
 
@@ -428,6 +498,7 @@ class Model:
 
     def scorer(self) -> Callable[[list], np.ndarray]:
         reader, weights = self.language.reader(), self.weights
+        bounds = Bound(weights)
 
         def weighed(words: Iterable[str]) -> tuple[tuple[str, float], ...]:
             found = []
@@ -445,14 +516,17 @@ class Model:
             """Words of weight, whether the chunk makes a run, no bound, the chunk; most chunks share the empty tuple."""
             plain = chunk if chunk.isalpha() else _EDGE.sub("", chunk)
             words = [plain] if plain.isalpha() else _LETTERS.findall(plain)
-            if plain and plain not in reader.common and _ODD.search(plain) and not hopeless(_undoubled(plain)):
+            if plain and plain not in reader.common and _ODD.search(plain) and not hopeless(_readings(plain)):
                 words = reader.chunk(chunk)
             heavy, rare = weighed(words), len(plain) <= SHORT and reader.part(chunk)[1]
             return (heavy, rare, 0.0, chunk) if heavy or rare else ()
 
         def run(joined: str) -> tuple:
-            named = _joined(joined)
-            return () if named is not None and not any(map(weights.__contains__, named)) else weighed(set(reader.runs.make(joined)))
+            """Words of weight, their bound, the run; a run without a toxic word stays unread and has the bound alone."""
+            bound = bounds.of(joined)
+            if bound is None or bound >= TOXIC_WORD:
+                return (weighed(set(reader.runs.make(joined))), 0.0, joined)
+            return (None, bound, joined) if bound > 0.0 else ()
 
         chunks = Kept(known, CACHED)
         runs = Kept(run, CACHED_RUNS, size=_kept_run)
@@ -468,31 +542,34 @@ class Model:
             names, plains = [], []
             for chunk in missing:
                 if chunk not in old and len(chunk) <= CACHED_CHARS:
-                    plain = chunk if chunk.isalpha() else _EDGE.sub("", chunk)
-                    if plain.isalpha():
-                        names.append(chunk)
-                        plains.append(plain)
-            words, whole = [], []
-            for chunk, plain, repeats in zip(names, plains, _repeats(plains)):
-                n = 1
-                if repeats and plain not in common:
-                    if (readings := _undoubled(plain)) is None:
+                    if chunk.isalpha():
+                        plain = chunk
+                    elif chunk[-1] in STOPS and chunk[:-1].isalpha():
+                        plain = chunk[:-1]
+                    elif not (plain := _EDGE.sub("", chunk)).isalpha():
                         continue
+                    names.append(chunk)
+                    plains.append(plain)
+            repeats = [r and plain not in common for r, plain in zip(_repeats(plains), plains)]
+            words = [plain for r, plain in zip(repeats, plains) if not r]
+            single = [chunk for r, chunk in zip(repeats, names) if not r]
+            doubled = []
+            for chunk, plain in compress(zip(names, plains), repeats):
+                if (readings := _undoubled(plain)) is not None:
                     words += readings
-                    n = len(readings)
-                else:
-                    words.append(plain)
-                whole.append((chunk, plain, n))
+                    doubled.append((chunk, plain, len(readings)))
             weighs = heaviest.of(words)
-            made, at = {}, 0
-            for chunk, plain, n in whole:
-                bound = weighs[at] if n == 1 else max(weighs[at : at + n])
-                rare = len(plain) <= SHORT and plain not in common
-                if bound > 0.0:
-                    made[chunk] = (((plain, bound),) if n == 1 else None, rare, bound, chunk)
-                else:
-                    made[chunk] = ((), True, 0.0, chunk) if rare else ()
+            made: dict[str, tuple] = dict.fromkeys(single, ())
+            for chunk, plain, weight in zip(single, words, weighs):
+                if weight > 0.0 or len(plain) <= SHORT:
+                    rare = len(plain) <= SHORT and plain not in common
+                    if weight > 0.0 or rare:
+                        made[chunk] = (((plain, weight),) if weight > 0.0 else (), rare, weight, chunk)
+            at = len(single)
+            for chunk, plain, n in doubled:
+                bound, rare = max(weighs[at : at + n]), len(plain) <= SHORT
                 at += n
+                made[chunk] = (None, rare, bound, chunk) if bound > 0.0 else ((), True, 0.0, chunk) if rare else ()
             chunks.add(made)
 
         def read(chunk: str) -> tuple[tuple[str, float], ...]:
@@ -503,28 +580,40 @@ class Model:
                 chunks.add({chunk: told})
             return told[0] if told else ()
 
+        def read_run(joined: str) -> tuple[tuple[str, float], ...]:
+            """Words of weight of a run that was kept unread."""
+            told = runs.get(joined)
+            if not told or told[0] is None:
+                told = (weighed(set(reader.runs.make(joined))), 0.0, joined)
+                if not _kept_run(joined):
+                    runs.add({joined: told})
+            return told[0]
+
         def judged(own: list[str], n: int, found: Iterable[tuple]) -> list[float]:
-            """The summary; of the unread chunks those are read that may change it, by their bounds."""
+            """The summary; of the unread chunks and runs those are read that may change it, by their bounds."""
             heavy: dict[str, float] = {}
             makes, waiting = set(), []
             for words, rare, bound, chunk in found:
                 if words is not None:
                     heavy.update(words)
                 elif bound < TOXIC_WORD:
-                    waiting.append((bound, chunk))
+                    waiting.append((bound, False, chunk))
                 else:
                     heavy.update(read(chunk))
                 if rare:
                     makes.add(chunk)
             if makes:
-                for found in map(runs.__getitem__, reader.segments(own, makes)):
-                    heavy.update(found)
+                for words, bound, joined in filter(None, map(runs.__getitem__, reader.segments(own, makes))):
+                    if words is None:
+                        waiting.append((bound, True, joined))
+                    else:
+                        heavy.update(words)
             if waiting:
                 top = nlargest(3, heavy.values())
-                for bound, chunk in sorted(waiting, reverse=True):
+                for bound, several, spelt in sorted(waiting, reverse=True):
                     if len(top) == 3 and bound <= top[2]:
                         break
-                    if found := read(chunk):
+                    if found := read_run(spelt) if several else read(spelt):
                         heavy.update(found)
                         top = nlargest(3, heavy.values())
             return summary(list(heavy.values()), n)
@@ -537,14 +626,16 @@ class Model:
             for k, text in enumerate(batch):
                 own = (text or "").lower().split()
                 distinct = set(own)
-                lacking = [c for c in distinct if c not in chunks]
-                texts.append((own, len(distinct), list(filter(None, map(chunks.get, distinct))), lacking))
+                told = list(map(chunks.get, distinct))
+                lacking = [c for c, t in zip(distinct, told) if t is None]
+                texts.append((own, len(distinct), list(filter(None, told)), lacking))
                 missing.update(lacking)
                 size += len(own)
                 if size >= TOGETHER or k == len(batch) - 1:
-                    learn(missing)
-                    for own, n, found, lacking in texts:
-                        x.append(judged(own, n, chain(found, filter(None, map(chunks.__getitem__, lacking)))))
+                    with uncollected():
+                        learn(missing)
+                        for own, n, found, lacking in texts:
+                            x.append(judged(own, n, chain(found, filter(None, map(chunks.__getitem__, lacking)))))
                     texts, missing, size = [], set(), 0
             return sigmoid(np.array(x).reshape(len(x), 4) @ w[:-1] + w[-1])
 

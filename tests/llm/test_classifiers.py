@@ -242,3 +242,29 @@ def test_weak_doubled_letters_stay_unread_and_change_no_score(letters, monkeypat
     # an alphabet that does not fit is looked up word by word
     monkeypatch.setattr(toxicity.Heaviest, "BITS", 2)
     np.testing.assert_allclose(model.scorer()(texts), [plainly(t) for t in texts], rtol=1e-12)
+
+
+def test_runs_have_a_bound_and_are_read_only_where_it_may_count(letters, monkeypatch):
+    """No reading weighs more than the bound, some one as much; runs with signs and doubled letters that have no feature stay undecoded."""
+    weights = {"^idiot$": 2.0, "^idio": 1.6, "^stupid": 0.9, "trash": 1.2, "oron$": 0.8, "^soft": 0.4, "tilis": 0.5, "^of$": 0.35}
+    bounds, rng = toxicity.Bound(weights), random.Random(8)
+    parts = ["id", "iot", "st", "upid", "tra", "sh", "|", "m0", "ron", "soft", "til", "s", "of", "aab", "1", "(", "hat"]
+    for _ in range(300):
+        run = " ".join(rng.choices(parts, k=rng.randint(2, 5)))
+        runs = [m.group() for m in toxicity._RUN.finditer(run)]
+        readings = {"".join(x for x, _ in way) for way in itertools.product(*map(toxicity._ways, runs))}
+        words = {"", *itertools.chain.from_iterable(map(str.split, readings))}
+        most = {w: max(weights.get(f, 0.0) for f in toxicity.features(w)) for w in words}
+        # a part that stands alone is a chunk of its own, whose weight is known
+        assert max(n for w, n in most.items() if w not in run.split()) <= bounds.of(run) <= max(most.values())
+    assert bounds.of("|1|1|1|1") is None
+    model = toxicity.Model(toxicity.Language(letters.counts, frozenset({"the"})), weights, np.array([1.0, 0.5, 0.3, -0.1, -2.0]))
+    texts = ["| hat | hat |", "idiot trash stupidly the so ft", "aab s hat"]
+    reader, expected = model.language.reader(), []
+    for text in texts:
+        heavy = {w: max((weights[f] for f in toxicity.features(w) if f in weights), default=0.0) for w in reader.words(text)}
+        expected.append(sigmoid(np.array(toxicity.summary([v for v in heavy.values() if v > 0.0], len(set(text.split())))) @ model.regression[:-1] + model.regression[-1]))
+    read, plain = [], toxicity.restore
+    monkeypatch.setattr(toxicity, "restore", lambda spelt, m: read.append(spelt) or plain(spelt, m))
+    np.testing.assert_allclose(model.scorer()(texts), expected, rtol=1e-12)
+    assert read == []
