@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -13,10 +14,13 @@ from faultline import schemas
 from faultline.config import CLOUD, LOCAL
 from faultline.functions import lexicon as L
 from faultline.functions.lexicon import Lexicon
-from faultline.operators import clean
+from faultline.operators import clean, dedupe
+from faultline.plans import bindings as B
 from faultline.plans import jobs
+from faultline.session import shared_dir, shuffles_removed
 from faultline.sinks import versions, writers
 from faultline.sources import facts as fact_source
+from faultline.sources import listing, snapshots
 from faultline.streaming import landing
 from tests.helpers import COMPLAINT, RECALL
 
@@ -135,3 +139,118 @@ def test_a_large_lexicon_is_worked_out_once(spark):
     assert held.table.count() == n
     assert held.table.where("token = 'w5'").first()["v"] == L.MICRO
     assert seen.value == n
+
+
+def shuffles(spark, most=None):
+    """Shuffles whose files are on disk; those that a write gives up go a moment later."""
+    held = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    for _ in range(100):
+        if most is None or held.size() <= most:
+            break
+        time.sleep(0.1)
+    return held.size()
+
+
+@pytest.fixture
+def many(spark, raw):
+    """300 records of two makes and 10 years, every third one three times."""
+    years = F.array(*[F.lit(str(year)) for year in range(2010, 2020)])
+    rows = raw.dropDuplicates().withColumn("year", F.explode(years)).crossJoin(spark.range(15))
+    copies = rows.withColumn("record_id", F.concat("record_id", F.lit("_"), "id")).withColumn("copy", F.expr("explode(sequence(1, if(id % 3 = 0, 3, 1)))"))
+    return copies.select(*raw.columns)
+
+
+def as_rows(df):
+    return sorted(map(repr, df.select(*sorted(df.columns)).collect()))
+
+
+@pytest.mark.parametrize("profile", [LOCAL, CLOUD])
+def test_a_transform_shuffles_a_round_at_a_time(spark, many, tmp_path, monkeypatch, profile):
+    whole = jobs.run_transform(many, str(tmp_path / "whole"), "run", profile, LEXICON)
+    write, calls = writers.write_facts, []
+
+    def watched(facts, base, stem, **flags):
+        held = shuffles(spark, calls[0][2] if calls else None)
+        calls.append((flags["begun"], flags["unfinished"], held, len(listing.folders(spark, f"{shared_dir(spark)}/raw-*/slice=*"))))
+        return write(facts, base, stem, **flags)
+
+    monkeypatch.setattr(jobs, "_ROUND", 100)
+    monkeypatch.setattr(writers, "write_facts", watched)
+    parted = jobs.run_transform(many, str(tmp_path / "parted"), "run", profile, LEXICON)
+
+    assert [(begun, unfinished) for begun, unfinished, *_ in calls] == [(k > 0, k < len(calls) - 1) for k in range(len(calls))]
+    assert len(calls) >= 5
+    held = [n for _, _, n, _ in calls]
+    assert max(held) == held[0]  # what the round before shuffled has gone
+    slices = [left for *_, left in calls]
+    assert slices == sorted(set(slices), reverse=True)  # and so have its slices
+    assert not listing.folders(spark, f"{shared_dir(spark)}/raw-*")
+    assert (parted.rows_read, parted.rows_written) == (500, 300)
+    assert parted.figures() == whole.figures()
+    drop = ["etl_timestamp"]
+    one, other = (fact_source.scan_facts(spark, str(tmp_path / name), profile) for name in ("whole", "parted"))
+    assert as_rows(one.drop(*drop)) == as_rows(other.drop(*drop))
+    if profile is CLOUD:
+        assert other.select("etl_timestamp").distinct().count() == 1  # the run has one load time
+
+
+def test_only_the_last_write_completes_the_facts(spark, many, tmp_path):
+    facts, base = jobs.transform(many, CLOUD), str(tmp_path)
+    writers.write_facts(facts, base, "run")
+    writers.write_facts(facts.where("make = 'FORD'"), base, "run", unfinished=True)
+    with pytest.warns(UserWarning, match="not marked as complete"), pytest.raises(FileNotFoundError):
+        fact_source.scan_facts(spark, base, CLOUD)
+    writers.write_facts(facts.where("make <> 'FORD'"), base, "run", begun=True)
+    assert fact_source.scan_facts(spark, base, CLOUD).count() == 300
+
+
+def test_without_marks_the_facts_are_written_at_once(spark, many, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "_ROUND", 100)
+    monkeypatch.setattr(listing, "writes_no_marks", lambda spark: True)
+    write, calls = writers.write_facts, []
+    monkeypatch.setattr(writers, "write_facts", lambda *args, **flags: calls.append(flags) or write(*args, **flags))
+    assert jobs.run_transform(many, str(tmp_path), "run", CLOUD).rows_written == 300
+    assert calls == [{"begun": False, "unfinished": False}]
+
+
+def test_copies_share_a_slice(spark):
+    rows = "select 0.0D as x, 'a' as t, null as n, 'f1' as source_file union all select -0.0D, 'a', null, 'f2' union all select double('nan'), 'a', null, 'f1'"
+    df = spark.sql(rows)
+    numbers = [row[0] for row in df.select(dedupe.slice_number(df, 1 << 20)).collect()]
+    assert numbers[0] == numbers[1] != numbers[2]
+    assert all(0 <= n < 1 << 20 for n in numbers)
+
+
+def test_packed_snapshots_take_little_disk(spark, many, tmp_path):
+    rows = many.crossJoin(spark.range(160).select(F.col("id").alias("again"))).drop("again").coalesce(1)
+    plain = writers.write_snapshot(rows, str(tmp_path / "plain"), "nhtsa_1")
+    packed = writers.write_snapshot(rows, str(tmp_path / "packed"), "nhtsa_1", packed=True)
+    sizes = [sum(os.path.getsize(f) for f in glob.glob(f"{path}/part-*")) for path in (plain, packed)]
+    assert sizes[1] * 8 < sizes[0]
+    counts = [spark.read.text(f).count() for f in glob.glob(f"{packed}/part-*")]
+    assert sum(counts) == 80_000 and max(counts) <= 25_000  # one task reads each whole
+    found = snapshots.read_snapshot(spark, packed, schema=schemas.RAW)
+    assert found.exceptAll(rows).isEmpty() and found.count() == 80_000
+
+
+def test_raw_parts_are_the_raw_records(spark, tmp_path, monkeypatch):
+    spark.sql("select id as p_partkey, 'small ring' as p_name, 'B' as p_brand, 'T' as p_type, 50 as p_size from range(3)").write.parquet(f"{tmp_path}/part.parquet")
+    orders = "select if(id = 9, null, id % 8) as o_orderkey, timestamp '1998-01-02' as o_orderdate, 'LOW' as o_orderpriority from range(10)"
+    spark.sql(orders).write.parquet(f"{tmp_path}/orders.parquet")
+    lines = """select if(id % 7 = 0, null, id % 8) as l_orderkey, id % 4 as l_partkey, 1 as l_linenumber, double(id % 51) as l_quantity,
+        double(id) as l_extendedprice, 0.0D as l_tax, 'R' as l_returnflag, 'F' as l_linestatus from range(400)"""
+    spark.sql(lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    (whole,) = B.raw_parts(spark, str(tmp_path))
+    monkeypatch.setattr(B, "BYTES_PER_PART", 100)
+    parts = B.raw_parts(spark, str(tmp_path))
+    assert len(parts) == B.MOST_PARTS
+    assert as_rows(dedupe.union_all(*parts)) == as_rows(whole) == as_rows(B.raw(spark, str(tmp_path))) != []
+
+
+def test_what_a_write_shuffled_goes_with_it(spark, tmp_path):
+    before, key = shuffles(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    with shuffles_removed(spark):
+        spark.range(100).groupBy("id").count().repartition(3).write.parquet(f"{tmp_path}/t")
+    assert shuffles(spark, before) <= before
+    assert spark.conf.get(key) == was
