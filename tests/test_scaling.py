@@ -16,7 +16,7 @@ from faultline.functions import lexicon as L
 from faultline.functions.lexicon import Lexicon
 from faultline.operators import clean, dedupe
 from faultline.plans import bindings as B
-from faultline.plans import jobs
+from faultline.plans import jobs, registry
 from faultline.session import shared_dir, shuffles_removed
 from faultline.sinks import versions, writers
 from faultline.sources import facts as fact_source
@@ -254,3 +254,23 @@ def test_what_a_write_shuffled_goes_with_it(spark, tmp_path):
         spark.range(100).groupBy("id").count().repartition(3).write.parquet(f"{tmp_path}/t")
     assert shuffles(spark, before) <= before
     assert spark.conf.get(key) == was
+
+
+def test_a_lookup_keeps_only_facts_on_disk(spark, tmp_path, monkeypatch):
+    spark.sql("select id as p_partkey, 'hot ring' as p_name, 'B' as p_brand, 'T' as p_type, 5 as p_size from range(3)").write.parquet(f"{tmp_path}/part.parquet")
+    orders = "select id as o_orderkey, timestamp '1998-01-02' + make_interval(id % 2) as o_orderdate, 'new' as o_orderpriority from range(40)"
+    spark.sql(orders).write.parquet(f"{tmp_path}/orders.parquet")
+    lines = """select id % 40 as l_orderkey, id % 3 as l_partkey, int(id) as l_linenumber, double(id % 51) as l_quantity,
+        double(id) as l_extendedprice, 0.0D as l_tax, 'N' as l_returnflag, 'F' as l_linestatus from range(400)"""
+    spark.sql(lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    kinds = {"snapshots": "snapshots-*/*", "raw": "raw-*", "single": "single-*", "facts": "facts-*"}
+    kept = lambda: {kind: len(listing.folders(spark, f"{shared_dir(spark)}/{at}")) for kind, at in kinds.items()}
+    monkeypatch.setattr(jobs, "_ROUND", 50)
+    monkeypatch.setattr(B, "BYTES_PER_PART", 1000)
+    before = kept()
+    lexicon = B.Lexicon({"ring": 3.0})
+    monkeypatch.setattr(B, "LEXICON", lexicon)
+    found = registry.QUERIES["partition_point_lookup"](spark, str(tmp_path))
+    wanted = spark.sql(lines).where("l_orderkey % 2 = 0 and l_quantity not in (13, 17)").count()
+    assert found.count() == wanted > 0
+    assert kept() == {**before, "facts": before["facts"] + 1}
