@@ -171,7 +171,7 @@ def test_a_transform_shuffles_a_round_at_a_time(spark, many, tmp_path, monkeypat
 
     def watched(facts, base, stem, **flags):
         held = shuffles(spark, calls[0][2] if calls else None)
-        calls.append((flags["begun"], flags["unfinished"], held, len(listing.folders(spark, f"{shared_dir(spark)}/raw-*/slice=*"))))
+        calls.append((flags["begun"], flags["unfinished"], held, len(listing.folders(spark, f"{shared_dir(spark)}/sliced-*/slice=*"))))
         return write(facts, base, stem, **flags)
 
     monkeypatch.setattr(jobs, "_ROUND", 100)
@@ -184,7 +184,7 @@ def test_a_transform_shuffles_a_round_at_a_time(spark, many, tmp_path, monkeypat
     assert max(held) == held[0]  # what the round before shuffled has gone
     slices = [left for *_, left in calls]
     assert slices == sorted(set(slices), reverse=True)  # and so have its slices
-    assert not listing.folders(spark, f"{shared_dir(spark)}/raw-*")
+    assert not listing.folders(spark, f"{shared_dir(spark)}/sliced-*")
     assert (parted.rows_read, parted.rows_written) == (500, 300)
     assert parted.figures() == whole.figures()
     drop = ["etl_timestamp"]
@@ -263,7 +263,7 @@ def test_a_lookup_keeps_only_facts_on_disk(spark, tmp_path, monkeypatch):
     lines = """select id % 40 as l_orderkey, id % 3 as l_partkey, int(id) as l_linenumber, double(id % 51) as l_quantity,
         double(id) as l_extendedprice, 0.0D as l_tax, 'N' as l_returnflag, 'F' as l_linestatus from range(400)"""
     spark.sql(lines).write.parquet(f"{tmp_path}/lineitem.parquet")
-    kinds = {"snapshots": "snapshots-*/*", "raw": "raw-*", "single": "single-*", "facts": "facts-*"}
+    kinds = {"snapshots": "snapshots-*/*", "sliced": "sliced-*", "single": "single-*", "facts": "facts-*"}
     kept = lambda: {kind: len(listing.folders(spark, f"{shared_dir(spark)}/{at}")) for kind, at in kinds.items()}
     monkeypatch.setattr(jobs, "_ROUND", 50)
     monkeypatch.setattr(B, "BYTES_PER_PART", 1000)
